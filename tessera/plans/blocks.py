@@ -84,7 +84,7 @@ NUMBERED_RULE_SQL = r"^(\(?\d+[.、)）]|[一二三四五六七八九十]+、|[
 
 @register("numbered_tag", f"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
-  p AS (SELECT doc_id, unnest(ls) AS raw, generate_subscripts(ls, 1) - 1 AS para_no FROM l),
+  p AS (SELECT doc_id, unnest(ls) AS raw, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS para_no FROM l),
   s AS (SELECT doc_id, para_no, {strip('raw')} AS t FROM p)
 SELECT doc_id, para_no, regexp_matches(t, '{NUMBERED_RULE_SQL}') AS is_numbered,
        CASE WHEN regexp_matches(t, '{NUMBERED_RULE_SQL}') THEN '[编号段] ' || t ELSE t END AS text

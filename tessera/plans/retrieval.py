@@ -82,7 +82,7 @@ WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TOK}')) AS
   nd AS (SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) AS n FROM tf),
   w AS (SELECT tf.doc_id, tf.term, tf.tf * ln(nd.n / df.df) AS weight
         FROM tf JOIN df ON tf.term = df.term CROSS JOIN nd)
-SELECT doc_id, rank, term, round(weight, 6) AS weight FROM (
+SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, round(weight, 6) AS weight FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, term) AS rank FROM w
 ) WHERE rank <= 20
 """
@@ -107,10 +107,11 @@ def _char_profile_sql() -> str:
     wide, upper, u16 = _sql_counts("title")
     rest_n = f"({u16} - {wide} - {upper})"
     return f"""
-SELECT doc_id, title, {wide} AS n_wide, {upper} AS n_upper, {u16} AS n_units,
-       {wide} * 16 + {upper} * 8 + {rest_n} * 10 + 40 AS width_head,
-       {wide} * 13 + {upper} * 8 + {rest_n} * 5 + 50 AS width_level2,
-       {wide} * 12 + {upper} * 8 + {rest_n} * 5 + 30 AS width_level3
+SELECT doc_id, title, CAST({wide} AS INTEGER) AS n_wide, CAST({upper} AS INTEGER) AS n_upper,
+       CAST({u16} AS INTEGER) AS n_units,
+       CAST({wide} * 16 + {upper} * 8 + {rest_n} * 10 + 40 AS INTEGER) AS width_head,
+       CAST({wide} * 13 + {upper} * 8 + {rest_n} * 5 + 50 AS INTEGER) AS width_level2,
+       CAST({wide} * 12 + {upper} * 8 + {rest_n} * 5 + 30 AS INTEGER) AS width_level3
 FROM (SELECT doc_id, {x} AS title FROM documents)
 """
 
