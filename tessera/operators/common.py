@@ -23,17 +23,19 @@ def _sorted_join(pairs: Column, sep: str) -> Column:
 
 
 def ordered_concat(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], piece: Column,
-                   out: str, sep: str = "", chunk_rows: int = 4096) -> DataFrame:
+                   out: str, sep: str = "", chunk_rows: int = 4096, chunk_on: int = -1) -> DataFrame:
     """One string per group: ``piece`` values joined by ``sep`` in ``order``.
 
     Two-level aggregation so that a hot group never sorts all its rows in one buffer: rows are first concatenated per
-    (group, chunk) where the chunk is ``last order value div chunk_rows`` (the other order values are part of the chunk
-    key), then the few chunk strings of a group are joined in chunk order.  Both levels use partial aggregation.
+    (group, chunk) where the chunk is ``order[chunk_on] div chunk_rows`` (a numeric order column; the order columns
+    before it are part of the chunk key, those after it only sort inside a chunk), then the few chunk strings of a
+    group are joined in chunk order.  Both levels use partial aggregation.
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    *lead, last = order_cols
+    at = chunk_on % len(order_cols)
+    lead, bucket = order_cols[:at], order_cols[at]
     chunk_fields = [c.alias(f"_c{i}") for i, c in enumerate(lead)] + [
-        F.floor(last / F.lit(chunk_rows)).alias(f"_c{len(lead)}")]
+        F.floor(bucket / F.lit(chunk_rows)).alias(f"_c{len(lead)}")]
     sort_fields = [c.alias(f"_o{i}") for i, c in enumerate(order_cols)]
     staged = df.select(*keys, F.struct(*chunk_fields).alias("_chunk"),
                        F.struct(*sort_fields, piece.alias("piece")).alias("_p"))
