@@ -185,4 +185,4 @@ def parse_value(raw) -> Column:
 
 def json_fence_body(c) -> Column:
     """Body of a fenced ```json block, or '' when there is none."""
-    return F.regexp_extract(_col(c), F.lit("```json\\n([\\s\\S]*?)\\n```"), 1)
+    return F.regexp_extract(_col(c), "```json\\n([\\s\\S]*?)\\n```", 1)
