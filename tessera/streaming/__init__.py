@@ -1 +1 @@
-"""tessera.streaming."""
+"""Structured Streaming ingest."""
