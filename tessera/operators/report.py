@@ -82,7 +82,7 @@ def report_context(reports: DataFrame, steps: DataFrame, template: str = REPORT_
     ctx = reports.join(first3, "report", "left").select(
         "report", "evaluation",
         *[F.element_at(nums, base + (i + 1)).alias(f"idx{i + 1}") for i in range(3)],
-        *[F.coalesce(F.element_at("_s", i + 1)["value"], F.lit("")).alias(f"advice{i + 1}") for i in range(3)])
+        *[F.coalesce(F.try_element_at("_s", F.lit(i + 1))["value"], F.lit("")).alias(f"advice{i + 1}") for i in range(3)])
     text: Column = F.lit(template)
     for name in ["idx1", "idx2", "idx3", "evaluation", "advice1", "advice2", "advice3"]:
         text = F.replace(text, F.lit("{{ " + name + " }}"), F.coalesce(F.col(name), F.lit("")))
