@@ -85,7 +85,10 @@ def tokens(c, lower: bool = False) -> Column:
         bigrams = F.transform(F.sequence(F.lit(1), n - 1), lambda i: t.substr(i, F.lit(2)))
         return F.when(t.rlike(r"^\p{IsHan}") & (n > 1), bigrams).otherwise(F.array(t))
 
-    return F.flatten(F.transform(raw, expand))
+    # The per-token expansion is a higher-order function (interpreted per element), so it only runs on texts that
+    # contain a Han character; other texts use the plain letter/digit runs.
+    plain = F.regexp_extract_all(x, F.lit(r"[\p{L}\p{N}]+"), 0)
+    return F.when(x.rlike(r"\p{IsHan}"), F.flatten(F.transform(raw, expand))).otherwise(plain)
 
 
 def token_set(c, lower: bool = False) -> Column:

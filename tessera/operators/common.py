@@ -18,6 +18,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has cores (times ``factor``) before heavy
+    per-row work such as tokenising.  A large scan already has many more partitions than cores, so at scale this
+    returns ``df`` unchanged and adds no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _sorted_join(pairs: Column, sep: str) -> Column:
     return F.array_join(F.transform(F.array_sort(pairs), lambda x: x["piece"]), sep)
 

@@ -8,24 +8,42 @@ from pyspark.sql import functions as F
 from ..functions import formats as fmt
 from ..functions.text import (decode_entities, dot, drop_script_style, first_line, py_strip, rest_lines,
                               strip_tags, token_set, tokens, unit_normalize)
-from .common import broadcast_if_small, fill_template
+from .common import broadcast_if_small, fill_template, spread
 
 
 # ---------------------------------------------------------------------------------------------------------------- TF-IDF
 def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
-                 allow_terms: DataFrame | None = None, stop_terms: DataFrame | None = None) -> DataFrame:
+                 allow_terms: DataFrame | None = None, stop_terms: DataFrame | None = None,
+                 one_row_per_doc: bool = False) -> DataFrame:
     """``(id, term, tf, df, weight)`` with weight = tf * ln(N / df), N = number of documents with any term.
 
-    tf is counted with map-side partial aggregation per (document, term); document frequency per term likewise.  The
-    optional allow/stop term tables (column ``term``) stand in for a part-of-speech filter.
+    * ``one_row_per_doc``: each input row is a whole document (unique id).  The rows are hash-partitioned by id once;
+      counting, weighting and a later per-document top-k then run inside that partitioning with no further exchange
+      (an id is never skewed).  Otherwise (a document spans many rows, e.g. the blocks of a file) tf is a
+      partial aggregation per (document, term) before its shuffle, which spreads a very large document over many
+      tasks.
+    * df is a partial aggregation per term; the (term, df) table is joined back by hash (Spark broadcasts it only
+      when its runtime size is under the broadcast threshold).
+    * N comes from a cheap scan of the input (documents holding at least one letter or digit); with allow/stop term
+      tables it is counted from the filtered terms instead.
+    The optional allow/stop term tables (column ``term``) stand in for a part-of-speech filter.
     """
+    src = docs
+    if one_row_per_doc:
+        docs = docs.repartition(id_col)
+    else:
+        docs = spread(docs)
     toks = docs.select(F.col(id_col), F.explode(tokens(text, lower)).alias("term"))
+    filtered = allow_terms is not None or stop_terms is not None
     if allow_terms is not None:
         toks = toks.join(broadcast_if_small(allow_terms.select("term").distinct()), "term", "left_semi")
     if stop_terms is not None:
         toks = toks.join(broadcast_if_small(stop_terms.select("term").distinct()), "term", "left_anti")
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = tf.select(F.countDistinct(id_col)).scalar()
+    if filtered:
+        n_docs = tf.select(F.countDistinct(id_col)).scalar()
+    else:
+        n_docs = src.where(text.rlike(r"[\p{L}\p{N}]")).select(F.countDistinct(id_col)).scalar()
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return (tf.join(df, "term")
             .withColumn("weight", F.col("tf") * F.log(n_docs.cast("double") / F.col("df"))))
@@ -39,9 +57,10 @@ def top_terms(weights: DataFrame, id_col: str, k: int = 20, digits: int = 9) ->
             .where(F.col("rank") <= k))
 
 
-def keyword_topk(docs: DataFrame, id_col: str, text_col: str, k: int = 20, lower: bool = True) -> DataFrame:
+def keyword_topk(docs: DataFrame, id_col: str, text_col: str, k: int = 20, lower: bool = True,
+                 one_row_per_doc: bool = True) -> DataFrame:
     """Top-k keywords per document: ``(id, rank, term, weight)``."""
-    tw = term_weights(docs, id_col, F.col(text_col), lower=lower)
+    tw = term_weights(docs, id_col, F.col(text_col), lower=lower, one_row_per_doc=one_row_per_doc)
     return top_terms(tw, id_col, k).select(id_col, "rank", "term", F.round("weight", 6).alias("weight"))
 
 
