@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import json_fence_body, py_strip
-from .common import fill_template, ordered_concat
+from .common import fill_template
 
 MAP_SS = "map<string,string>"
 
@@ -73,15 +73,17 @@ def section_outline(sections: DataFrame, heading: str = fmt.OUTLINE_HEADING,
 def main_problem(sections: DataFrame, problem_key: str = fmt.PROBLEM_KEY, summary_key: str = fmt.SUMMARY_KEY,
                  sep: str = fmt.MAIN_PROBLEM_JOIN) -> DataFrame:
     """Per report: the non-blank problem summaries of its object sections, stripped, joined by ``sep`` in section
-    order -> ``(report, main_problem)`` ('' when there is none)."""
+    order -> ``(report, main_problem)`` ('' when there is none).
+
+    One aggregation per report with map-side partial aggregation; only non-blank summaries are collected, so the
+    buffer of a report is the size of its output text."""
     body = _obj(F.col("body"))
     problem = _obj(F.element_at(body, F.lit(problem_key)))
     summary = py_strip(F.coalesce(F.element_at(problem, F.lit(summary_key)), F.lit("")))
-    parts = sections.select("report", "sec_no", summary.alias("s")).where(F.col("s") != "")
-    joined = ordered_concat(parts, ["report"], ["sec_no"], F.col("s"), "main_problem", sep=sep)
-    reports = sections.select("report").distinct()
-    return reports.join(joined, "report", "left").select(
-        "report", F.coalesce("main_problem", F.lit("")).alias("main_problem"))
+    parts = sections.select("report", F.when(summary != "", F.struct(F.col("sec_no").alias("o"),
+                                                                      summary.alias("s"))).alias("_p"))
+    return parts.groupBy("report").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("_p")), lambda x: x["s"]), sep).alias("main_problem"))
 
 
 def cause_rows(sections: DataFrame, causes_key: str = fmt.CAUSES_KEY) -> DataFrame:
