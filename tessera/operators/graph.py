@@ -147,12 +147,15 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
     problem text is the problem object's summary, followed by its detail items when there are any, separated by a
     literal backslash-n (two characters); a plain value is shown as is; no value gives '无'.  Steps are chained
     ``anchor -> R1 -> R2 ...`` in step order (``lag`` over the report's steps)."""
-    entries = fields.select("report", F.struct("sec_no", "field_no",
-                                               F.concat_ws("\u0001", "part", "label").alias("k"),
-                                               F.col("value").alias("v")).alias("_e"))
-    # Entries in (section, field) order, so the last duplicate label wins as in a dict built in that order.
-    lookup = entries.groupBy("report").agg(F.map_from_entries(F.transform(
-        F.array_sort(F.collect_list("_e")), lambda e: F.struct(e["k"], e["v"]))).alias("_m"))
+    # Only the (part, label) pairs the chart looks up are kept, each reduced to its last value in (section, field)
+    # order -- as a dict built in that order keeps the last duplicate -- so a report's lookup map is bounded by the
+    # number of lookups however many fields the report has.
+    wanted = {tuple(src) for _, _, src in nodes if isinstance(src, tuple)} | {tuple(problem)}
+    key = F.concat_ws("\u0001", "part", "label")
+    last = (fields.where(key.isin([f"{p}\u0001{lab}" for p, lab in sorted(wanted)]))
+            .groupBy("report", key.alias("k"))
+            .agg(F.max_by("value", F.struct("sec_no", "field_no")).alias("v")))
+    lookup = last.groupBy("report").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("_m"))
 
     def get(part: str, label: str) -> Column:
         return F.try_element_at(F.col("_m"), F.lit(f"{part}\u0001{label}"))
