@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from .common import broadcast_if_small, fill_template, spread
 # ---------------------------------------------------------------------------------------------------------------- TF-IDF
 def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
                  allow_terms: DataFrame | None = None, stop_terms: DataFrame | None = None,
-                 one_row_per_doc: bool = False) -> DataFrame:
+                 one_row_per_doc: bool = False, tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
     """``(id, term, tf, df, weight)`` with weight = tf * ln(N / df), N = number of documents with any term.
 
     * ``one_row_per_doc``: each input row is a whole document (unique id).  The rows are hash-partitioned by id once;
@@ -26,15 +28,17 @@ def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
       when its runtime size is under the broadcast threshold).
     * N comes from a cheap scan of the input (documents holding at least one letter or digit); with allow/stop term
       tables it is counted from the filtered terms instead.
-    The optional allow/stop term tables (column ``term``) stand in for a part-of-speech filter.
+    The optional allow/stop term tables (column ``term``) stand in for a part-of-speech filter; ``tokenizer`` replaces
+    the built-in token rule (any ``Column -> array<string>`` function, e.g. a pandas UDF).
     """
+    tok = tokenizer or (lambda c: tokens(c, lower))
     src = docs
     if one_row_per_doc:
         docs = docs.repartition(id_col)
     else:
         docs = spread(docs)
-    toks = docs.select(F.col(id_col), F.explode(tokens(text, lower)).alias("term"))
-    filtered = allow_terms is not None or stop_terms is not None
+    toks = docs.select(F.col(id_col), F.explode(tok(text)).alias("term"))
+    filtered = allow_terms is not None or stop_terms is not None or tokenizer is not None
     if allow_terms is not None:
         toks = toks.join(broadcast_if_small(allow_terms.select("term").distinct()), "term", "left_semi")
     if stop_terms is not None:
@@ -66,7 +70,9 @@ def keyword_topk(docs: DataFrame, id_col: str, text_col: str, k: int = 20, lower
 
 # ------------------------------------------------------------------------------------------------------- keyword match
 def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0.5, query_id: str = "query_id",
-                     query_text: str = "text", top_k_terms: int = 20) -> DataFrame:
+                     query_text: str = "text", top_k_terms: int = 20,
+                     tokenizer: Callable[[Column], Column] | None = None,
+                     body_tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Score every file of a block table against every query and keep files whose best score is **strictly** above
     ``threshold``.
 
@@ -74,7 +80,8 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
       * name  -- tokens of the file name (the full path, so folder names count);
       * title -- tokens of the first line of the file's order-0 block (the last ingest wins);
       * body  -- the file's top-``top_k_terms`` TF-IDF keywords over the rest of order 0 and all other blocks.
-    Case is kept on all three paths.
+    Case is kept on all three paths.  ``tokenizer`` (query, name and title tokens) and ``body_tokenizer`` (keyword
+    candidates; default: the same) replace the built-in rule, e.g. with a pandas UDF returning ``array<string>``.
 
     Plan: per-file parts are built with partial aggregations, then joined on ``term`` against the distinct query
     tokens (broadcast when provably small), and counted per (query, file, part).  Files sharing no token with a query
@@ -82,19 +89,22 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (a negative threshold would select every file)")
+    tok = tokenizer or tokens
+    tset = lambda c: F.array_distinct(tok(c))
     is_first = F.col("order_index") == 0
     per_file = blocks.groupBy("filename").agg(
         F.max_by(F.when(is_first, first_line("content")), F.when(is_first, F.col("ingest_seq"))).alias("title"))
     name_terms = per_file.select("filename", F.lit("name").alias("part"),
-                                 F.explode(token_set(F.col("filename"))).alias("term"))
+                                 F.explode(tset(F.col("filename"))).alias("term"))
     title_terms = per_file.select("filename", F.lit("title").alias("part"),
-                                  F.explode(token_set(F.coalesce(F.col("title"), F.lit("")))).alias("term"))
+                                  F.explode(tset(F.coalesce(F.col("title"), F.lit("")))).alias("term"))
     body = blocks.select("filename", F.when(is_first, rest_lines("content")).otherwise(F.col("content")).alias("body"))
-    weights = term_weights(body, "filename", F.col("body"), lower=False)
+    weights = term_weights(body, "filename", F.col("body"), lower=False,
+                           tokenizer=body_tokenizer or tokenizer)
     body_terms = top_terms(weights, "filename", top_k_terms).select("filename", F.lit("body").alias("part"), "term")
     parts = name_terms.unionByName(title_terms).unionByName(body_terms)
 
-    q = queries.select(F.col(query_id).alias("query_id"), token_set(F.col(query_text)).alias("qt"))
+    q = queries.select(F.col(query_id).alias("query_id"), tset(F.col(query_text)).alias("qt"))
     q_size = q.select("query_id", F.size("qt").alias("q_size"))
     q_terms = broadcast_if_small(q.select("query_id", F.explode("qt").alias("term")))
     hits = (parts.join(q_terms, "term")
@@ -200,6 +210,18 @@ def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, item_id: str =
             .select(query_id, "rank", item_id, F.round("score", 6).alias("score")))
 
 
+def hit_texts(hits: DataFrame, texts: DataFrame, item_id: str = "doc_id", query_id: str = "query_id",
+              text_col: str = "text", joined: bool = False) -> DataFrame:
+    """Hit id -> item text (equi-join on the id).  ``joined=True`` gives one row per query with the texts joined by
+    ``\n`` best first (the plain-string form of a search); otherwise ``(query, rank, id, score, text)``."""
+    from .common import ordered_concat
+
+    out = hits.join(texts.select(item_id, text_col), item_id)
+    if not joined:
+        return out
+    return ordered_concat(out, [query_id], ["rank"], F.col(text_col), text_col, sep="\n")
+
+
 def vector_ann(items: DataFrame, queries: DataFrame, k: int = 5, item_id: str = "doc_id",
                query_id: str = "query_id", vec_col: str = "embedding", bucket_length: float = 2.0,
                num_tables: int = 4, min_score: float = -1.0, seed: int = 7) -> DataFrame:

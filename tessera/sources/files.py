@@ -14,6 +14,18 @@ SUPPORTED_TYPES = [".pdf", ".docx", ".pptx", ".xlsx", ".csv"]
 TYPE_ALIASES = {".doc": ".docx"}
 
 
+def _extension(path):
+    return F.lower(F.regexp_extract(path, r"(\.[^./]+)$", 1))
+
+
+def _route(path):
+    ext = _extension(path)
+    reader = ext
+    for old, new in TYPE_ALIASES.items():
+        reader = F.when(ext == old, F.lit(new)).otherwise(reader)
+    return reader
+
+
 def file_manifest(spark: SparkSession, path: str, recursive: bool = True, strict: bool = False,
                   supported: Sequence[str] = SUPPORTED_TYPES) -> DataFrame:
     """List files under ``path`` with their routing: ``(path, length, filetype, reader, supported)``.
@@ -24,10 +36,8 @@ def file_manifest(spark: SparkSession, path: str, recursive: bool = True, strict
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(path).select("path", "length"))
-    ext = F.lower(F.regexp_extract(F.col("path"), r"(\.[^./]+)$", 1))
-    reader = ext
-    for old, new in TYPE_ALIASES.items():
-        reader = F.when(ext == old, F.lit(new)).otherwise(reader)
+    ext = _extension(F.col("path"))
+    reader = _route(F.col("path"))
     ok = reader.isin(list(supported))
     out = files.select("path", "length", ext.alias("filetype"), reader.alias("reader"), ok.alias("supported"))
     if strict:
@@ -72,3 +82,49 @@ def write_export(blocks: DataFrame, path: str, fmt: str = "parquet", mode: str =
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     else:
         w.parquet(path)
+
+
+# ------------------------------------------------------------------------------------------------ user decoders
+BLOCK_ROW_SCHEMA = "path string, reader string, order_index int, content_type string, content string"
+
+
+def csv_decoder(data: bytes, path: str):
+    """Built-in ``.csv`` decoder: the whole file becomes one ``(0, 'table', csv text)`` block (pandas read/write, so
+    missing cells stay empty and an integer column with gaps turns into floats, as pandas does)."""
+    import io
+
+    import pandas as pd
+
+    return [(0, "table", pd.read_csv(io.BytesIO(data)).to_csv(index=False))]
+
+
+DEFAULT_DECODERS = {".csv": csv_decoder}
+
+
+def decode_files(spark: SparkSession, path: str, decoders=None, recursive: bool = True) -> DataFrame:
+    """Files -> raw block rows through per-type decoders: ``(path, reader, order_index, content_type, content)``.
+
+    ``decoders`` maps a routed extension (see ``file_manifest``) to ``fn(bytes, path) -> [(order, type, text)]`` --
+    the hook for document parsers (PDF, Word, slides, spreadsheets) that run per file.  Files are read with the
+    ``binaryFile`` source and decoded in ``mapInPandas`` (Arrow batches, spread over the cluster); files without a
+    decoder produce no rows (list them with ``file_manifest(..., strict=False)``).  Feed the result to
+    ``operators.blocks.block_table``."""
+    import pandas as pd
+
+    decoders = dict(DEFAULT_DECODERS if decoders is None else decoders)
+    # Routing is computed on the same scan (no join that would move file contents); narrow the files read with a
+    # ``pathGlobFilter``-style path argument when most files have no decoder.
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+             .select("path", "content", _route(F.col("path")).alias("reader"))
+             .where(F.col("reader").isin(list(decoders))))
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for p, reader, data in zip(pdf["path"], pdf["reader"], pdf["content"]):
+                local = p[5:] if p.startswith("file:") else p
+                for order, kind, text in decoders[reader](bytes(data), local):
+                    out.append((local, reader, int(order), kind, text))
+            yield pd.DataFrame(out, columns=["path", "reader", "order_index", "content_type", "content"])
+
+    return files.mapInPandas(run, BLOCK_ROW_SCHEMA)

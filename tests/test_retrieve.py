@@ -136,3 +136,17 @@ def test_top_links_first_k(spark):
     html = '<a href="/1">a</a><a name="x">no</a><a class="c" href=\'/2\'>b</a><a href="">e</a><a href="/3">c</a><a href="/4">d</a>'
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     assert [(r.rank, r.link) for r in top_links(pages, 3).orderBy("rank").collect()] == [(1, "/1"), (2, "/2"), (3, "/3")]
+
+
+def test_custom_tokenizer_and_hit_texts(spark):
+    from tessera.operators.retrieve import hit_texts
+
+    b = block_table(spark.createDataFrame([("/x/a.txt", "Hello World")], "f string, c string"),
+                    filename=F.col("f"), content=F.col("c"), content_type=F.lit("text"), order_index=F.lit(0))
+    q = spark.createDataFrame([(1, "HELLO")], "query_id long, text string")
+    low = lambda c: F.split(F.lower(c), r"[^a-z]+")
+    assert keyword_retrieve(b, q, threshold=0.5).count() == 0
+    assert keyword_retrieve(b, q, threshold=0.5, tokenizer=low).count() == 1
+    hits = spark.createDataFrame([(1, 1, 7, 0.9), (1, 2, 8, 0.5)], "query_id long, rank int, doc_id long, score double")
+    texts = spark.createDataFrame([(7, "seven"), (8, "eight")], "doc_id long, text string")
+    assert hit_texts(hits, texts, joined=True).first().text == "seven\neight"

@@ -48,3 +48,23 @@ def test_entry_and_all_queries_run(spark):
     assert set(orc) <= set(qs)
     for name, fn in qs.items():
         fn(spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+
+
+def test_decode_files_with_csv_decoder(spark):
+    from tessera.operators.blocks import block_table
+    from tessera.sources.files import decode_files, file_manifest
+
+    d = tempfile.mkdtemp(prefix="tessera-files-")
+    with open(os.path.join(d, "a.CSV"), "w") as f:
+        f.write("x,y\n1,\n2,b\n")
+    with open(os.path.join(d, "notes.xyz"), "w") as f:
+        f.write("ignored")
+    man = {r.name: r for r in file_manifest(spark, d).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+                                                             "filetype", "reader", "supported").collect()}
+    assert man["a.CSV"].reader == ".csv" and man["a.CSV"].supported and not man["notes.xyz"].supported
+    raw = decode_files(spark, d)
+    blocks = block_table(raw, filename=F.col("path"), content=F.col("content"), content_type=F.col("content_type"),
+                         order_index=F.col("order_index"), filetype=F.col("reader")).collect()
+    assert len(blocks) == 1
+    assert blocks[0].content == "x,y\n1,\n2,b" and blocks[0].filetype == ".csv"
+    assert blocks[0].filename.endswith("/a.CSV")
