@@ -140,13 +140,14 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
                edges: Sequence = tuple(FLOW_EDGES), problem: tuple[str, str] = FLOW_PROBLEM,
                summary_key: str = fmt.SUMMARY_KEY, details_key: str = fmt.DETAILS_KEY,
                anchor: str = STEP_ANCHOR) -> DataFrame:
-    """Report fields ``(report, part, sec_no, field_no, label, value)`` + steps ``(report, step_no, value)`` -> flow edges
+    """Report fields ``(report, part, sec_no, field_no, label, value)`` + steps ``(report, step_no, value[, step_pos])``
+    -> flow edges
     ``(report, seq, src, src_label, dst, dst_label, edge_label)``.
 
     Labels look up values per (part, label) -- the last duplicate wins -- and show 'N/A' when missing or empty.  The
     problem text is the problem object's summary, followed by its detail items when there are any, separated by a
     literal backslash-n (two characters); a plain value is shown as is; no value gives '无'.  Steps are chained
-    ``anchor -> R1 -> R2 ...`` in step order (``lag`` over the report's steps)."""
+    ``anchor -> R1 -> R2 ...`` in step order."""
     # Only the (part, label) pairs the chart looks up are kept, each reduced to its last value in (section, field)
     # order -- as a dict built in that order keeps the last duplicate -- so a report's lookup map is bounded by the
     # number of lookups however many fields the report has.
@@ -183,16 +184,19 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
     reports = fields.select("report").unionByName(steps.select("report")).distinct()
     chain = (reports.join(lookup, "report", "left")
              .select("report", F.inline(fixed)))
-    w = Window.partitionBy("report").orderBy("step_no")
-    st = steps.select("report", "step_no", _safe(F.col("value")).alias("label"),
-                      F.row_number().over(w).alias("_i"))
-    st = st.select("report", "_i", F.concat(F.lit("R"), F.col("_i").cast("string")).alias("dst"),
-                   F.col("label").alias("dst_label"))
-    st = (st.withColumn("src", F.lag("dst", 1, anchor).over(Window.partitionBy("report").orderBy("_i")))
-          .withColumn("src_label", F.lag("dst_label", 1).over(Window.partitionBy("report").orderBy("_i"))))
+    # Steps are chained by position: each step joins its predecessor on (report, position - 1) -- an equi-join,
+    # not a window over the report -- and the first step hangs off the anchor node.
+    if "step_pos" not in steps.columns:
+        steps = steps.withColumn("step_pos", F.dense_rank().over(Window.partitionBy("report").orderBy("step_no")))
+    st = steps.select("report", F.col("step_pos").alias("_i"),
+                      F.concat(F.lit("R"), F.col("step_pos").cast("string")).alias("dst"),
+                      _safe(F.col("value")).alias("dst_label"))
+    prev = st.select("report", (F.col("_i") + 1).alias("_i"), F.col("dst").alias("_ps"),
+                     F.col("dst_label").alias("_pl"))
     anchor_label = chain.where(F.col("dst") == anchor).select("report", F.col("dst_label").alias("_al"))
-    st = (st.join(anchor_label, "report", "left")
-          .select("report", (F.lit(len(edges)) + F.col("_i")).alias("seq"), "src",
-                  F.coalesce("src_label", "_al").alias("src_label"), "dst", "dst_label",
-                  F.lit("").alias("edge_label")))
+    st = (st.join(prev, ["report", "_i"], "left")
+          .join(anchor_label, "report", "left")
+          .select("report", (F.lit(len(edges)) + F.col("_i")).alias("seq"),
+                  F.coalesce("_ps", F.lit(anchor)).alias("src"), F.coalesce("_pl", "_al").alias("src_label"),
+                  "dst", "dst_label", F.lit("").alias("edge_label")))
     return chain.unionByName(st)

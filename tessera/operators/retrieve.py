@@ -121,12 +121,10 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
 
 
 def retrieved_text(hits: DataFrame, corpus: DataFrame, sep: str = "\n\n") -> DataFrame:
-    """Per query: the corpus texts of its files in file-name order, joined by a blank line ('' when none)."""
-    from .common import ordered_concat
-
+    """Per query: the corpus texts of its files in file-name order, joined by a blank line."""
     joined = hits.join(corpus, "filename")
-    return ordered_concat(joined.withColumn("_rank", F.dense_rank().over(
-        Window.partitionBy("query_id").orderBy("filename"))), ["query_id"], ["_rank"], F.col("corpus"), "text", sep)
+    return joined.groupBy("query_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("filename", "corpus"))), lambda x: x["corpus"]), sep).alias("text"))
 
 
 # ------------------------------------------------------------------------------------------------------------- vectors
@@ -190,11 +188,12 @@ def _scored_batches(items: DataFrame, queries: DataFrame, item_id: str, query_id
 def vector_threshold(items: DataFrame, queries: DataFrame, threshold: float = 0.3, item_id: str = "doc_id",
                      query_id: str = "query_id", vec_col: str = "embedding",
                      max_queries: int = MAX_QUERY_VECTORS) -> DataFrame:
-    """All items with dot(q, v) >= threshold (inclusive), best first, ties by item id (insertion order)."""
+    """All items with dot(q, v) >= threshold (inclusive), sorted per query best first, ties by item id (insertion
+    order).  The order is a global sort (range partitioning on query and score), so a query matching a large share
+    of the items is spread over many tasks instead of being ranked in one."""
     scored = _scored_batches(items, queries, item_id, query_id, vec_col, threshold, None, max_queries)
-    w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(item_id))
-    return scored.select(query_id, item_id, F.round("score", 6).alias("score"),
-                         F.row_number().over(w).alias("rank"))
+    return (scored.select(query_id, item_id, F.round("score", 6).alias("score"), F.col("score").alias("_s"))
+            .orderBy(F.col(query_id), F.col("_s").desc(), F.col(item_id)).drop("_s"))
 
 
 def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, item_id: str = "doc_id",

@@ -107,7 +107,8 @@ def cause_rows(sections: DataFrame, causes_key: str = fmt.CAUSES_KEY) -> DataFra
 # ------------------------------------------------------------------------------------------------------ suggestions
 def suggestion_steps(items: DataFrame, report_col: str, pos_col: str, text_col: str,
                      pattern: str = fmt.NUMBERED_ITEM_PATTERN, label: str = fmt.SUGGESTION_LABEL) -> DataFrame:
-    """Numbered suggestions -> ordered steps ``(report, step_no, id, label, value)``.
+    """Numbered suggestions -> ordered steps ``(report, step_no, step_pos, id, label, value)`` (``step_pos`` = 1-based
+    position in key order).
 
     Order-dependent fold over a report's items: an item matching ``pattern`` sets key ``n`` to its text (first line,
     stripped); any other item sets key ``(number of keys so far) + 1`` -- which can overwrite an earlier key -- to
@@ -125,7 +126,7 @@ def suggestion_steps(items: DataFrame, report_col: str, pos_col: str, text_col:
 
     folded = per.select("report", F.aggregate(texts, empty, step).alias("_m"))
     return (folded.select("report", F.posexplode(F.array_sort(F.map_entries("_m"))).alias("_pos", "_e"))
-            .select("report", F.col("_e.key").alias("step_no"),
+            .select("report", F.col("_e.key").alias("step_no"), (F.col("_pos") + 1).alias("step_pos"),
                     F.concat(F.lit("rec_"), F.col("_e.key").cast("string")).alias("id"),
                     F.lit(label).alias("label"), F.col("_e.value").alias("value")))
 

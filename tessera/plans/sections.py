@@ -162,7 +162,8 @@ WITH RECURSIVE it AS (
     FROM f JOIN it ON it.report = f.report AND it.i = f.i + 1),
   last AS (SELECT report, arg_max(m, i) AS m FROM f GROUP BY report),
   e AS (SELECT report, unnest(map_keys(m)) AS step_no, unnest(map_values(m)) AS value FROM last)
-SELECT report, step_no, 'rec_' || CAST(step_no AS VARCHAR) AS id, '{fmt.SUGGESTION_LABEL}' AS label, value FROM e""")
+SELECT report, step_no, CAST(row_number() OVER (PARTITION BY report ORDER BY step_no) AS INTEGER) AS step_pos,
+       'rec_' || CAST(step_no AS VARCHAR) AS id, '{fmt.SUGGESTION_LABEL}' AS label, value FROM e""")
 def q_suggestion_steps(spark, sf_dir):
     """Each conversation's turns read as a suggestion list and folded into numbered steps."""
     conv = table(spark, sf_dir, "conversations")

@@ -32,9 +32,8 @@ _CENTROID_SQL = """
 
 
 @register("vector_threshold", f"""WITH {_CENTROID_SQL}
-SELECT query_id, vec_id, round(score, 6) AS score,
-       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-FROM s WHERE score >= {VECTOR_THRESHOLD}""")
+SELECT query_id, vec_id, round(score, 6) AS score
+FROM s WHERE score >= {VECTOR_THRESHOLD} ORDER BY query_id, score DESC, vec_id""")
 def q_vector_threshold(spark, sf_dir):
     """All vectors with cosine >= 0.3 to each label centroid, best first."""
     emb = table(spark, sf_dir, "embeddings")
