@@ -49,7 +49,14 @@ def serialize_tables(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     """One CSV text per table (``keys``): header line, one line per row in ``order``, each line ending with
     ``\\n``; optionally led by ``Sheet: <name>\\n``.  Rows are joined with a two-level ordered aggregation, chunked on
     the numeric order column ``order[chunk_on]``."""
-    line = csv_line([fill_nulls(F.col(c).cast("string"), null_mode, mark) for c in columns])
+    types = dict(rows.dtypes)
+    cells = []
+    for c in columns:
+        cell = fill_nulls(F.col(c).cast("string"), null_mode, mark)
+        # Numbers, booleans and dates never hold a comma, quote or line break: no quoting test for them.
+        plain = types.get(c, "string") != "string" and null_mode == "none"
+        cells.append(F.coalesce(cell, F.lit("")) if plain else csv_field(cell))
+    line = F.concat_ws(",", *cells)
     staged = rows.select(*keys, *order, line.alias("_line"),
                          *([sheet.alias("_sheet")] if sheet is not None else []))
     body = ordered_concat(staged, list(keys) + (["_sheet"] if sheet is not None else []), list(order),
@@ -61,16 +68,9 @@ def serialize_tables(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 # -------------------------------------------------------------------------------------------------- parse CSV text
-def parse_tables(tables: DataFrame, content_col: str = "content", key_col: str = fmt.KEY_COLUMN,
-                 total: str = fmt.TOTAL_ROW, default_sheet: str = fmt.DEFAULT_SHEET,
-                 name_col: str | None = None) -> DataFrame:
-    """Table text -> one row per data line: ``(..., title, sheet, row_no, row map<string,string>)``.
-
-    Header = the first line starting with ``key_col`` (no header: the table is dropped).  Lines after it are split
-    on plain commas (no quote handling), values stripped; blank lines, lines starting with ``total`` and lines whose
-    field count differs from the header are skipped.  Repeated headers of later sheets stay as data rows.  Duplicate
-    header names: the last value wins.  Everything is computed inside the row (arrays), so no shuffle is needed.
-    """
+def _data_lines(tables: DataFrame, content_col: str, key_col: str, total: str, default_sheet: str,
+                name_col: str | None) -> DataFrame:
+    """One row per kept data line: ``(..., title, sheet, row_no, _h, _l)`` (``_h`` = stripped header names)."""
     c = F.col(content_col)
     lines = F.split(c, "\n")
     hp = F.array_position(F.transform(lines, lambda l: l.startswith(key_col)), True)   # 1-based, 0 = none
@@ -85,9 +85,22 @@ def parse_tables(tables: DataFrame, content_col: str = "content", key_col: str =
              if name_col else F.lit(None).cast("string"))
     staged = tables.where(hp > 0).select(*cols, title.alias("title"), sheet.alias("sheet"),
                                          header.alias("_h"), data.alias("_d"))
-    rows = staged.select(*cols, "title", "sheet", "_h", F.posexplode("_d").alias("row_no", "_l"))
-    return rows.select(*cols, "title", "sheet", "row_no",
-                       F.map_from_arrays("_h", F.transform(F.split("_l", ","), py_strip)).alias("row"))
+    return staged.select(*cols, "title", "sheet", "_h", F.posexplode("_d").alias("row_no", "_l"))
+
+
+def parse_tables(tables: DataFrame, content_col: str = "content", key_col: str = fmt.KEY_COLUMN,
+                 total: str = fmt.TOTAL_ROW, default_sheet: str = fmt.DEFAULT_SHEET,
+                 name_col: str | None = None) -> DataFrame:
+    """Table text -> one row per data line: ``(..., title, sheet, row_no, row map<string,string>)``.
+
+    Header = the first line starting with ``key_col`` (no header: the table is dropped).  Lines after it are split
+    on plain commas (no quote handling), values stripped; blank lines, lines starting with ``total`` and lines whose
+    field count differs from the header are skipped.  Repeated headers of later sheets stay as data rows.  Duplicate
+    header names: the last value wins.  Everything is computed inside the row (arrays), so no shuffle is needed."""
+    lines = _data_lines(tables, content_col, key_col, total, default_sheet, name_col)
+    cols = [x for x in tables.columns if x != content_col]
+    return lines.select(*cols, "title", "sheet", "row_no",
+                        F.map_from_arrays("_h", F.transform(F.split("_l", ","), py_strip)).alias("row"))
 
 
 def rows_long(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,6 +110,26 @@ def rows_long(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
                 F.col("_e.key").alias("field"), F.col("_e.value").alias("value"))
 
 
+def parse_tables_long(tables: DataFrame, content_col: str = "content", key_col: str = fmt.KEY_COLUMN,
+                      total: str = fmt.TOTAL_ROW, default_sheet: str = fmt.DEFAULT_SHEET,
+                      name_col: str | None = None) -> DataFrame:
+    """The cells of ``parse_tables`` as rows ``(..., title, sheet, row_no, col_no, field, value)`` in header order.
+
+    Cells are exploded and stripped as plain (code-generated) expressions, without building maps; a duplicate
+    header name appears once, at its first position, with the value of its last position (as in the map form)."""
+    lines = _data_lines(tables, content_col, key_col, total, default_sheet, name_col)
+    cols = [x for x in tables.columns if x != content_col]
+    cells = lines.select(*cols, "title", "sheet", "row_no", "_h", "_l",
+                         F.posexplode(F.split("_l", ",")).alias("_p", "_v"))
+    pos = F.col("_p") + 1
+    field = F.element_at("_h", pos.cast("int"))
+    first = F.array_position("_h", field)
+    last = (F.size("_h") + 1 - F.array_position(F.reverse("_h"), field)).cast("int")
+    value = F.when(last == pos, F.col("_v")).otherwise(F.element_at(F.split("_l", ","), last))
+    return cells.where(first == pos).select(*cols, "title", "sheet", "row_no", pos.cast("int").alias("col_no"),
+                                            field.alias("field"), py_strip(value).alias("value"))
+
+
 # ----------------------------------------------------------------------------------------------------- wide -> long
 def unpivot_series(wide: DataFrame, key_col: str, order_col: str, value_cols: Sequence[str] | None = None,
                    total: str = fmt.TOTAL_ROW, rate_word: str = fmt.RATE_WORD, pct_unit: str = fmt.UNIT_PERCENT,

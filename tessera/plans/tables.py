@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import number_text, percent_text
 from ..operators.common import broadcast_if_small
-from ..operators.tables import (chart_series, parse_tables, rows_long, serialize_tables, series_share,
+from ..operators.tables import (chart_series, parse_tables_long, serialize_tables, series_share,
                                 unpivot_series)
 from ..session import scratch_path
 from .registry import register, table
@@ -81,8 +81,8 @@ SELECT l_orderkey, CASE WHEN sheet = '' THEN 'Sheet1' ELSE sheet END AS sheet, r
 FROM r""")
 def q_table_parse(spark, sf_dir):
     """Order sheets parsed back: header found by its key column, naive comma split, one row per cell."""
-    parsed = parse_tables(_order_sheets(spark, sf_dir), key_col="l_linenumber")
-    return rows_long(parsed.select("l_orderkey", "sheet", "row_no", "row"), ["l_orderkey", "sheet"])
+    cells = parse_tables_long(_order_sheets(spark, sf_dir), key_col="l_linenumber")
+    return cells.select("l_orderkey", "sheet", "row_no", "col_no", "field", "value")
 
 
 @register("percent_format", """

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators.tables import (chart_series, csv_header, fill_nulls, parse_tables, rows_long,
-                                      serialize_tables, series_share, unpivot_series)
+from tessera.operators.tables import (chart_series, csv_header, fill_nulls, parse_tables, parse_tables_long,
+                                      rows_long, serialize_tables, series_share, unpivot_series)
 
 
 def test_serialize_quoting_nulls_and_sheet(spark):
@@ -38,6 +38,17 @@ def test_parse_tables_rules(spark):
     ]
     long = rows_long(parsed, ["id"]).where("row_no = 0").orderBy("col_no").collect()
     assert [(r.col_no, r.field) for r in long] == [(1, "科室名称"), (2, "人数"), (3, "率")]
+    cells = parse_tables_long(tables, name_col="name")
+    assert sorted((r.row_no, r.col_no, r.field, r.value) for r in cells.collect()) == sorted(
+        (r.row_no, r.col_no, r.field, r.value) for r in rows_long(parsed, ["id"]).collect())
+
+
+def test_duplicate_header_last_value_wins(spark):
+    tables = spark.createDataFrame([(1, "k,a,a\nx, 1 , 2 \n")], "id int, content string")
+    row = parse_tables(tables, key_col="k").select(F.map_entries("row").alias("e")).first().e
+    assert [(e.key, e.value) for e in row] == [("k", "x"), ("a", "2")]
+    cells = [(r.col_no, r.field, r.value) for r in parse_tables_long(tables, key_col="k").orderBy("col_no").collect()]
+    assert cells == [(1, "k", "x"), (2, "a", "2")]
 
 
 # Re-typed excerpt of a recorded department table (3 departments and the total row).
