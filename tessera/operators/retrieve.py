@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import (decode_entities, dot, drop_script_style, first_line, py_strip, rest_lines,
-                              strip_tags, token_set, tokens, unit_normalize)
+                              strip_tags, tokens, unit_normalize)
 from .common import broadcast_if_small, fill_template, spread
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..functions.text import SENTENCE_CLOSERS
 from ..operators.blocks import (export_clean, file_text, merged_pages, paragraphs, preview, prompt_corpus,
