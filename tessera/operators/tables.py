@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import parse_value, py_strip
+from ..session import checkpoint_dir
 from .common import ordered_concat
 
 
@@ -141,11 +142,14 @@ def unpivot_series(wide: DataFrame, key_col: str, order_col: str, value_cols: Se
       ``%``; otherwise ``count_unit``;
     * rows named ``total`` are left out of the series; ``value`` follows the parse ladder (percent, integer, float),
       null when the text is not a number (``value_raw`` keeps the text).
-    The unit needs one small aggregate per column, joined back by broadcast (bounded by the number of columns).
+    The unit needs one small aggregate per column, joined back by broadcast (bounded by the number of columns).  The
+    unpivoted table is checkpointed once (shared checkpoint folder), so its inputs are not recomputed per use.
     """
     cols = list(value_cols) if value_cols is not None else [c for c in wide.columns if c not in (key_col, order_col)]
     typed = wide.select(key_col, order_col, *[F.col(c).cast("string").alias(c) for c in cols])
-    long = typed.unpivot([key_col, order_col], cols, "field", "value_raw")
+    # A report table is read twice here (units, values) and again by chart/share consumers: compute it once.
+    checkpoint_dir(wide.sparkSession)
+    long = typed.unpivot([key_col, order_col], cols, "field", "value_raw").checkpoint(eager=True)
     col_no = F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("field")).cast("int")
     units = long.groupBy("field").agg(F.bool_or(F.coalesce(F.col("value_raw").contains("%"), F.lit(False)))
                                       .alias("_pct"))
