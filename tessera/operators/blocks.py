@@ -8,7 +8,6 @@ and ``(ingest_seq, order_index)`` is the append order inside a file.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
@@ -125,6 +124,9 @@ def merged_pages(pages: DataFrame, file_col: str, page_col: str, text_col: str)
 
 
 def dense_order(df: DataFrame, partition: list[str], order: list[str], out: str = "order_index") -> DataFrame:
-    """0-based ordinal inside each partition (for block sources that carry positions with gaps)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w) - 1)
+    """0-based ordinal inside each group (for block sources that carry positions with gaps); a file with very many
+    blocks is numbered across many tasks (``ordinal_within``)."""
+    from .common import row_number_within
+
+    return row_number_within(df, partition, order, out="_ord").withColumn(out, (F.col("_ord") - 1).cast("int")) \
+        .drop("_ord")

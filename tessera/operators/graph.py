@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import formats as fmt
 from ..functions.text import label_width, md5_suffix, py_strip
 from ..session import checkpoint_dir
-from .common import broadcast_if_small
+from .common import broadcast_if_small, row_number_within
 
 
 # ------------------------------------------------------------------------------------------------------ cause tree
@@ -94,8 +94,8 @@ def tree_rollup(levelled: DataFrame, tree_col: str = "tree", order_col: str = "o
     """Per node: number of children and the widest child label (width rule of the child's level); for level-2 nodes
     the pair ("team") number ``ceil(n/2)`` and side (odd positions up, even down) in sibling order.
 
-    Child statistics are one partial aggregation per parent, joined back; the level-2 ordinal is a window over
-    each tree's second level only."""
+    Child statistics are one partial aggregation per parent, joined back; the level-2 ordinal is computed with
+    ``row_number_within`` (a window when the level is provably small, spread over tasks otherwise)."""
     checkpoint_dir(levelled.sparkSession)
     levelled = levelled.checkpoint(eager=True)   # read three times below
     width = (F.when(F.col("level") == 1, label_width("name", 1))
@@ -104,9 +104,9 @@ def tree_rollup(levelled: DataFrame, tree_col: str = "tree", order_col: str = "o
     kids = (levelled.where(F.col("level") > 1)
             .groupBy(tree_col, F.col("fid").alias("id"))
             .agg(F.count(F.lit(1)).alias("child_count"), F.max(width).alias("max_child_width")))
-    w = Window.partitionBy(tree_col).orderBy(order_col, "id")
-    second = (levelled.where(F.col("level") == 2)
-              .select(tree_col, "id", F.row_number().over(w).alias("_n"))
+    second = row_number_within(levelled.where(F.col("level") == 2).select(tree_col, "id", order_col),
+                            [tree_col], [order_col, "id"], out="_n")
+    second = (second
               .select(tree_col, "id", F.ceil(F.col("_n") / 2).cast("int").alias("team"),
                       F.when(F.col("_n") % 2 == 1, F.lit("up")).otherwise(F.lit("down")).alias("side")))
     return (levelled.join(kids, [tree_col, "id"], "left")
@@ -194,7 +194,7 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
     # Steps are chained by position: each step joins its predecessor on (report, position - 1) -- an equi-join,
     # not a window over the report -- and the first step hangs off the anchor node.
     if "step_pos" not in steps.columns:
-        steps = steps.withColumn("step_pos", F.dense_rank().over(Window.partitionBy("report").orderBy("step_no")))
+        steps = row_number_within(steps, ["report"], ["step_no"], out="step_pos")
     st = steps.select("report", F.col("step_pos").alias("_i"),
                       F.concat(F.lit("R"), F.col("step_pos").cast("string")).alias("dst"),
                       _safe(F.col("value")).alias("dst_label"))

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import json_fence_body, py_strip
-from .common import fill_template
+from .common import fill_template, row_number_within
 
 MAP_SS = "map<string,string>"
 
@@ -99,9 +99,10 @@ def cause_rows(sections: DataFrame, causes_key: str = fmt.CAUSES_KEY) -> DataFra
     as_list = F.when(py_strip(raw).startswith("["), F.from_json(raw, "array<string>"))
     items = F.coalesce(as_list, F.array(raw))
     details = F.filter(F.transform(items, py_strip), lambda d: d.isNotNull() & (d != ""))
-    w = Window.partitionBy("report").orderBy("sec_no", "cat_pos")
-    return cats.select("report", F.row_number().over(w).alias("cat_no"), F.col("_e.key").alias("category"),
-                       details.alias("details"))
+    staged = cats.select("report", "sec_no", "cat_pos", F.col("_e.key").alias("category"), details.alias("details"))
+    # Dense category numbers per report; a report holding a large share of rows is numbered across many tasks.
+    numbered = row_number_within(staged, ["report"], ["sec_no", "cat_pos"], out="cat_no")
+    return numbered.select("report", F.col("cat_no").cast("int").alias("cat_no"), "category", "details")
 
 
 # ------------------------------------------------------------------------------------------------------ suggestions

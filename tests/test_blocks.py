@@ -79,3 +79,28 @@ def test_merged_pages_repair(spark):
                                   "f int, p int, t string")
     got = {r.f: r.text for r in merged_pages(pages, "f", "p", "t").collect()}
     assert got == {1: "第一页结束。\n第二页续行", 2: "x"}
+
+
+def test_ordinal_within_matches_row_number_on_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from tessera.operators.common import ordinal_within
+
+    # key 0 holds about a third of the rows and spans several range partitions
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 97).alias("k"),
+                                     ((F.col("id") * 7919) % 3001).alias("o"), F.col("id").alias("v"))
+    got = {(r.k, r.o): r.ordinal for r in ordinal_within(df, ["k"], ["o"], partitions=7).collect()}
+    w = Window.partitionBy("k").orderBy("o")
+    exp = {(r.k, r.o): r.rn for r in df.select("k", "o", F.row_number().over(w).alias("rn")).collect()}
+    assert got == exp
+    two = ordinal_within(df.withColumn("k2", F.col("k") % 2), ["k2", "k"], ["o"], partitions=5)
+    assert {(r.k, r.o): r.ordinal for r in two.collect()} == exp
+
+
+def test_row_number_within_both_paths(spark):
+    from tessera.operators.common import row_number_within
+
+    df = spark.range(0, 500).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"))
+    small = {(r.k, r.o): r.n for r in row_number_within(df, ["k"], ["o"], "n").collect()}
+    spread = {(r.k, r.o): r.n for r in row_number_within(df, ["k"], ["o"], "n", max_group_rows=10).collect()}
+    assert small == spread and small[(0, 3)] == 2
