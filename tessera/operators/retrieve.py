@@ -16,14 +16,15 @@ from .common import broadcast_if_small, fill_template, spread
 # ---------------------------------------------------------------------------------------------------------------- TF-IDF
 def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
                  allow_terms: DataFrame | None = None, stop_terms: DataFrame | None = None,
-                 one_row_per_doc: bool = False, tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
+                 one_row_per_doc: bool = False, tokenizer: Callable[[Column], Column] | None = None,
+                 max_rows_per_doc: int = 10_000) -> DataFrame:
     """``(id, term, tf, df, weight)`` with weight = tf * ln(N / df), N = number of documents with any term.
 
-    * ``one_row_per_doc``: each input row is a whole document (unique id).  The rows are hash-partitioned by id once;
-      counting, weighting and a later per-document top-k then run inside that partitioning with no further exchange
-      (an id is never skewed).  Otherwise (a document spans many rows, e.g. the blocks of a file) tf is a
-      partial aggregation per (document, term) before its shuffle, which spreads a very large document over many
-      tasks.
+    * Documents of bounded size -- ``one_row_per_doc`` (each row is a whole document), or a cheap check (an
+      aggregate over the id column only) proving no document has more than ``max_rows_per_doc`` rows -- are
+      hash-partitioned by id once; counting, weighting and a later per-document top-k then run inside that
+      partitioning with no further exchange.  Otherwise (some document spans very many rows) tf is a partial
+      aggregation per (document, term) before its shuffle, which spreads a very large document over many tasks.
     * df is a partial aggregation per term; the (term, df) table is joined back by hash (Spark broadcasts it only
       when its runtime size is under the broadcast threshold).
     * N comes from a cheap scan of the input (documents holding at least one letter or digit); with allow/stop term
@@ -33,10 +34,10 @@ def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
     """
     tok = tokenizer or (lambda c: tokens(c, lower))
     src = docs
-    if one_row_per_doc:
-        docs = docs.repartition(id_col)
-    else:
-        docs = spread(docs)
+    bounded = one_row_per_doc or (
+        (docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
+        <= max_rows_per_doc)
+    docs = docs.repartition(id_col) if bounded else spread(docs)
     toks = docs.select(F.col(id_col), F.explode(tok(text)).alias("term"))
     filtered = allow_terms is not None or stop_terms is not None or tokenizer is not None
     if allow_terms is not None:
@@ -92,12 +93,15 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     tok = tokenizer or tokens
     tset = lambda c: F.array_distinct(tok(c))
     is_first = F.col("order_index") == 0
-    per_file = blocks.groupBy("filename").agg(
-        F.max_by(F.when(is_first, first_line("content")), F.when(is_first, F.col("ingest_seq"))).alias("title"))
-    name_terms = per_file.select("filename", F.lit("name").alias("part"),
-                                 F.explode(tset(F.col("filename"))).alias("term"))
-    title_terms = per_file.select("filename", F.lit("title").alias("part"),
-                                  F.explode(tset(F.coalesce(F.col("title"), F.lit("")))).alias("term"))
+    # Names: distinct file names (hash aggregation on the name column only).  Titles: only order-0 blocks, with the
+    # first line projected before the (sort-based) max_by, so no block text travels through that sort.
+    names = blocks.select("filename").distinct()
+    titles = (blocks.where(is_first).select("filename", "ingest_seq", first_line("content").alias("_t"))
+              .groupBy("filename").agg(F.max_by("_t", "ingest_seq").alias("title")))
+    name_terms = names.select("filename", F.lit("name").alias("part"),
+                              F.explode(tset(F.col("filename"))).alias("term"))
+    title_terms = titles.select("filename", F.lit("title").alias("part"),
+                                F.explode(tset(F.col("title"))).alias("term"))
     body = blocks.select("filename", F.when(is_first, rest_lines("content")).otherwise(F.col("content")).alias("body"))
     weights = term_weights(body, "filename", F.col("body"), lower=False,
                            tokenizer=body_tokenizer or tokenizer)

@@ -150,3 +150,16 @@ def test_custom_tokenizer_and_hit_texts(spark):
     hits = spark.createDataFrame([(1, 1, 7, 0.9), (1, 2, 8, 0.5)], "query_id long, rank int, doc_id long, score double")
     texts = spark.createDataFrame([(7, "seven"), (8, "eight")], "doc_id long, text string")
     assert hit_texts(hits, texts, joined=True).first().text == "seven\neight"
+
+
+def test_term_weights_paths_agree(spark):
+    from tessera.operators.retrieve import term_weights
+
+    rows = [("f1", "a b b c"), ("f1", "c d"), ("f2", "a a e"), ("f3", "e f g g g")]
+    docs = spark.createDataFrame(rows, "f string, t string")
+    local = {(r.f, r.term): (r.tf, r.df, round(r.weight, 9))
+             for r in term_weights(docs, "f", F.col("t")).collect()}
+    spread_path = {(r.f, r.term): (r.tf, r.df, round(r.weight, 9))
+                   for r in term_weights(docs, "f", F.col("t"), max_rows_per_doc=0).collect()}
+    assert local == spread_path
+    assert local[("f1", "b")] == (2, 1, round(2 * math.log(3 / 1), 9))
