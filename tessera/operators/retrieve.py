@@ -185,8 +185,10 @@ def _scored_batches(items: DataFrame, queries: DataFrame, item_id: str, query_id
                 ii, qq = ti, tq
             yield pd.DataFrame({query_id: qids[qq], item_id: pdf[item_id].to_numpy()[ii], "score": s[ii, qq]})
 
-    return items.select(item_id, vec_col).mapInPandas(
-        score, f"{query_id} {qid_type}, {item_id} {iid_type}, score double")
+    dim = int(bq.value[1].shape[1]) if bq.value[1].size else 0
+    # Items without a vector, or with another dimension than the queries, cannot be scored and are left out.
+    usable = items.select(item_id, vec_col).where(F.col(vec_col).isNotNull() & (F.size(vec_col) == dim))
+    return usable.mapInPandas(score, f"{query_id} {qid_type}, {item_id} {iid_type}, score double")
 
 
 def vector_threshold(items: DataFrame, queries: DataFrame, threshold: float = 0.3, item_id: str = "doc_id",

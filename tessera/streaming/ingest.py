@@ -31,10 +31,15 @@ def start_ingest(spark: SparkSession, source: str, schema: str, to_blocks: Calla
     stream = reader.load(source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        blocks = to_blocks(batch, batch_id).drop("ingest_seq")
-        blocks.write.mode("overwrite").parquet(f"{out_dir}/blocks/ingest_seq={batch_id}")
-        recs = retrieval_record(blocks.withColumn("ingest_seq", F.lit(batch_id).cast("long"))).drop("ingest_seq")
-        recs.write.mode("overwrite").parquet(f"{out_dir}/records/ingest_seq={batch_id}")
+        # The micro-batch feeds two writes: keep it for the duration of the batch instead of reading it twice.
+        batch.persist()
+        try:
+            blocks = to_blocks(batch, batch_id).drop("ingest_seq")
+            blocks.write.mode("overwrite").parquet(f"{out_dir}/blocks/ingest_seq={batch_id}")
+            recs = retrieval_record(blocks.withColumn("ingest_seq", F.lit(batch_id).cast("long")))
+            recs.drop("ingest_seq").write.mode("overwrite").parquet(f"{out_dir}/records/ingest_seq={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out_dir}/_checkpoint")
     if available_now:

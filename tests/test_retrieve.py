@@ -163,3 +163,9 @@ def test_term_weights_paths_agree(spark):
                    for r in term_weights(docs, "f", F.col("t"), max_rows_per_doc=0).collect()}
     assert local == spread_path
     assert local[("f1", "b")] == (2, 1, round(2 * math.log(3 / 1), 9))
+
+
+def test_vector_search_skips_unusable_vectors(spark):
+    items = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0, 0.0, 0.0])], "doc_id long, embedding array<double>")
+    q = spark.createDataFrame([(9, [1.0, 0.0])], "query_id long, embedding array<double>")
+    assert [r.doc_id for r in vector_topk(items, q, k=5).collect()] == [1]
