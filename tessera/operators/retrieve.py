@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd  # type hints of the pandas UDF below are resolved in this module
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -254,6 +255,26 @@ def prefixed_query(text: Column, prefix: str = fmt.QUERY_PREFIX) -> Column:
     return F.concat(F.lit(prefix), text)
 
 
+def embed_texts(df: DataFrame, text_col: str, encode: Callable, out: str = "embedding",
+                prefix: str | None = fmt.QUERY_PREFIX, normalize: bool = True) -> DataFrame:
+    """Add an embedding column computed by a user model: ``encode(list[str]) -> 2-D array`` runs once per Arrow
+    batch inside a pandas UDF (the model is shipped with the function; load it lazily inside ``encode`` for large
+    models).  The instruction prefix is put before each text and vectors are unit-normalised, as the search
+    operators expect."""
+    import numpy as np
+
+    @F.pandas_udf("array<float>")
+    def _embed(texts: pd.Series) -> pd.Series:
+        vecs = np.asarray(encode(texts.fillna("").tolist()), dtype=np.float64)
+        if normalize and len(vecs):
+            norms = np.linalg.norm(vecs, axis=1, keepdims=True)
+            vecs = vecs / np.where(norms == 0, 1.0, norms)
+        return pd.Series([v.astype(np.float32) for v in vecs], index=texts.index)
+
+    text = prefixed_query(F.col(text_col), prefix) if prefix else F.col(text_col)
+    return df.withColumn(out, _embed(text))
+
+
 # --------------------------------------------------------------------------------------------------------------- pages
 P_PATTERN = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"
 HREF_PATTERN = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"

@@ -169,3 +169,16 @@ def test_vector_search_skips_unusable_vectors(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0, 0.0, 0.0])], "doc_id long, embedding array<double>")
     q = spark.createDataFrame([(9, [1.0, 0.0])], "query_id long, embedding array<double>")
     assert [r.doc_id for r in vector_topk(items, q, k=5).collect()] == [1]
+
+
+def test_embed_texts_prefix_and_norm(spark):
+    from tessera.operators.retrieve import embed_texts
+
+    def encode(texts):
+        return np.array([[len(t), 3.0, 4.0] for t in texts])
+
+    df = spark.createDataFrame([(1, "abc"), (2, "")], "id long, text string")
+    rows = {r.id: r.embedding for r in embed_texts(df, "text", encode, prefix="P:").collect()}
+    assert abs(sum(x * x for x in rows[1]) - 1.0) < 1e-6
+    raw = np.array([5.0, 3.0, 4.0])          # "P:abc" has 5 characters
+    assert np.allclose(rows[1], raw / np.linalg.norm(raw), atol=1e-6)

@@ -68,3 +68,15 @@ def test_decode_files_with_csv_decoder(spark):
     assert len(blocks) == 1
     assert blocks[0].content == "x,y\n1,\n2,b" and blocks[0].filetype == ".csv"
     assert blocks[0].filename.endswith("/a.CSV")
+
+
+def test_manifest_strict_fails_on_unknown_type(spark):
+    import pytest
+
+    from tessera.sources.files import file_manifest
+
+    d = tempfile.mkdtemp(prefix="tessera-strict-")
+    with open(os.path.join(d, "x.bin"), "w") as f:
+        f.write("?")
+    with pytest.raises(Exception, match="Unsupported file type"):
+        file_manifest(spark, d, strict=True).collect()
