@@ -189,3 +189,8 @@ def parse_value(raw) -> Column:
 def json_fence_body(c) -> Column:
     """Body of a fenced ```json block, or '' when there is none."""
     return F.regexp_extract(_col(c), "```json\\n([\\s\\S]*?)\\n```", 1)
+
+
+def iso_now() -> Column:
+    """The query's timestamp as ISO-8601 text with microseconds (one value per query)."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

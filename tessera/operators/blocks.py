@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
-from ..functions.text import cr_normalize, py_strip, split_lines
+from ..functions.text import cr_normalize, iso_now, py_strip, split_lines
 from .common import fill_template, ordered_concat
 
 BLOCK_COLUMNS = ["filename", "filetype", "content", "content_type", "order_index", "ingest_seq"]
@@ -24,7 +24,7 @@ def block_table(rows: DataFrame, filename: Column, content: Column, content_type
 
     Blank blocks (after a Unicode strip) are dropped, kept ones are stripped; ``order_index`` keeps its gaps.  The
     file type defaults to the lower-cased extension of the file name.  ``with_time`` adds one ingest timestamp per
-    query (``current_timestamp()`` is evaluated once per query).
+    query (``current_timestamp()`` is evaluated once per query) as ``ingested_at`` and as ISO text ``timestamp``.
     """
     if filetype is None:
         filetype = F.lower(F.regexp_extract(filename, r"(\.[^./]+)$", 1))
@@ -36,7 +36,7 @@ def block_table(rows: DataFrame, filename: Column, content: Column, content_type
         ingest_seq.cast("long").alias("ingest_seq"),
     ).where(F.col("content") != "")
     if with_time:
-        out = out.withColumn("ingested_at", F.current_timestamp())
+        out = out.withColumn("ingested_at", F.current_timestamp()).withColumn("timestamp", iso_now())
     return out
 
 

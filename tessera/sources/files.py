@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd  # type hints of the pandas UDF below are resolved in this module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,23 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def pretty_json(col, indent: int = 2):
+    """JSON text re-indented (``indent`` spaces, non-ASCII kept, key order kept) -- the human-readable document form.
+    A small per-row helper in an Arrow-batched pandas UDF; use it at the edge, on finished documents."""
+    import json
+
+    def fmt(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=False, indent=indent))
+
+    return F.pandas_udf(fmt, "string")(F.col(col) if isinstance(col, str) else col)
+
+
+def write_json_documents(df: DataFrame, doc_col: str, path: str, indent: int = 2, mode: str = "overwrite") -> None:
+    """Indented JSON documents as UTF-8 text files (each document keeps its line breaks; files hold many
+    documents, one after another)."""
+    df.select(pretty_json(doc_col, indent).alias("value")).write.mode(mode).text(path)
+
+
 def write_export(blocks: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Block table export partitioned by file type (csv with a header row, or parquet)."""
     w = blocks.write.mode(mode).partitionBy("filetype")
@@ -93,8 +111,6 @@ def csv_decoder(data: bytes, path: str):
     missing cells stay empty and an integer column with gaps turns into floats, as pandas does)."""
     import io
 
-    import pandas as pd
-
     return [(0, "table", pd.read_csv(io.BytesIO(data)).to_csv(index=False))]
 
 
@@ -109,8 +125,6 @@ def decode_files(spark: SparkSession, path: str, decoders=None, recursive: bool
     ``binaryFile`` source and decoded in ``mapInPandas`` (Arrow batches, spread over the cluster); files without a
     decoder produce no rows (list them with ``file_manifest(..., strict=False)``).  Feed the result to
     ``operators.blocks.block_table``."""
-    import pandas as pd
-
     decoders = dict(DEFAULT_DECODERS if decoders is None else decoders)
     # Routing is computed on the same scan (no join that would move file contents); narrow the files read with a
     # ``pathGlobFilter``-style path argument when most files have no decoder.

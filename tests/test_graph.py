@@ -92,3 +92,20 @@ def test_report_document_shape(spark):
                                                                {"label": "授课专家", "value": ""}]}
     assert doc["assessmentAnalysis"]["mainProblem"] == "问题"
     assert doc["rectificationFlow"]["steps"] == [{"id": "rec_1", "label": "建议内容", "value": "v"}]
+
+
+def test_pretty_json_keeps_order_and_text(spark):
+    from tessera.sources.files import pretty_json
+
+    df = spark.createDataFrame([('{"b":1,"a":{"总结":"é"}}',)], "d string")
+    out = df.select(pretty_json("d").alias("p")).first().p
+    assert out == '{\n  "b": 1,\n  "a": {\n    "总结": "é"\n  }\n}'
+
+
+def test_block_table_iso_timestamp(spark):
+    from tessera.operators.blocks import block_table
+
+    b = block_table(spark.createDataFrame([("/a.txt", "x")], "f string, c string"), filename=F.col("f"),
+                    content=F.col("c"), content_type=F.lit("text"), order_index=F.lit(0), with_time=True).first()
+    import re
+    assert re.match(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$", b.timestamp)
