@@ -24,8 +24,12 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Round-robin an input that has fewer partitions than the cluster has cores (times ``factor``) before heavy
     per-row work such as tokenising.  A large scan already has many more partitions than cores, so at scale this
     returns ``df`` unchanged and adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the input as it is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def _sorted_join(pairs: Column, sep: str) -> Column:
