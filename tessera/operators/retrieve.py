@@ -134,11 +134,14 @@ def retrieved_text(hits: DataFrame, corpus: DataFrame, sep: str = "\n\n") -> Dat
 
 # ------------------------------------------------------------------------------------------------------------- vectors
 def centroids(vectors: DataFrame, key: str, vec_col: str = "embedding") -> DataFrame:
-    """Unit-normalised mean vector per key (element-wise mean, partial aggregation per (key, position))."""
-    pos = vectors.select(key, F.posexplode(vec_col).alias("pos", "x"))
-    means = pos.groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    packed = means.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_p"))
-    return packed.select(key, unit_normalize(F.transform("_p", lambda s: s["m"])).alias(vec_col))
+    """Unit-normalised mean vector per key.  ``Summarizer.mean`` averages whole vectors JVM-side with partial
+    aggregation (no per-element rows)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    means = (vectors.where(F.col(vec_col).isNotNull())
+             .groupBy(key).agg(Summarizer.mean(array_to_vector(vec_col)).alias("_m")))
+    return means.select(key, unit_normalize(vector_to_array("_m")).alias(vec_col))
 
 
 MAX_QUERY_VECTORS = 10_000
