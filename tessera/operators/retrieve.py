@@ -162,10 +162,13 @@ def _query_matrix(queries: DataFrame, query_id: str, vec_col: str, max_queries:
 def _scored_batches(items: DataFrame, queries: DataFrame, item_id: str, query_id: str, vec_col: str,
                     threshold: float | None, k: int | None, max_queries: int) -> DataFrame:
     """Score item batches against the broadcast query matrix with one matrix product per Arrow batch; emit only
-    pairs passing ``threshold`` and/or each batch's top ``k`` per query."""
+    pairs passing ``threshold`` and/or each batch's top ``k`` per query.  An empty item set is an error (nothing
+    is indexed), as in the source system."""
     import numpy as np
     import pandas as pd
 
+    if items.isEmpty():
+        raise ValueError("No documents indexed yet.")
     bq = _query_matrix(queries, query_id, vec_col, max_queries)
     qid_type = queries.schema[query_id].dataType.simpleString()
     iid_type = items.schema[item_id].dataType.simpleString()

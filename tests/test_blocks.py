@@ -104,3 +104,11 @@ def test_row_number_within_both_paths(spark):
     small = {(r.k, r.o): r.n for r in row_number_within(df, ["k"], ["o"], "n").collect()}
     spread = {(r.k, r.o): r.n for r in row_number_within(df, ["k"], ["o"], "n", max_group_rows=10).collect()}
     assert small == spread and small[(0, 3)] == 2
+
+
+def test_dense_order_closes_gaps(spark):
+    from tessera.operators.blocks import dense_order
+
+    df = spark.createDataFrame([("a", 0), ("a", 5), ("a", 2), ("b", 7)], "f string, pos int")
+    got = {(r.f, r.pos): r.order_index for r in dense_order(df, ["f"], ["pos"]).collect()}
+    assert got == {("a", 0): 0, ("a", 2): 1, ("a", 5): 2, ("b", 7): 0}

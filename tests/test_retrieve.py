@@ -182,3 +182,24 @@ def test_embed_texts_prefix_and_norm(spark):
     assert abs(sum(x * x for x in rows[1]) - 1.0) < 1e-6
     raw = np.array([5.0, 3.0, 4.0])          # "P:abc" has 5 characters
     assert np.allclose(rows[1], raw / np.linalg.norm(raw), atol=1e-6)
+
+
+def test_empty_store_is_an_error(spark):
+    import pytest
+
+    items = spark.createDataFrame([], "doc_id long, embedding array<double>")
+    q = spark.createDataFrame([(9, [1.0, 0.0])], "query_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="No documents indexed"):
+        vector_topk(items, q)
+
+
+def test_allow_and_stop_terms(spark):
+    from tessera.operators.retrieve import term_weights
+
+    docs = spark.createDataFrame([(1, "apple pie and tea"), (2, "tea and cake")], "id int, t string")
+    allow = spark.createDataFrame([("apple",), ("tea",), ("cake",)], "term string")
+    stop = spark.createDataFrame([("and",)], "term string")
+    got = {(r.id, r.term) for r in term_weights(docs, "id", F.col("t"), allow_terms=allow).collect()}
+    assert got == {(1, "apple"), (1, "tea"), (2, "tea"), (2, "cake")}
+    got = {(r.id, r.term) for r in term_weights(docs, "id", F.col("t"), stop_terms=stop).collect()}
+    assert (1, "and") not in got and (1, "pie") in got
