@@ -20,6 +20,7 @@ from .blocks import BLOCKS_SQL
 from .registry import register, table
 from .sources import conversation_blocks
 from .sqltext import WS, strip
+from .tables import _WIDE_SQL, _long
 
 
 def event_sections(spark, sf_dir) -> DataFrame:
@@ -228,14 +229,12 @@ def q_block_parse(spark, sf_dir):
 
 # ---------------------------------------------------------------------------------------------------- format checks
 @register("field_format_check", f"""
-WITH {__import__("tessera.plans.tables", fromlist=["_WIDE_SQL"])._WIDE_SQL}
+WITH {_WIDE_SQL}
 SELECT col_no, pos, value_raw,
        {", ".join(f"regexp_matches(value_raw, '{rx}') AS {name}" for name, rx in FORMAT_RULES.items())}
 FROM long""")
 def q_field_format_check(spark, sf_dir):
     """Format flags (date, one-decimal percent, number, duration) of every cell of the nation report table."""
-    from .tables import _long
-
     return field_format_check(_long(spark, sf_dir).select("col_no", "pos", "value_raw"), "value_raw")
 
 

@@ -72,6 +72,14 @@ def test_unpivot_series_units_values_total(spark):
     assert all(name != "合计" for pts in got.values() for _, name, _ in pts)
 
 
+def test_series_arrays_in_row_order(spark):
+    from tessera.operators.tables import series_arrays
+
+    long = unpivot_series(spark.createDataFrame(DEPT, DEPT_SCHEMA), "科室名称", "ord")
+    s = {r.col_no: r for r in series_arrays(long).collect()}
+    assert [p.name for p in s[1].data] == ["ICU", "外科一病区", "儿科"] and s[4].unit == "%"
+
+
 def test_unit_uses_total_row(spark):
     rows = [("a", 1, "1"), ("合计", 2, "50%")]
     long = unpivot_series(spark.createDataFrame(rows, "k string, o int, v string"), "k", "o")
