@@ -15,10 +15,22 @@ from .common import broadcast_if_small, fill_template, spread
 
 
 # ---------------------------------------------------------------------------------------------------------------- TF-IDF
+def partition_by_doc(docs: DataFrame, id_col: str, max_rows_per_doc: int = 10_000,
+                     one_row_per_doc: bool = False) -> tuple[DataFrame, bool]:
+    """Hash-partition documents by id when their size is bounded -- each row a whole document, or an aggregate over
+    the id column proving no document spans more than ``max_rows_per_doc`` rows -- so that everything computed per
+    document afterwards needs no further exchange.  Returns ``(frame, partitioned)``; unbounded inputs are only
+    spread (see ``spread``) and per-(document, term) aggregation takes care of large documents."""
+    bounded = one_row_per_doc or (
+        (docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
+        <= max_rows_per_doc)
+    return (docs.repartition(id_col), True) if bounded else (spread(docs), False)
+
+
 def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
                  allow_terms: DataFrame | None = None, stop_terms: DataFrame | None = None,
                  one_row_per_doc: bool = False, tokenizer: Callable[[Column], Column] | None = None,
-                 max_rows_per_doc: int = 10_000) -> DataFrame:
+                 max_rows_per_doc: int = 10_000, partitioned: bool | None = None) -> DataFrame:
     """``(id, term, tf, df, weight)`` with weight = tf * ln(N / df), N = number of documents with any term.
 
     * Documents of bounded size -- ``one_row_per_doc`` (each row is a whole document), or a cheap check (an
@@ -31,14 +43,13 @@ def term_weights(docs: DataFrame, id_col: str, text: Column, lower: bool = True,
     * N comes from a cheap scan of the input (documents holding at least one letter or digit); with allow/stop term
       tables it is counted from the filtered terms instead.
     The optional allow/stop term tables (column ``term``) stand in for a part-of-speech filter; ``tokenizer`` replaces
-    the built-in token rule (any ``Column -> array<string>`` function, e.g. a pandas UDF).
+    the built-in token rule (any ``Column -> array<string>`` function, e.g. a pandas UDF).  ``partitioned`` tells
+    that the caller already ran ``partition_by_doc`` (True: hash-partitioned by id; False: spread).
     """
     tok = tokenizer or (lambda c: tokens(c, lower))
     src = docs
-    bounded = one_row_per_doc or (
-        (docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
-        <= max_rows_per_doc)
-    docs = docs.repartition(id_col) if bounded else spread(docs)
+    if partitioned is None:
+        docs, _ = partition_by_doc(docs, id_col, max_rows_per_doc, one_row_per_doc)
     toks = docs.select(F.col(id_col), F.explode(tok(text)).alias("term"))
     filtered = allow_terms is not None or stop_terms is not None or tokenizer is not None
     if allow_terms is not None:
@@ -94,9 +105,11 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     tok = tokenizer or tokens
     tset = lambda c: F.array_distinct(tok(c))
     is_first = F.col("order_index") == 0
-    # Names: distinct file names (hash aggregation on the name column only).  Titles: only order-0 blocks, with the
-    # first line projected before the (sort-based) max_by, so no block text travels through that sort.
+    # One partitioning of the blocks by file (when file sizes are bounded) feeds names, titles and body terms, so the
+    # block text is read once and the per-file steps below need no further exchange.
+    blocks, by_file = partition_by_doc(blocks, "filename")
     names = blocks.select("filename").distinct()
+    # Titles: only order-0 blocks, first line projected before the (sort-based) max_by.
     titles = (blocks.where(is_first).select("filename", "ingest_seq", first_line("content").alias("_t"))
               .groupBy("filename").agg(F.max_by("_t", "ingest_seq").alias("title")))
     name_terms = names.select("filename", F.lit("name").alias("part"),
@@ -105,7 +118,7 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
                                 F.explode(tset(F.col("title"))).alias("term"))
     body = blocks.select("filename", F.when(is_first, rest_lines("content")).otherwise(F.col("content")).alias("body"))
     weights = term_weights(body, "filename", F.col("body"), lower=False,
-                           tokenizer=body_tokenizer or tokenizer)
+                           tokenizer=body_tokenizer or tokenizer, partitioned=by_file)
     body_terms = top_terms(weights, "filename", top_k_terms).select("filename", F.lit("body").alias("part"), "term")
     parts = name_terms.unionByName(title_terms).unionByName(body_terms)
 
