@@ -112,3 +112,11 @@ def test_dense_order_closes_gaps(spark):
     df = spark.createDataFrame([("a", 0), ("a", 5), ("a", 2), ("b", 7)], "f string, pos int")
     got = {(r.f, r.pos): r.order_index for r in dense_order(df, ["f"], ["pos"]).collect()}
     assert got == {("a", 0): 0, ("a", 2): 1, ("a", 5): 2, ("b", 7): 0}
+
+
+def test_join_paragraphs_round_trip(spark):
+    from tessera.operators.blocks import join_paragraphs
+
+    docs = spark.createDataFrame([(1, " a \n\nb\n 1. c")], "id int, text string")
+    got = join_paragraphs(paragraphs(docs, "id", "text"), "id").first().text
+    assert got == "a\nb\n[编号段] 1. c"

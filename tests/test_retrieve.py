@@ -203,3 +203,12 @@ def test_allow_and_stop_terms(spark):
     assert got == {(1, "apple"), (1, "tea"), (2, "tea"), (2, "cake")}
     got = {(r.id, r.term) for r in term_weights(docs, "id", F.col("t"), stop_terms=stop).collect()}
     assert (1, "and") not in got and (1, "pie") in got
+
+
+def test_retrieved_text_in_name_order(spark):
+    from tessera.operators.retrieve import retrieved_text
+
+    hits = spark.createDataFrame([(1, "/b"), (1, "/a"), (2, "/b")], "query_id long, filename string")
+    corpus = spark.createDataFrame([("/a", "A-text"), ("/b", "B-text")], "filename string, corpus string")
+    got = {r.query_id: r.text for r in retrieved_text(hits, corpus).collect()}
+    assert got == {1: "A-text\n\nB-text", 2: "B-text"}
