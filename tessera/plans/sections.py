@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..operators.blocks import prompt_corpus
-from ..operators.common import ordered_concat
+from ..operators.common import ordered_concat, spread
 from ..operators.sections import (FORMAT_RULES, block_parse, cause_rows, field_format_check, json_repair,
                                   main_problem, section_fields, section_outline, section_rows, suggestion_steps,
                                   template_fill)
@@ -24,7 +24,7 @@ from .tables import _WIDE_SQL, _long
 
 
 def event_sections(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))   # JSON work per row: use every core on a small file
     return ev.select(F.col("user_id").alias("report"), F.col("event_id").alias("sec_no"),
                      F.col("event_type").alias("section"), F.col("props").alias("body"))
 
@@ -75,7 +75,7 @@ def analysis_sections(spark, sf_dir) -> DataFrame:
     """Per event an analysis body: a problem summary for error events (blank otherwise, so it is skipped) and one
     cause category named after the event type; purchase causes are a single text, the others a list with a blank
     item (dropped by the operator)."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k")
     summary = F.when(F.col("event_type") == "error", F.concat(F.lit("error k="), k)).otherwise(F.lit(""))
     cause = F.when(F.col("event_type") == "purchase", F.concat(F.lit('"k='), k, F.lit('"'))) \
@@ -174,7 +174,7 @@ def q_suggestion_steps(spark, sf_dir):
 # ------------------------------------------------------------------------------------------------------ JSON repair
 def _replies(spark, sf_dir) -> DataFrame:
     """Model-reply stand-ins from the events: click props arrive fenced, error props behind a prefix (invalid)."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     reply = (F.when(F.col("event_type") == "click", F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```")))
              .when(F.col("event_type") == "error", F.concat(F.lit("error: "), F.col("props")))
              .otherwise(F.col("props")))

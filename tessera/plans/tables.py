@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import number_text, percent_text
-from ..operators.common import broadcast_if_small
+from ..operators.common import broadcast_if_small, spread
 from ..operators.tables import (chart_series, parse_tables_long, serialize_tables, series_share,
                                 unpivot_series)
 from ..session import scratch_path
@@ -48,7 +48,7 @@ _SERIALIZE_SQL = f"""
 
 
 def _order_sheets(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     # Line numbers repeat inside an order in this data, so lines are ordered by all their columns.
     return serialize_tables(li, ["l_orderkey"], LINE_COLUMNS, LINE_COLUMNS,
                             sheet=F.concat(F.lit("order_"), F.col("l_orderkey").cast("string")))

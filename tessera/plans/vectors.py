@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.retrieve import (HREF_PATTERN, P_PATTERN, centroids, page_paragraphs, top_links,
                                   vector_ann, vector_threshold, vector_topk)
 from ..sources.index import read_index, write_index
+from ..operators.common import spread
 from ..session import scratch_path
 from .registry import register, table
 from .sqltext import WS
@@ -100,7 +101,7 @@ SELECT page_id, url, content,
 FROM c WHERE length(content) > 100""")
 def q_page_paragraphs(spark, sf_dir):
     """Paragraph text of every page (> 60 characters each, page > 100, cut at 5000) and its formatted block."""
-    return page_paragraphs(table(spark, sf_dir, "pages"))
+    return page_paragraphs(spread(table(spark, sf_dir, "pages")))
 
 
 @register("top_links", f"""
