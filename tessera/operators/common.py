@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialize
 
 # Rows below which a side is broadcast.  The check reads at most this many rows plus one.
 BROADCAST_MAX_ROWS = 200_000
@@ -119,8 +119,7 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out
 
     # The numbered rows are checkpointed (shared checkpoint folder): the partition summary below must see exactly
     # the partition ids the numbering saw, which two separate evaluations of a range exchange do not guarantee.
-    checkpoint_dir(spark)
-    numbered = ranged.mapInPandas(number, schema).checkpoint(eager=True)
+    numbered = materialize(ranged.mapInPandas(number, schema))
     summ = numbered.groupBy("_pid").agg(F.min(F.struct(*keys)).alias("_f"),
                                         F.max(F.struct(*cols, "_local")).alias("_l"))
     s = summ.select("_pid", *[F.col("_f")[k].alias(f"_f{i}") for i, k in enumerate(keys)],

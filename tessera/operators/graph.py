@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import label_width, md5_suffix, py_strip
-from ..session import checkpoint_dir
+from ..session import materialize
 from .common import broadcast_if_small, row_number_within
 
 
@@ -73,8 +73,7 @@ def tree_levels(nodes: DataFrame, tree_col: str = "tree", root_parent: str = "0"
     parent with very many children is a skewed key that AQE splits.  No driver-side loop, plan size linear in depth."""
     # The node table feeds every join step: cut its lineage once (a reliable checkpoint in the shared checkpoint
     # folder) so the upstream plan runs once instead of once per step.
-    checkpoint_dir(nodes.sparkSession)
-    nodes = nodes.checkpoint(eager=True)
+    nodes = materialize(nodes)
     is_root = F.col("fid").isNull() | (F.col("fid") == root_parent)
     link = nodes.select(tree_col, F.col("id").alias("_k"), F.col("fid").alias("_up"), is_root.alias("_root"))
     cur = nodes.select(tree_col, "id", F.col("fid").alias("_k"),
@@ -96,8 +95,7 @@ def tree_rollup(levelled: DataFrame, tree_col: str = "tree", order_col: str = "o
 
     Child statistics are one partial aggregation per parent, joined back; the level-2 ordinal is computed with
     ``row_number_within`` (a window when the level is provably small, spread over tasks otherwise)."""
-    checkpoint_dir(levelled.sparkSession)
-    levelled = levelled.checkpoint(eager=True)   # read three times below
+    levelled = materialize(levelled)   # read three times below
     width = (F.when(F.col("level") == 1, label_width("name", 1))
              .when(F.col("level") == 2, label_width("name", 2))
              .otherwise(label_width("name", 3)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import parse_value, py_strip
-from ..session import checkpoint_dir
+from ..session import materialize
 from .common import ordered_concat
 
 
@@ -148,8 +148,7 @@ def unpivot_series(wide: DataFrame, key_col: str, order_col: str, value_cols: Se
     cols = list(value_cols) if value_cols is not None else [c for c in wide.columns if c not in (key_col, order_col)]
     typed = wide.select(key_col, order_col, *[F.col(c).cast("string").alias(c) for c in cols])
     # A report table is read twice here (units, values) and again by chart/share consumers: compute it once.
-    checkpoint_dir(wide.sparkSession)
-    long = typed.unpivot([key_col, order_col], cols, "field", "value_raw").checkpoint(eager=True)
+    long = materialize(typed.unpivot([key_col, order_col], cols, "field", "value_raw"))
     col_no = F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("field")).cast("int")
     units = long.groupBy("field").agg(F.bool_or(F.coalesce(F.col("value_raw").contains("%"), F.lit(False)))
                                       .alias("_pct"))

@@ -72,3 +72,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint (in the shared checkpoint folder), computing the input once.
+
+    Spark writes a reliable checkpoint with a second job after the action that triggers it; without a cache that
+    job computes the whole input again.  The input is persisted while the checkpoint is written and released
+    afterwards (the result reads the checkpoint files)."""
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
