@@ -86,7 +86,8 @@ def keyword_topk(docs: DataFrame, id_col: str, text_col: str, k: int = 20, lower
 def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0.5, query_id: str = "query_id",
                      query_text: str = "text", top_k_terms: int = 20,
                      tokenizer: Callable[[Column], Column] | None = None,
-                     body_tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
+                     body_tokenizer: Callable[[Column], Column] | None = None,
+                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Score every file of a block table against every query and keep files whose best score is **strictly** above
     ``threshold``.
 
@@ -97,11 +98,11 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     Case is kept on all three paths.  ``tokenizer`` (query, name and title tokens) and ``body_tokenizer`` (keyword
     candidates; default: the same) replace the built-in rule, e.g. with a pandas UDF returning ``array<string>``.
 
-    Plan: per-file parts are built with partial aggregations.  Candidate (query, file) pairs come from an exact
-    prefix filter -- only each query's rarest tokens that could still reach the threshold are joined to the parts on
-    ``term`` (broadcast when provably small) -- and are verified with exact shared-token counts per part.  Files
-    sharing no token with a query score 0 and never pass a non-negative threshold, so no query x file product is
-    formed.
+    Plan: per-file parts are built with partial aggregations.  A query set proven small (at most
+    ``broadcast_max_rows`` query tokens) is broadcast and joined map-side on ``term``; a larger one goes through an
+    exact prefix filter -- only each query's rarest tokens that could still reach the threshold are joined to the
+    parts -- with exact verification of the candidate pairs.  Files sharing no token with a query score 0 and never
+    pass a non-negative threshold, so no query x file product is formed.
     """
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (a negative threshold would select every file)")
@@ -123,38 +124,40 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     weights = term_weights(body, "filename", F.col("body"), lower=False,
                            tokenizer=body_tokenizer or tokenizer, partitioned=by_file)
     body_terms = top_terms(weights, "filename", top_k_terms).select("filename", F.lit("body").alias("part"), "term")
-    # Per-file parts are small (name, title and at most top_k_terms body terms per file) and feed three steps below:
-    # checkpoint them once (shared checkpoint folder) instead of recomputing the keyword pipeline per use.
-    parts = materialize(name_terms.unionByName(title_terms).unionByName(body_terms))
+    parts = name_terms.unionByName(title_terms).unionByName(body_terms)
 
     q = queries.select(F.col(query_id).alias("query_id"), tset(F.col(query_text)).alias("qt"))
     q_size = q.select("query_id", F.size("qt").alias("q_size"))
     q_terms = q.select("query_id", F.explode("qt").alias("term"))
-    q_small = q_terms.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    q_small = q_terms.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    counts = [F.count_if(F.col("part") == p).alias(f"n_{p}") for p in ("name", "title", "body")]
     if q_small:
-        q_terms = F.broadcast(q_terms)
-
-    # Exact prefix filter (set-similarity join): a part passes only with more than threshold * |Q| shared tokens,
-    # i.e. at least k = floor(threshold * |Q|) + 1; then it must share one of the query's |Q| - k + 1 rarest tokens
-    # (rarity = number of part rows holding the token, ties by token).  Only those prefix tokens are joined to the
-    # parts, so a token held by a large share of files is not joined unless a query consists of such tokens.
-    freq = parts.groupBy("term").agg(F.count(F.lit(1)).alias("_fq"))
-    ranked = (q_terms.join(freq, "term", "left")
-              .groupBy("query_id").agg(F.array_sort(F.collect_list(
-                  F.struct(F.coalesce("_fq", F.lit(0)).alias("_fq"), F.col("term")))).alias("_r")))
-    k = (F.floor(F.lit(threshold) * F.size("_r")) + 1).cast("int")
-    prefix = (ranked.select("query_id", F.explode(F.slice("_r", 1, F.greatest(F.size("_r") - k + 1, F.lit(0))))
-                            .alias("_t"))
-              .select("query_id", F.col("_t.term").alias("term")))
-    if q_small:                     # a subset of the query tokens, which were just proven small
-        prefix = F.broadcast(prefix)
-    candidates = parts.join(prefix, "term").select("query_id", "filename").distinct()
-    # Verification: the exact shared-token counts of candidate pairs (each file has a bounded number of part rows).
-    hits = (parts.join(candidates, "filename")
-            .join(q_terms, ["query_id", "term"], "left_semi")
-            .groupBy("query_id", "filename")
-            .agg(*[F.count_if(F.col("part") == p).alias(f"n_{p}") for p in ("name", "title", "body")]))
-    scored = hits.join(broadcast_if_small(q_size), "query_id").select(
+        # A provably small query set: a map-side (broadcast) join; each part row meets at most the queries that
+        # contain its token, a bounded multiplier.
+        hits = parts.join(F.broadcast(q_terms), "term").groupBy("query_id", "filename").agg(*counts)
+    else:
+        # A large query set: exact prefix filter (set-similarity join).  A part passes only with more than
+        # threshold * |Q| shared tokens, i.e. at least k = floor(threshold * |Q|) + 1; then it must share one of the
+        # query's |Q| - k + 1 rarest tokens (rarity = number of part rows holding the token, ties by token).  Only
+        # those prefix tokens are joined to the parts, so a token held by a large share of files is not joined
+        # unless a query consists of such tokens; candidate pairs are verified with exact shared-token counts.
+        # The parts are small (name, title, at most top_k_terms body terms per file) and used three times: computed
+        # once into the checkpoint folder.
+        parts = materialize(parts)
+        freq = parts.groupBy("term").agg(F.count(F.lit(1)).alias("_fq"))
+        ranked = (q_terms.join(freq, "term", "left")
+                  .groupBy("query_id").agg(F.array_sort(F.collect_list(
+                      F.struct(F.coalesce("_fq", F.lit(0)).alias("_fq"), F.col("term")))).alias("_r")))
+        k = (F.floor(F.lit(threshold) * F.size("_r")) + 1).cast("int")
+        prefix = (ranked.select("query_id", F.explode(F.slice("_r", 1, F.greatest(F.size("_r") - k + 1, F.lit(0))))
+                                .alias("_t"))
+                  .select("query_id", F.col("_t.term").alias("term")))
+        candidates = parts.join(prefix, "term").select("query_id", "filename").distinct()
+        hits = (parts.join(candidates, "filename")
+                .join(q_terms, ["query_id", "term"], "left_semi")
+                .groupBy("query_id", "filename").agg(*counts))
+    # One row per query: AQE broadcasts it at run time from its measured size (no extra check job here).
+    scored = hits.join(q_size, "query_id").select(
         "query_id", "filename",
         *[(F.col(f"n_{p}") / F.col("q_size")).alias(f"score_{p}") for p in ("name", "title", "body")])
     best = F.greatest("score_name", "score_title", "score_body")

@@ -212,3 +212,21 @@ def test_retrieved_text_in_name_order(spark):
     corpus = spark.createDataFrame([("/a", "A-text"), ("/b", "B-text")], "filename string, corpus string")
     got = {r.query_id: r.text for r in retrieved_text(hits, corpus).collect()}
     assert got == {1: "A-text\n\nB-text", 2: "B-text"}
+
+
+def test_keyword_retrieve_prefix_filter_path(spark):
+    files = {
+        "/data/a/common_one.txt": [(0, "common title\nalpha common beta")],
+        "/data/b/common_two.txt": [(0, "other\ncommon gamma alpha")],
+        "/data/c/three.txt": [(0, "common\ndelta")],
+    }
+    queries = {1: "common alpha", 2: "common", 3: "beta gamma delta common", 4: ""}
+    rows = [(name, o, c) for name, bl in files.items() for o, c in bl]
+    b = block_table(spark.createDataFrame(rows, "f string, o int, c string"), filename=F.col("f"),
+                    content=F.col("c"), content_type=F.lit("text"), order_index=F.col("o"))
+    q = spark.createDataFrame(list(queries.items()), "query_id long, text string")
+    for t in (0.0, 0.3, 0.5, 0.7):
+        big = {(r.query_id, r.filename): r.score
+               for r in keyword_retrieve(b, q, threshold=t, broadcast_max_rows=0).collect()}
+        small = {(r.query_id, r.filename): r.score for r in keyword_retrieve(b, q, threshold=t).collect()}
+        assert big == small == brute_keyword(files, queries, t), t
