@@ -112,7 +112,8 @@ def dot(a, b) -> Column:
 def unit_normalize(v) -> Column:
     v = _col(v)
     norm = F.sqrt(dot(v, v))
-    return F.transform(v, lambda x: x.cast("double") / norm)
+    # The norm enters as a zipped argument: an outer reference inside the lambda would be recomputed per element.
+    return F.zip_with(v, F.array_repeat(norm, F.size(v)), lambda x, n: x.cast("double") / n)
 
 
 def md5_suffix(c, modulo: int = 10000) -> Column:

@@ -40,17 +40,21 @@ def display_fields(fields: DataFrame, body_col: str = "body", rule: str = "strip
     inner_t = F.from_json(v, "map<string,variant>")
 
     def obj_lines():
+        # Both parses list the keys in document order; zipping them hands each key its text and JSON kind without
+        # referring to the parsed map from inside the lambda (that would parse it again for every key).
+        kinds = F.transform(F.map_values(inner_t), lambda x: F.schema_of_variant(x))
+        pairs = F.arrays_zip(F.map_keys(inner).alias("k"), F.map_values(inner).alias("v"), kinds.alias("t"))
+
         def per_key(e):
-            k_kind = F.schema_of_variant(F.element_at(inner_t, e["key"]))
-            items = F.when(k_kind.startswith("ARRAY"),
-                           F.transform(F.from_json(e["value"], "array<string>"),
+            items = F.when(e["t"].startswith("ARRAY"),
+                           F.transform(F.from_json(e["v"], "array<string>"),
                                        lambda x: F.struct(F.lit("item").alias("kind"), x.alias("text")))) \
-                .when(k_kind == "STRING", F.array(F.struct(F.lit("item").alias("kind"), e["value"].alias("text")))) \
+                .when(e["t"] == "STRING", F.array(F.struct(F.lit("item").alias("kind"), e["v"].alias("text")))) \
                 .otherwise(F.array().cast("array<struct<kind:string,text:string>>"))
-            head = F.array(F.struct(F.lit("heading").alias("kind"), F.concat(e["key"], F.lit("：")).alias("text")))
+            head = F.array(F.struct(F.lit("heading").alias("kind"), F.concat(e["k"], F.lit("：")).alias("text")))
             return F.concat(head, items)
 
-        return F.flatten(F.transform(F.map_entries(inner), per_key))
+        return F.flatten(F.transform(pairs, per_key))
 
     one = lambda t: F.array(F.struct(F.lit("value").alias("kind"), t.alias("text")))
     lines = F.when(is_str, one(shown)).when(is_obj, obj_lines()).otherwise(one(F.lit(empty)))

@@ -338,8 +338,10 @@ def page_paragraphs(pages: DataFrame, min_par: int = 60, max_len: int = 5000, mi
                        lambda p: py_strip(decode_entities(strip_tags(p))))
     kept = F.filter(pars, lambda p: F.length(p) > min_par)
     text = F.substring(py_strip(F.array_join(kept, "\n")), 1, max_len)
+    # The text is produced by a (one-element) generator so that the length filter applies to the generated column:
+    # a filter on a plain projection would be pushed below it and the extraction evaluated twice.
     out = (pages.where(F.col(html_col).isNotNull())
-           .select(F.col(id_col), F.col(url_col), text.alias("content"))
+           .select(F.col(id_col), F.col(url_col), F.explode(F.array(text)).alias("content"))
            .where(F.length("content") > min_page))
     return out.withColumn("block", fill_template(fmt.PAGE_BLOCK, url=F.col(url_col), content=F.col("content")))
 

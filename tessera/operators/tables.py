@@ -77,8 +77,14 @@ def _data_lines(tables: DataFrame, content_col: str, key_col: str, total: str, d
     hp = F.array_position(F.transform(lines, lambda l: l.startswith(key_col)), True)   # 1-based, 0 = none
     header = F.transform(F.split(F.element_at(lines, F.greatest(hp, F.lit(1)).cast("int")), ","), py_strip)
     n = F.size(header)
-    data = F.filter(lines, lambda l, i: (i + 1 > hp) & (py_strip(l) != "") & ~l.startswith(total)
-                    & (F.size(F.split(l, ",")) == n))
+    # Per-table values enter the line filter as zipped arrays, not as outer references inside the lambda (which
+    # would be evaluated again for every line).
+    m = F.size(lines)
+    zipped = F.arrays_zip(lines.alias("l"), F.sequence(F.lit(1), F.greatest(m, F.lit(1))).alias("i"),
+                          F.array_repeat(hp, m).alias("hp"), F.array_repeat(n, m).alias("n"))
+    data = F.transform(F.filter(zipped, lambda z: (z["i"] > z["hp"]) & (py_strip(z["l"]) != "")
+                                & ~z["l"].startswith(total) & (F.size(F.split(z["l"], ",")) == z["n"])),
+                       lambda z: z["l"])
     sheet = F.coalesce(F.nullif(py_strip(F.regexp_extract(c, r"Sheet:\s*([^\n]+)", 1)), F.lit("")),
                        F.lit(default_sheet))
     cols = [x for x in tables.columns if x != content_col]
