@@ -64,8 +64,9 @@ def section_outline(sections: DataFrame, heading: str = fmt.OUTLINE_HEADING,
                      F.transform(F.map_values(_obj(F.col("body"))),
                                  lambda v: F.struct(F.lit(1).alias("level"),
                                                     F.concat(F.lit(before), v, F.lit(after)).alias("text"))))
-    return (sections.where(_obj(F.col("body")).isNotNull())
-            .select("report", "sec_no", F.posexplode(lines).alias("pos", "_l"))
+    # A non-object body gives a null outline, which posexplode turns into no rows (no separate filter, which would
+    # parse the body a second time).
+    return (sections.select("report", "sec_no", F.posexplode(lines).alias("pos", "_l"))
             .select("report", "sec_no", "pos", F.col("_l.level").alias("level"), F.col("_l.text").alias("text")))
 
 
