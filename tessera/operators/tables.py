@@ -69,13 +69,28 @@ def serialize_tables(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 # -------------------------------------------------------------------------------------------------- parse CSV text
+# Comma outside double quotes (CSV field separator when fields may be quoted).
+QUOTED_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _fields(line: Column, quoted: bool) -> Column:
+    """Field texts of a line: plain comma split, or (``quoted``) a split on commas outside quotes with the quotes
+    removed and doubled quotes restored."""
+    if not quoted:
+        return F.split(line, ",")
+    return F.transform(F.split(line, QUOTED_SPLIT),
+                       lambda f: F.when(f.rlike('^".*"$'),
+                                        F.replace(F.regexp_replace(f, '^"|"$', ""), F.lit('""'), F.lit('"')))
+                       .otherwise(f))
+
+
 def _data_lines(tables: DataFrame, content_col: str, key_col: str, total: str, default_sheet: str,
-                name_col: str | None) -> DataFrame:
+                name_col: str | None, quoted: bool = False) -> DataFrame:
     """One row per kept data line: ``(..., title, sheet, row_no, _h, _l)`` (``_h`` = stripped header names)."""
     c = F.col(content_col)
     lines = F.split(c, "\n")
     hp = F.array_position(F.transform(lines, lambda l: l.startswith(key_col)), True)   # 1-based, 0 = none
-    header = F.transform(F.split(F.element_at(lines, F.greatest(hp, F.lit(1)).cast("int")), ","), py_strip)
+    header = F.transform(_fields(F.element_at(lines, F.greatest(hp, F.lit(1)).cast("int")), quoted), py_strip)
     n = F.size(header)
     # Per-table values enter the line filter as zipped arrays, not as outer references inside the lambda (which
     # would be evaluated again for every line).
@@ -83,7 +98,7 @@ def _data_lines(tables: DataFrame, content_col: str, key_col: str, total: str, d
     zipped = F.arrays_zip(lines.alias("l"), F.sequence(F.lit(1), F.greatest(m, F.lit(1))).alias("i"),
                           F.array_repeat(hp, m).alias("hp"), F.array_repeat(n, m).alias("n"))
     data = F.transform(F.filter(zipped, lambda z: (z["i"] > z["hp"]) & (py_strip(z["l"]) != "")
-                                & ~z["l"].startswith(total) & (F.size(F.split(z["l"], ",")) == z["n"])),
+                                & ~z["l"].startswith(total) & (F.size(_fields(z["l"], quoted)) == z["n"])),
                        lambda z: z["l"])
     sheet = F.coalesce(F.nullif(py_strip(F.regexp_extract(c, r"Sheet:\s*([^\n]+)", 1)), F.lit("")),
                        F.lit(default_sheet))
@@ -97,17 +112,18 @@ def _data_lines(tables: DataFrame, content_col: str, key_col: str, total: str, d
 
 def parse_tables(tables: DataFrame, content_col: str = "content", key_col: str = fmt.KEY_COLUMN,
                  total: str = fmt.TOTAL_ROW, default_sheet: str = fmt.DEFAULT_SHEET,
-                 name_col: str | None = None) -> DataFrame:
+                 name_col: str | None = None, quoted: bool = False) -> DataFrame:
     """Table text -> one row per data line: ``(..., title, sheet, row_no, row map<string,string>)``.
 
     Header = the first line starting with ``key_col`` (no header: the table is dropped).  Lines after it are split
     on plain commas (no quote handling), values stripped; blank lines, lines starting with ``total`` and lines whose
     field count differs from the header are skipped.  Repeated headers of later sheets stay as data rows.  Duplicate
-    header names: the last value wins.  Everything is computed inside the row (arrays), so no shuffle is needed."""
-    lines = _data_lines(tables, content_col, key_col, total, default_sheet, name_col)
+    header names: the last value wins.  Everything is computed inside the row (arrays), so no shuffle is needed.
+    ``quoted=True`` is the stricter mode: fields are split on commas outside double quotes and unquoted."""
+    lines = _data_lines(tables, content_col, key_col, total, default_sheet, name_col, quoted)
     cols = [x for x in tables.columns if x != content_col]
     return lines.select(*cols, "title", "sheet", "row_no",
-                        F.map_from_arrays("_h", F.transform(F.split("_l", ","), py_strip)).alias("row"))
+                        F.map_from_arrays("_h", F.transform(_fields(F.col("_l"), quoted), py_strip)).alias("row"))
 
 
 def rows_long(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,20 +135,20 @@ def rows_long(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def parse_tables_long(tables: DataFrame, content_col: str = "content", key_col: str = fmt.KEY_COLUMN,
                       total: str = fmt.TOTAL_ROW, default_sheet: str = fmt.DEFAULT_SHEET,
-                      name_col: str | None = None) -> DataFrame:
+                      name_col: str | None = None, quoted: bool = False) -> DataFrame:
     """The cells of ``parse_tables`` as rows ``(..., title, sheet, row_no, col_no, field, value)`` in header order.
 
     Cells are exploded and stripped as plain (code-generated) expressions, without building maps; a duplicate
     header name appears once, at its first position, with the value of its last position (as in the map form)."""
-    lines = _data_lines(tables, content_col, key_col, total, default_sheet, name_col)
+    lines = _data_lines(tables, content_col, key_col, total, default_sheet, name_col, quoted)
     cols = [x for x in tables.columns if x != content_col]
-    cells = lines.select(*cols, "title", "sheet", "row_no", "_h", "_l",
-                         F.posexplode(F.split("_l", ",")).alias("_p", "_v"))
+    cells = lines.select(*cols, "title", "sheet", "row_no", "_h", _fields(F.col("_l"), quoted).alias("_fs"))
+    cells = cells.select(*cols, "title", "sheet", "row_no", "_h", "_fs", F.posexplode("_fs").alias("_p", "_v"))
     pos = F.col("_p") + 1
     field = F.element_at("_h", pos.cast("int"))
     first = F.array_position("_h", field)
     last = (F.size("_h") + 1 - F.array_position(F.reverse("_h"), field)).cast("int")
-    value = F.when(last == pos, F.col("_v")).otherwise(F.element_at(F.split("_l", ","), last))
+    value = F.when(last == pos, F.col("_v")).otherwise(F.element_at("_fs", last))
     return cells.where(first == pos).select(*cols, "title", "sheet", "row_no", pos.cast("int").alias("col_no"),
                                             field.alias("field"), py_strip(value).alias("value"))
 
