@@ -66,7 +66,7 @@ def csv_blocks(spark: SparkSession, path: str, schema: str, group_col: str | Non
 def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole JSON files as ``(path, text)``; parse with ``from_json`` against the schema you need (keeps key order
     when parsed to a map)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
 

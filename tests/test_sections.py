@@ -116,3 +116,22 @@ def test_template_fill_blanks_missing(spark):
     got = [(r.label, r.value) for r in template_fill(s, section_fields(s), [("s1", "培训时间"), ("s1", "授课专家")])
            .orderBy("field_no").collect()]
     assert got == [("培训时间", "6月"), ("授课专家", "")]
+
+
+def test_json_documents_from_files_to_sections(spark):
+    import os
+    import tempfile
+
+    from tessera.sources.files import read_json_documents
+
+    d = tempfile.mkdtemp(prefix="tessera-json-")
+    doc = [{"培训组织概况": {"培训时间": "2025年5月", "授课专家": ""}}, {"培训内容": {"核心模块1": "A"}}]
+    with open(os.path.join(d, "raw_output.json"), "w", encoding="utf-8") as f:
+        json.dump(doc, f, ensure_ascii=False, indent=2)
+    docs = read_json_documents(spark, d)
+    secs = section_rows(docs, "path", "text")
+    got = [(r.sec_no, r.section) for r in secs.orderBy("sec_no").collect()]
+    assert got == [(0, "培训组织概况"), (1, "培训内容")]
+    fields = [(r.label, r.value) for r in section_fields(secs.withColumnRenamed("path", "report"))
+              .where("sec_no = 0").orderBy("field_no").collect()]
+    assert fields == [("培训时间", "2025年5月"), ("授课专家", "")]
