@@ -80,3 +80,34 @@ def test_manifest_strict_fails_on_unknown_type(spark):
         f.write("?")
     with pytest.raises(Exception, match="Unsupported file type"):
         file_manifest(spark, d, strict=True).collect()
+
+
+def test_sinks_round_trip(spark):
+    import json as _json
+
+    import pytest
+
+    from tessera.operators.blocks import export_clean
+    from tessera.sources.files import write_export, write_json_documents, write_json_lines
+    from tessera.sources.index import read_index
+
+    from tessera.operators.blocks import block_table
+
+    raw = spark.createDataFrame([("/c/1.txt", 0, "user", ' a,"b"\r\nc ')], "f string, turn long, role string, text string")
+    blocks = block_table(raw, filename=F.col("f"), content=F.col("text"), content_type=F.col("role"),
+                         order_index=F.col("turn"))
+    out = tempfile.mkdtemp(prefix="tessera-sinks-")
+    ex = export_clean(blocks)
+    write_export(ex, out + "/csv", fmt="csv")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out + "/csv").first()
+    assert back.content == 'a,"b"\nc' and back.filetype == '.txt'
+    write_export(ex, out + "/pq")
+    assert spark.read.parquet(out + "/pq").first().content == 'a,"b"\nc'
+    docs = spark.createDataFrame([("r", '{"b":1,"a":"é"}')], "report string, document string")
+    write_json_lines(docs, out + "/jl")
+    assert spark.read.json(out + "/jl").first().report == "r"
+    write_json_documents(docs, "document", out + "/pretty")
+    text = spark.read.text(out + "/pretty", wholetext=True).first().value
+    assert _json.loads(text) == {"b": 1, "a": "é"} and "\n  " in text
+    with pytest.raises(FileNotFoundError):
+        read_index(spark, out + "/no-such-index")
