@@ -96,24 +96,47 @@ def report_context(reports: DataFrame, steps: DataFrame, template: str = REPORT_
 # ------------------------------------------------------------------------------------------------------ document
 def report_document(fields: DataFrame, analysis: DataFrame, steps: DataFrame, parts: Mapping[str, str],
                     analysis_section: str = "培训及考核情况分析（鱼骨图）", steps_section: str = fmt.SUGGESTIONS_KEY,
-                    summary: DataFrame | None = None) -> DataFrame:
+                    summary: DataFrame | None = None, metrics: Mapping[str, str] | None = None,
+                    outline: DataFrame | None = None, outline_key: str = "trainingContent",
+                    series: DataFrame | None = None) -> DataFrame:
     """Assemble one nested report per report id and serialise it: ``(report, document)``.
 
     ``fields`` = ``(report, sec_no, section, field_no, label, value)``; ``parts`` maps an output key to the section
-    whose fields it lists (in section, then field order).  ``analysis`` = ``(report, main_problem, cat_no, category,
-    details)``; ``steps`` = ``(report, step_no, id, label, value)``.  Each part is one aggregation per report, the
-    parts are joined on the report id, and ``to_json`` writes the document (null fields kept)."""
+    whose fields it lists as ``{section, fields: [{label, value}]}`` (in section, then field order) and ``metrics``
+    likewise as ``{section, metrics: [...]}``.  ``outline`` = ``(report, pos, level, text)`` becomes
+    ``[{item: {contents: [{text}]}, level}]`` under ``outline_key``.  ``analysis`` = ``(report, main_problem, cat_no,
+    category, details)``; ``steps`` = ``(report, step_no, id, label, value)``.  With ``summary`` =
+    ``(report, content)`` the steps are wrapped as ``conclusionSummary {title, summary, rectificationFlow}``, else
+    ``rectificationFlow`` is a top-level key.  ``series`` = ``(report, col_no, unit, field, pos, name, value)`` adds
+    one top-level ``col_<n>`` key per column, ``{unit, name, data: [{name, value}]}``, after the analysis.
+    Each part is one aggregation per report, the parts are joined on the report id, and ``to_json`` writes the
+    document (null fields kept)."""
     reports = fields.select("report").unionByName(analysis.select("report")).unionByName(
         steps.select("report")).distinct()
     doc = reports
-    for key, section in parts.items():
-        part = (fields.where(F.col("section") == section)
+    keys: list[str] = []
+
+    def field_part(key: str, section: str, list_name: str):
+        return (fields.where(F.col("section") == section)
                 .groupBy("report").agg(F.array_sort(F.collect_list(F.struct(
                     "sec_no", "field_no", F.col("label"), F.col("value")))).alias("_f"))
                 .select("report", F.struct(F.lit(section).alias("section"), F.transform(
-                    "_f", lambda x: F.struct(x["label"].alias("label"), x["value"].alias("value"))).alias("fields"))
+                    "_f", lambda x: F.struct(x["label"].alias("label"), x["value"].alias("value"))).alias(list_name))
                         .alias(key)))
-        doc = doc.join(part, "report", "left")
+
+    for key, section in parts.items():
+        doc = doc.join(field_part(key, section, "fields"), "report", "left")
+        keys.append(key)
+    if outline is not None:
+        out = (outline.groupBy("report").agg(F.array_sort(F.collect_list(F.struct("pos", "level", "text"))).alias("_o"))
+               .select("report", F.transform("_o", lambda x: F.struct(
+                   F.struct(F.array(F.struct(x["text"].alias("text"))).alias("contents")).alias("item"),
+                   x["level"].alias("level"))).alias(outline_key)))
+        doc = doc.join(out, "report", "left")
+        keys.append(outline_key)
+    for key, section in (metrics or {}).items():
+        doc = doc.join(field_part(key, section, "metrics"), "report", "left")
+        keys.append(key)
     causes = (analysis.groupBy("report").agg(
         F.first("main_problem").alias("_mp"),
         F.array_sort(F.collect_list(F.struct("cat_no", "category", "details"))).alias("_c"))
@@ -121,11 +144,44 @@ def report_document(fields: DataFrame, analysis: DataFrame, steps: DataFrame, pa
                                    F.transform("_c", lambda x: F.struct(x["category"].alias("category"),
                                                                         x["details"].alias("details")))
                                    .alias("causes")).alias("assessmentAnalysis")))
+    flow_struct = lambda s: F.struct(F.lit(steps_section).alias("section"), F.transform(
+        s, lambda x: F.struct(x["id"].alias("id"), x["label"].alias("label"), x["value"].alias("value")))
+        .alias("steps"))
     flow = (steps.groupBy("report").agg(F.array_sort(F.collect_list(F.struct("step_no", "id", "label", "value")))
                                         .alias("_s"))
-            .select("report", F.struct(F.lit(steps_section).alias("section"), F.transform(
-                "_s", lambda x: F.struct(x["id"].alias("id"), x["label"].alias("label"), x["value"].alias("value")))
-                                       .alias("steps")).alias("rectificationFlow")))
+            .select("report", flow_struct(F.col("_s")).alias("rectificationFlow")))
     doc = doc.join(causes, "report", "left").join(flow, "report", "left")
-    cols = [F.col(k) for k in parts] + [F.col("assessmentAnalysis"), F.col("rectificationFlow")]
-    return doc.select("report", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("document"))
+    keys.append("assessmentAnalysis")
+    if summary is not None:
+        doc = doc.join(summary.select("report", F.col("content").alias("_sum")), "report", "left")
+        tail = [F.struct(F.lit("总结与改进建议").alias("title"),
+                         F.struct(F.lit("总结").alias("section"), F.col("_sum").alias("content")).alias("summary"),
+                         F.col("rectificationFlow")).alias("conclusionSummary")]
+    else:
+        tail = [F.col("rectificationFlow")]
+    head = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
+    end = F.to_json(F.struct(*tail), {"ignoreNullFields": "false"})
+    if series is None:
+        text = F.to_json(F.struct(*[F.col(k) for k in keys], *tail), {"ignoreNullFields": "false"})
+        return doc.select("report", text.alias("document"))
+    # Series keys (col_1 .. col_n) differ per report, so they are serialised as a map and spliced between the
+    # analysis and the closing part of the document text.
+    per_col = (series.groupBy("report", "col_no", "unit", "field")
+               .agg(F.array_sort(F.collect_list(F.struct("pos", "name", "value"))).alias("_d"))
+               .select("report", F.struct(F.col("col_no"), F.concat(F.lit("col_"), F.col("col_no").cast("string"))
+                                          .alias("k"),
+                                          F.struct("unit", F.col("field").alias("name"), F.transform(
+                                              "_d", lambda x: F.struct(x["name"].alias("name"),
+                                                                       x["value"].alias("value"))).alias("data"))
+                                          .alias("v")).alias("_e")))
+    cols = (per_col.groupBy("report").agg(F.array_sort(F.collect_list("_e")).alias("_es"))
+            .select("report", F.to_json(F.map_from_entries(F.transform("_es", lambda e: F.struct(e["k"], e["v"]))))
+                    .alias("_series")))
+    doc = doc.join(cols, "report", "left")
+    inner = lambda j: F.expr(f"substr({j}, 2, length({j}) - 2)")
+    with_series = F.concat(F.lit("{"), inner("_head"), F.lit(","), inner("_series"), F.lit(","), inner("_end"),
+                           F.lit("}"))
+    plain = F.concat(F.lit("{"), inner("_head"), F.lit(","), inner("_end"), F.lit("}"))
+    return (doc.select("report", head.alias("_head"), end.alias("_end"), "_series")
+            .select("report", F.when(F.col("_series").isNull() | (F.col("_series") == "{}"), plain)
+                    .otherwise(with_series).alias("document")))

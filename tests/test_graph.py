@@ -109,3 +109,28 @@ def test_block_table_iso_timestamp(spark):
                     content=F.col("c"), content_type=F.lit("text"), order_index=F.lit(0), with_time=True).first()
     import re
     assert re.match(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$", b.timestamp)
+
+
+def test_report_document_full_shape(spark):
+    fields = spark.createDataFrame([("r", 0, "培训组织概况", 1, "培训时间", "5月"), ("r", 4, "考核结果", 1, "最终通过率", "89.7%")],
+                                   "report string, sec_no int, section string, field_no int, label string, value string")
+    analysis = spark.createDataFrame([("r", "问题", 1, "类", ["d"])],
+                                     "report string, main_problem string, cat_no int, category string, details array<string>")
+    steps = spark.createDataFrame([("r", 1, "rec_1", "建议内容", "v")], "report string, step_no int, id string, label string, value string")
+    outline = spark.createDataFrame([("r", 0, 0, "培训内容包含以下四大核心模块："), ("r", 1, 1, "• A；")],
+                                    "report string, pos int, level int, text string")
+    series = spark.createDataFrame([("r", 2, "人", "实参训人数", 1, "ICU", 45.0), ("r", 1, "人", "应参训人数", 1, "ICU", 45.0),
+                                    ("r", 2, "人", "实参训人数", 2, "儿科", 46.0)],
+                                   "report string, col_no int, unit string, field string, pos int, name string, value double")
+    summary = spark.createDataFrame([("r", "总结文字")], "report string, content string")
+    doc = report_document(fields, analysis, steps, {"orgOverview": "培训组织概况"}, summary=summary,
+                          metrics={"assessmentChart": "考核结果"}, outline=outline, series=series).first().document
+    d = json.loads(doc)
+    assert list(d) == ["orgOverview", "trainingContent", "assessmentChart", "assessmentAnalysis", "col_1", "col_2",
+                       "conclusionSummary"]
+    assert d["trainingContent"][1] == {"item": {"contents": [{"text": "• A；"}]}, "level": 1}
+    assert d["assessmentChart"] == {"section": "考核结果", "metrics": [{"label": "最终通过率", "value": "89.7%"}]}
+    assert d["col_2"] == {"unit": "人", "name": "实参训人数", "data": [{"name": "ICU", "value": 45.0},
+                                                                {"name": "儿科", "value": 46.0}]}
+    assert d["conclusionSummary"]["summary"] == {"section": "总结", "content": "总结文字"}
+    assert d["conclusionSummary"]["rectificationFlow"]["steps"][0]["id"] == "rec_1"
