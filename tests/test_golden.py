@@ -85,3 +85,53 @@ def test_recorded_flow_chart(spark):
         ("R1", "R2", "", "加强操作考核中的薄弱环节培训，如水量控制和指缝覆盖等细节问题。"),
         ("R2", "R3", "", "定期开展手卫生复查和反馈机制，确保培训效果持续改进。"),
     ]
+
+
+def test_raw_sections_to_report_document(spark):
+    """Re-typed excerpt of a recorded raw report (sections and conclusion) through the whole report path."""
+    from tessera.operators.report import report_document
+    from tessera.operators.sections import (cause_rows, main_problem, section_fields, section_outline,
+                                            section_rows, suggestion_steps)
+
+    raw = [
+        {"培训组织概况": {"培训时间": "2025年5月10日至5月25日", "培训主题": "手卫生执行力与依从性", "授课专家": ""}},
+        {"培训内容": {"核心模块1": "WHO 推荐的“手卫生五个时刻”标准动作讲解", "核心模块2": "洗手流程规范、常见误区与推荐消毒剂分类"}},
+        {"培训参与情况和分析": {"整体参训率": "92.2%",
+                        "存在问题": {"总结": "部分科室参训不足", "具体问题": ["1、外科、康复医学科因轮班冲突或任务调度问题，部分人员未完成学习任务"]},
+                        "原因分析": {"排班与调度问题": ["1、外科和康复医学科的轮班制度导致部分人员无法参加培训"],
+                                 "培训形式适应性": ["1、部分医护人员可能对线上学习形式不够熟悉，影响学习效果"]}}},
+        {"考核内容": {"考核类型": "理论考试+现场操作考核"}},
+        {"考核结果": {"理论考试平均成绩": "82.5", "最终通过率": "89.7%"}},
+        {"考核问题和分析": {"存在问题": {"总结": "操作考核问题较多", "具体问题": []},
+                     "原因分析": {"考核标准执行严格": ["1、考核标准可能较为严格，导致部分医护人员未能通过"]}, "整改措施": ""}},
+    ]
+    conclusion = ["1、针对外科和康复医学科等参训率较低的科室，优化培训时间安排或提供补训机会。",
+                  "2、加强操作考核中的薄弱环节培训，如水量控制和指缝覆盖等细节问题。",
+                  "3、定期开展手卫生复查和反馈机制，确保培训效果持续改进。"]
+    docs = spark.createDataFrame([("pdf", json.dumps(raw, ensure_ascii=False))], "report string, text string")
+    secs = section_rows(docs, "report", "text")
+    fields = section_fields(secs)
+    analysis = cause_rows(secs.where("section in ('培训参与情况和分析', '考核问题和分析')")).join(
+        main_problem(secs.where("section in ('培训参与情况和分析', '考核问题和分析')")), "report")
+    outline = section_outline(secs.where("section = '培训内容'")).select("report", "pos", "level", "text")
+    items = spark.createDataFrame([("pdf", i, t) for i, t in enumerate(conclusion)], "r string, p int, t string")
+    steps = suggestion_steps(items, "r", "p", "t")
+    text = "Sheet: Sheet1\n" + ",".join(HEADER) + "\n" + "\n".join(",".join(r) for r in DEPARTMENTS[:3]) + "\n"
+    rows = parse_tables(spark.createDataFrame([("pdf", text)], "report string, content string"))
+    wide = rows.select("row_no", *[F.col("row")[h].alias(h) for h in HEADER])
+    series = unpivot_series(wide, "科室名称", "row_no").withColumn("report", F.lit("pdf"))
+    summary = spark.createDataFrame([("pdf", "总结文字")], "report string, content string")
+    doc = json.loads(report_document(
+        fields, analysis, steps, {"orgOverview": "培训组织概况"}, summary=summary,
+        metrics={"assessmentChart": "考核结果"}, outline=outline, series=series).first().document)
+    assert doc["orgOverview"]["fields"] == [{"label": "培训时间", "value": "2025年5月10日至5月25日"},
+                                            {"label": "培训主题", "value": "手卫生执行力与依从性"},
+                                            {"label": "授课专家", "value": ""}]
+    assert [x["item"]["contents"][0]["text"] for x in doc["trainingContent"]] == [
+        "培训内容包含以下四大核心模块：", "• WHO 推荐的“手卫生五个时刻”标准动作讲解；", "• 洗手流程规范、常见误区与推荐消毒剂分类；"]
+    assert doc["assessmentAnalysis"]["mainProblem"] == "部分科室参训不足；操作考核问题较多"
+    assert [c["category"] for c in doc["assessmentAnalysis"]["causes"]] == ["排班与调度问题", "培训形式适应性", "考核标准执行严格"]
+    assert doc["assessmentChart"]["metrics"][1] == {"label": "最终通过率", "value": "89.7%"}
+    assert doc["col_4"]["unit"] == "%" and [p["value"] for p in doc["col_4"]["data"]] == [100.0, 100.0, 100.0]
+    assert [s["id"] for s in doc["conclusionSummary"]["rectificationFlow"]["steps"]] == ["rec_1", "rec_2", "rec_3"]
+    assert doc["conclusionSummary"]["rectificationFlow"]["steps"][0]["value"].startswith("针对外科")
