@@ -134,3 +134,10 @@ def test_report_document_full_shape(spark):
                                                                 {"name": "儿科", "value": 46.0}]}
     assert d["conclusionSummary"]["summary"] == {"section": "总结", "content": "总结文字"}
     assert d["conclusionSummary"]["rectificationFlow"]["steps"][0]["id"] == "rec_1"
+
+
+def test_display_fields_falsy_rule(spark):
+    body = json.dumps({"a": "  ", "b": "", "c": " x "}, ensure_ascii=False)
+    secs = spark.createDataFrame([("r", 0, body)], "report string, sec_no int, body string")
+    got = [(r.label, r.text) for r in display_fields(secs, rule="falsy").orderBy("field_no").collect()]
+    assert got == [("a", "  "), ("b", "/"), ("c", " x ")]
