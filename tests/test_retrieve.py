@@ -230,3 +230,11 @@ def test_keyword_retrieve_prefix_filter_path(spark):
                for r in keyword_retrieve(b, q, threshold=t, broadcast_max_rows=0).collect()}
         small = {(r.query_id, r.filename): r.score for r in keyword_retrieve(b, q, threshold=t).collect()}
         assert big == small == brute_keyword(files, queries, t), t
+
+
+def test_centroids_mean_then_unit_norm(spark):
+    rows = [(1, 0, [1.0, 0.0, 0.0]), (2, 0, [0.0, 1.0, 0.0]), (3, 1, [0.0, 0.0, 2.0]), (4, 1, None)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.label: r.embedding for r in centroids(df, "label").collect()}
+    assert np.allclose(got[0], np.array([0.5, 0.5, 0.0]) / np.linalg.norm([0.5, 0.5, 0.0]))
+    assert np.allclose(got[1], [0.0, 0.0, 1.0])
