@@ -86,8 +86,8 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out
     one row per partition (its first key, its last key and that key's local count) gives, for the first key of
     every partition, the number of rows of that key in earlier partitions, which is added.  The numbered rows are
     checkpointed once so the summary and the result see the same partitions; the summary is broadcast (bounded by
-    the partition count).  ``order`` must make rows unique within a key (add a tie-breaker),
-    so that recomputation after a lost executor numbers identically.
+    the partition count).  Keys must be non-null, and ``order`` must make rows unique within a key (add a
+    tie-breaker), so that recomputation after a lost executor numbers identically.
     """
     import pandas as pd  # noqa: F401  (used inside tasks)
 
