@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import written
 
 # Rows below which a side is broadcast.  The check reads at most this many rows plus one.
 BROADCAST_MAX_ROWS = 200_000
@@ -81,76 +81,28 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out
                    partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` (1-based) without putting a key's rows in one task.
 
-    Rows are range-partitioned on ``keys + order`` -- so a key holding a third of all rows spans many partitions --
-    and sorted inside each partition; each partition numbers its rows per key in Arrow batches; a summary of at most
-    one row per partition (its first key, its last key and that key's local count) gives, for the first key of
-    every partition, the number of rows of that key in earlier partitions, which is added.  The numbered rows are
-    checkpointed once so the summary and the result see the same partitions; the summary is broadcast (bounded by
-    the partition count).  Keys must be non-null, and ``order`` must make rows unique within a key (add a
-    tie-breaker), so that recomputation after a lost executor numbers identically.
+    Rows are dealt by range of ``keys + order`` and every partition's number becomes a column of the written rows,
+    so each (key, bucket) group is numbered by a plain window over one partition's share of a key; a prefix sum of the
+    groups' row counts (one row per key and bucket, summed by a window per key) gives the rows before each bucket.
+    Only JVM operators are used.  Null keys form one group, payload columns pass unchanged, and rows equal in ``keys``
+    and ``order`` are numbered in an arbitrary order; the rows are written before they are numbered, so a recomputed
+    task numbers the same rows.  ``keys`` may be empty: the whole input is numbered.
     """
-    import pandas as pd  # noqa: F401  (used inside tasks)
-
-    spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys, order = list(keys), list(order)
-    cols = keys + order
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType(list(ranged.schema.fields) + [StructField("_local", LongType())])
-
-    def number(batches):
-        prev = None                                  # (last key of the previous batch, its local number)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            k = pdf[keys]
-            change = (k != k.shift()).any(axis=1).to_numpy()
-            change[0] = not (prev is not None and prev[0] == tuple(k.iloc[0]))
-            grp = change.cumsum()
-            local = pdf.groupby(grp).cumcount().to_numpy() + 1
-            if not change[0]:
-                local[grp == 0] += prev[1]
-            pdf["_local"] = local
-            prev = (tuple(k.iloc[-1]), int(local[-1]))
-            yield pdf
-
-    # The numbered rows are checkpointed (shared checkpoint folder): the partition summary below must see exactly
-    # the partition ids the numbering saw, which two separate evaluations of a range exchange do not guarantee.
-    numbered = materialize(ranged.mapInPandas(number, schema))
-    summ = numbered.groupBy("_pid").agg(F.min(F.struct(*keys)).alias("_f"),
-                                        F.max(F.struct(*cols, "_local")).alias("_l"))
-    s = summ.select("_pid", *[F.col("_f")[k].alias(f"_f{i}") for i, k in enumerate(keys)],
-                    *[F.col("_l")[k].alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_l._local").alias("_lc"))
-    a, b = s.alias("a"), s.alias("b")
-    cond = F.col("b._pid") < F.col("a._pid")
-    for i in range(len(keys)):
-        cond = cond & (F.col(f"b._k{i}") == F.col(f"a._f{i}"))
-    offsets = (a.join(b, cond, "left")
-               .groupBy(*[F.col(f"a.{c}") for c in ["_pid"] + [f"_f{i}" for i in range(len(keys))]])
-               .agg(F.coalesce(F.sum("b._lc"), F.lit(0)).alias("_off")))
-    is_first = F.lit(True)
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = written(df.repartitionByRange(n, *keys, *order).withColumn("_bucket", F.spark_partition_id()))
+    numbered = dealt.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order)))
+    counts = dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    before = (counts.withColumn("_off", F.coalesce(F.sum("_rows").over(
+                  Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .select("_bucket", "_off", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
+    cond = F.col("_bucket") == F.col("_b")
     for i, k in enumerate(keys):
-        is_first = is_first & (F.col(k) == F.col(f"_f{i}"))
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_local") + F.when(is_first, F.col("_off")).otherwise(F.lit(0)))
-            .drop("_pid", "_local", "_off", *[f"_f{i}" for i in range(len(keys))]))
-
-
-# Largest group (rows) that a plain window may number in one task.
-WINDOW_MAX_GROUP_ROWS = 1_000_000
-
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = numbered.join(before.withColumnRenamed("_bucket", "_b"), cond)
+    return joined.select(*df.columns, (F.col("_local") + F.col("_off")).alias(out))
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "ordinal",
-                      max_group_rows: int = WINDOW_MAX_GROUP_ROWS) -> DataFrame:
-    """1-based ``row_number`` per key: a plain window when the largest key group is proven to hold at most
-    ``max_group_rows`` rows (one partial aggregate checks it), otherwise ``ordinal_within`` spreads hot groups over
-    many tasks.  ``order`` must make rows unique within a key."""
-    from pyspark.sql import Window
 
-    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if biggest <= max_group_rows:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "ordinal") -> DataFrame:
+    """1-based ``row_number`` per key; the same path for every group size (see ``ordinal_within``)."""
     return ordinal_within(df, keys, order, out)

@@ -7,6 +7,7 @@ only fills in the few values an operator needs when they are unset (local runs a
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,13 +56,16 @@ def ensure_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system path set by whoever runs the cluster).  Only
-    when it is unset -- local runs and tests -- a private folder is created and registered on the session.
+    On a cluster this is ``spark.checkpoint.dir`` (a shared file system path set by whoever runs the cluster); without
+    it a non-local session is an error.  A local session without it gets a private folder, registered on the session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
@@ -90,3 +94,11 @@ def materialize(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def written(df, name: str = "table"):
+    """Cut lineage with a table written once below the checkpoint folder and read back (the input is computed once,
+    and a lost executor does not repeat it).  The folder is cleared by whoever set ``spark.checkpoint.dir``."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
