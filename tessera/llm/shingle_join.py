@@ -7,7 +7,8 @@ non-empty parts must agree with any partner's: under one total order of part val
 ``D + 1`` of them.  The order puts part values that are frequent in a bounded sample last, so passages that many
 documents share rarely become join keys; the sample changes the cost only, never the result.
 
-Candidates are verified exactly.  A part value held by many sets does not emit all its pairs: members are compared
+A candidate pair whose whole bit sketches (one bit per hash bucket, flipped by each element) differ in more bits than
+linked sets can differ in elements is dropped; the others are verified exactly.  A part value held by many sets does not emit all its pairs: members are compared
 with the smallest one, and only those that fail are compared with the other members.
 """
 
@@ -152,7 +153,30 @@ def sketch_keys(doc, h, count, percent: int, upper: bool, frequent, salt: int =
     return np.concatenate((kdoc, more[0])), np.concatenate((key, more[1]))
 
 
-def _batches(batches, rows=400):
+def bit_sketches(doc, h, count):
+    """The parity sketch of each set as bytes: a power of two of bits, at least two for each element."""
+    import numpy as np
+
+    bits = np.left_shift(1, np.clip(np.ceil(np.log2(np.maximum(2 * count, 64))), 6, 20).astype(np.int64))
+    begin = np.cumsum(bits) - bits
+    at = begin[doc] + (mix(h ^ np.uint64(_M2)) >> np.uint64(20)).astype(np.int64) % bits[doc]
+    flat = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    packed = np.packbits(flat, bitorder="little").tobytes()
+    return [packed[x // 8:(x + n) // 8] for x, n in zip(begin.tolist(), bits.tolist(), strict=True)]
+
+
+def hamming(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded onto the shorter: a lower bound of how many elements
+    the sets differ in."""
+    import numpy as np
+
+    x, y = (np.frombuffer(v, np.uint64) for v in (a, b))
+    n = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, n), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _batches(batches, rows=150):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -164,7 +188,7 @@ def _all_keys(texts, words, percent, frequent):
     doc, h = shingle_sets(texts, words)
     count, key = set_keys(doc, h, len(texts))
     found = [sketch_keys(doc, h, count, percent, upper, frequent) for upper in (False, True)]
-    return count, key, np.concatenate([d for d, _ in found]), np.concatenate([k for _, k in found])
+    return count, key, bit_sketches(doc, h, count), np.concatenate([d for d, _ in found]), np.concatenate([k for _, k in found])
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -188,7 +212,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
             done = np.empty(0, np.uint64)       # sets of this task whose keys are out already
             for batch in _batches(batches):
-                count, key, doc, part = _all_keys(batch.column(1).to_pylist(), words, percent,
+                count, key, bits, doc, part = _all_keys(batch.column(1).to_pylist(), words, percent,
                                                   None if frequent is None else frequent.value)
                 first = np.zeros(len(key), dtype=bool)
                 first[np.unique(key, return_index=True)[1]] = True
@@ -201,12 +225,13 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     [pa.concat_arrays([batch.column(0), pa.nulls(len(doc), batch.column(0).type)]),
                      pa.array(np.concatenate((count, np.full(len(doc), -1)))),
                      pa.array(np.concatenate((spread, part)).view(np.int64)),
-                     pa.array(np.concatenate((key, key[doc])).view(np.int64))],
-                    names=["id", "n_shingles", "part_key", "set_key"])
+                     pa.array(np.concatenate((key, key[doc])).view(np.int64)),
+                     pa.concat_arrays([pa.array(bits, pa.binary()), pa.nulls(len(doc), pa.binary())])],
+                    names=["id", "n_shingles", "part_key", "set_key", "bits"])
 
         return run
 
-    schema = f"id {kind}, n_shingles long, part_key long, set_key long"
+    schema = f"id {kind}, n_shingles long, part_key long, set_key long, bits binary"
     share = max(1, texts.count() // SAMPLE_SETS)
     sample = (texts.where(F.pmod(F.xxhash64(F.lit(41), "id", "t"), F.lit(share)) == 0)
               .mapInArrow(keys_of(None), schema).where("n_shingles < 0").groupBy("part_key").count()
@@ -215,29 +240,55 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = saved(texts.mapInArrow(keys_of(frequent), schema).repartition(n, "part_key")
                   .sortWithinPartitions("part_key", "set_key").mapInArrow(
-                      _bucket_pairs, f"id {kind}, n_shingles long, set_key long, a long, b long, bucket long"))
+                      _bucket_pairs, f"id {kind}, n_shingles long, set_key long, bits binary, a long, b long, bucket long"))
     sets = found.where("n_shingles >= 0").select(F.col("id").alias(id_col), "n_shingles", "set_key")
     buckets = found.where("n_shingles < 0").select("a", "b", "bucket")
-    # One text of each set that has a candidate.
-    wanted = key_filter(buckets.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "k")
+    bits = found.where("n_shingles > 0").groupBy("set_key").agg(F.max("n_shingles").alias("n"), F.max("bits").alias("bits"))
+    pairs = saved(_screened(buckets.select("a", "b").distinct(), bits, percent))
+    maybe = pairs.where("ok")
+    # Members of large buckets that differ from the bucket's smallest set meet all others of the bucket.
+    held = buckets.where("bucket is not null").select("bucket", F.col("b").alias("x"), F.col("a").alias("low"))
+    first, body = _settled(texts, maybe, words, percent)
+    far = pairs.where("not ok").select("a", "b").unionAll(first.where("not ok").select("a", "b"))
+    failed = held.join(far.select(F.col("a").alias("low"), F.col("b").alias("x")), ["low", "x"]).select("bucket", "x")
+    more = (failed.join(held.select("bucket", F.col("x").alias("y")), "bucket").where("x <> y")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            .join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    links = first.where("ok").select("a", "b")
+    more = saved(_between(_screened(more, bits, percent).where("ok"), links))
+    if more.isEmpty():
+        return sets, links
+    return sets, links.unionAll(_settled(texts, more, words, percent)[0].where("ok").select("a", "b"))
+
+
+def _settled(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, ok) of enough ``pairs`` (a, b) to connect what they link: each set's pair with its smallest partner first,
+    then those whose ends are not connected yet.  Also the texts of the sets in ``pairs``."""
+    pairs = pairs.select("a", "b")
+    wanted = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "k")
     body = saved(texts.mapInArrow(_bodies(words, wanted), "set_key long, t string")
                  .groupBy("set_key").agg(F.min("t").alias("t")))
-
-    pairs = buckets.where("bucket is null").select("a", "b").distinct()
     nearest = saved(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     first = saved(_verified(nearest, body, words, percent))
-    open_pairs = saved(_between(pairs.join(nearest, ["a", "b"], "left_anti"), first.where("ok")))
-    second = saved(_verified(open_pairs, body, words, percent))
-    # Members of large buckets that failed against the bucket's smallest set meet all others of the bucket.
-    held = buckets.where("bucket is not null").select("bucket", F.col("b").alias("x"), F.col("a").alias("low"))
-    done = first.unionAll(second)
-    failed = (held.join(done.where("not ok").select(F.col("a").alias("low"), F.col("b").alias("x")), ["low", "x"])
-              .select("bucket", "x"))
-    rest = (failed.join(held.select("bucket", F.col("x").alias("y")), "bucket").where("x <> y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(done.select("a", "b"), ["a", "b"], "left_anti"))
-    third = saved(_verified(saved(_between(rest, done.where("ok"))), body, words, percent))
-    return sets, done.unionAll(third).where("ok").select("a", "b")
+    rest = saved(_between(pairs.join(nearest, ["a", "b"], "left_anti"), first.where("ok")))
+    return first if rest.isEmpty() else first.unionAll(saved(_verified(rest, body, words, percent))), body
+
+
+def _screened(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ok): whether the sketches allow each pair to be linked."""
+    side = lambda c: bits.select(F.col("set_key").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"s{c}"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            na, sa, nb, sb = (batch.column(i).to_pylist() for i in range(2, 6))
+            ok = [100 * min(m, n) >= percent * max(m, n) and (100 + percent) * hamming(x, y) <= (100 - percent) * (m + n)
+                  for m, x, n, y in zip(na, sa, nb, sb, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "sa", "nb", "sb")
+            .mapInArrow(run, "a long, b long, ok boolean"))
 
 
 def _sorted_keys(keys):
@@ -292,15 +343,16 @@ def _bucket_pairs(batches):
         cols = zip(*rows, strict=True) if rows else ([], [], [])
         x, y, z = (pa.array(v, pa.int64()) for v in cols)
         return pa.RecordBatch.from_arrays([pa.nulls(len(x), kind), pa.array(np.full(len(x), -1)), pa.nulls(len(x), pa.int64()),
-                                           x, y, z], names=names)
+                                           pa.nulls(len(x), pa.binary()), x, y, z], names=names)
 
-    names, kind = ["id", "n_shingles", "set_key", "a", "b", "bucket"], None
+    names, kind = ["id", "n_shingles", "set_key", "bits", "a", "b", "bucket"], None
     for batch in batches:
         kind = batch.column(0).type
         is_set = batch.column(1).to_numpy() >= 0
         at = pa.array(np.flatnonzero(is_set))
         no = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at), no, no, no],
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at),
+                                           batch.column(4).take(at), no, no, no],
                                          names=names)
         k, s = batch.column(2).to_numpy()[~is_set], batch.column(3).to_numpy()[~is_set]
         if not len(k):
@@ -324,7 +376,7 @@ def _bucket_pairs(batches):
                         for x in head[1:]:
                             large(x)
                     large(si)
-        if len(a) > 400_000:
+        if len(a) > 100_000:
             yield flush()
     close()
     if a:
@@ -354,7 +406,7 @@ def _verified(pairs: DataFrame, body: DataFrame, words: int, percent: int, block
         import pyarrow as pa
 
         own = np.empty(0, np.uint64)
-        for batch in _batches(batches, 1000):
+        for batch in _batches(batches, 300):
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             doc, h = shingle_sets(batch.column(2).to_pylist(), words)
             cut = np.searchsorted(doc, np.arange(len(a) + 1))
