@@ -22,7 +22,7 @@ from .common import connected_components, key_filter, may_hold, saved
 BANDS = 2.0             # ratio of a band's largest to its smallest set
 PARTS = 0.6             # parts of a band's sketch for each element of its largest set
 SALTS = 3               # sketches of a set with few filled parts, before its empty parts count as a common value
-SAMPLE_SETS = 10_000    # documents (about) from which frequent part values are learned
+SAMPLE_SETS = 30_000    # documents (about) from which frequent part values are learned
 FREQUENT = 6            # a part value is frequent if so many sampled sets hold it
 SMALL_BUCKET = 8        # members up to which a part value emits all its pairs
 
@@ -251,11 +251,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first, body = _settled(texts, maybe, words, percent)
     far = pairs.where("not ok").select("a", "b").unionAll(first.where("not ok").select("a", "b"))
     failed = held.join(far.select(F.col("a").alias("low"), F.col("b").alias("x")), ["low", "x"]).select("bucket", "x")
-    more = (failed.join(held.select("bucket", F.col("x").alias("y")), "bucket").where("x <> y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    more = _inside(failed, held.select("bucket", "x"), bits, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     links = first.where("ok").select("a", "b")
-    more = saved(_between(_screened(more, bits, percent).where("ok"), links))
+    more = saved(_between(more, links))
     if more.isEmpty():
         return sets, links
     return sets, links.unionAll(_settled(texts, more, words, percent)[0].where("ok").select("a", "b"))
@@ -274,6 +272,67 @@ def _settled(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> tu
     return first if rest.isEmpty() else first.unionAll(saved(_verified(rest, body, words, percent))), body
 
 
+def _inside(failed: DataFrame, held: DataFrame, bits: DataFrame, percent: int, block: int = 2048) -> DataFrame:
+    """(a, b): pairs of a failed member (bucket, x) and another member of its bucket that their sketches allow to be
+    linked.  A bucket is compared in cells of at most about ``block`` by ``block`` members; only pairs that pass come
+    out of a cell."""
+    mine = failed.distinct().withColumn("f", F.lit(True)).unionAll(
+        held.join(failed.select("bucket").distinct(), "bucket", "left_semi").distinct().withColumn("f", F.lit(False)))
+    side = F.when(F.col("f"), F.col("nf")).otherwise(F.col("nm"))
+    other = F.when(F.col("f"), F.col("nm")).otherwise(F.col("nf"))
+    count = mine.groupBy("bucket").agg(*[F.ceil(F.count_if(c) / block).cast("int").alias(n)
+                                         for c, n in ((F.col("f"), "nf"), (~F.col("f"), "nm"))])
+    cells = (mine.join(count, "bucket").withColumn("i", F.pmod(F.xxhash64("x"), side).cast("int"))
+             .withColumn("j", F.explode(F.sequence(F.lit(0), other - 1)))
+             .select("bucket", F.when(F.col("f"), F.col("i")).otherwise(F.col("j")).alias("i"),
+                     F.when(F.col("f"), F.col("j")).otherwise(F.col("i")).alias("j"), "f", "x")
+             .join(bits.withColumnRenamed("set_key", "x"), "x"))
+    n = int(failed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compare(rows):
+        import numpy as np
+
+        asked, members = [r for r in rows if r[0]], [r for r in rows if not r[0]]
+        if not asked or not members:
+            return set()
+        width = min(len(r[3]) for r in rows) // 8
+        fold = lambda rs: np.stack([np.bitwise_xor.reduce(np.frombuffer(r[3], np.uint64).reshape(-1, width), axis=0) for r in rs])
+        m, size, ids = fold(members), np.array([r[2] for r in members]), [r[1] for r in members]
+        out = set()
+        for at in range(0, len(asked), 64):
+            part = asked[at:at + 64]
+            q, own = fold(part), np.array([r[2] for r in part])[:, None]
+            differ = sum(np.bitwise_count(q[:, k:k + 1] ^ m[None, :, k]).astype(np.int64) for k in range(width))
+            ok = (100 + percent) * differ <= (100 - percent) * (own + size)
+            ok &= 100 * np.minimum(own, size) >= percent * np.maximum(own, size)
+            for i, j in zip(*np.nonzero(ok), strict=True):
+                if part[i][1] != ids[j]:
+                    out.add((min(part[i][1], ids[j]), max(part[i][1], ids[j])))
+        return out
+
+    def run(batches):
+        import pyarrow as pa
+
+        cell, rows = None, []
+
+        def out(pairs):
+            a, b = zip(*pairs, strict=True) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            found = set()
+            for *key, f, x, size, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != cell:
+                    found |= compare(rows) if rows else set()
+                    cell, rows = key, []
+                rows.append((f, x, size, sketch))
+            yield out(found)
+        yield out(compare(rows) if rows else set())
+
+    return (cells.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").select("bucket", "i", "j", "f", "x", "n", "bits")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
 def _screened(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """(a, b, ok): whether the sketches allow each pair to be linked."""
     side = lambda c: bits.select(F.col("set_key").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"s{c}"))
