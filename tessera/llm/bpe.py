@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .words import chunks
 
 # One query's words; bounds the rows a recursion holds (about 100 per word over all rounds).
-QUERY_WORDS = 20_000
+QUERY_WORDS = 40_000
 # Longer words would need one round per byte: their pairs are contracted with a heap, in the same order.
 LONG_WORD = 400
 
@@ -26,17 +26,15 @@ ENCODE_SQL = """
 WITH RECURSIVE state AS (
     SELECT w, pos, tok, 0 AS round FROM bytes_in
     UNION ALL
-    SELECT w, pos, tok, round FROM (
-        SELECT w, pos, round, before, first_pos, CASE WHEN pos = first_pos THEN low ELSE tok END AS tok
-        FROM (SELECT w, pos, tok, round, low, lag(pos) OVER (PARTITION BY w ORDER BY pos) AS before,
-                     min(CASE WHEN rank = low THEN pos END) OVER (PARTITION BY w) AS first_pos
-              FROM (SELECT *, min(rank) OVER (PARTITION BY w) AS low
-                    FROM (SELECT p.w, p.pos, p.tok, p.round, m.rank
-                          FROM (SELECT w, pos, tok, round + 1 AS round,
-                                       lead(tok) OVER (PARTITION BY w ORDER BY pos) AS tok_next FROM state) p
-                          LEFT JOIN merges m ON m.pair = p.tok::BIGINT * 4294967296 + p.tok_next)))
-        WHERE low IS NOT NULL)
-    WHERE before IS NULL OR before <> first_pos)
+    SELECT w, pos, CASE WHEN pos = spot THEN low ELSE tok END AS tok, round FROM (
+        SELECT n.w, n.pos, n.tok, n.round, n.before, best.spot, best.low
+        FROM (SELECT w, pos, tok, round + 1 AS round, lag(pos) OVER (PARTITION BY w ORDER BY pos) AS before FROM state) n
+        JOIN (SELECT w, min(rank * 1048576 + pos) % 1048576 AS spot, min(rank * 1048576 + pos) // 1048576 AS low
+              FROM (SELECT p.w, p.pos, m.rank
+                    FROM (SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS after FROM state) p
+                    JOIN merges m ON m.pair = p.tok::BIGINT * 4294967296 + p.after)
+              GROUP BY w) best ON best.w = n.w)
+    WHERE before IS NULL OR before <> spot)
 SELECT w, list(tok ORDER BY pos) AS ids, string_agg(hex(v.bytes), '' ORDER BY pos) AS decoded
 FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM state) s JOIN vocabulary v ON v.id = s.tok
 WHERE round = last GROUP BY w ORDER BY w
@@ -156,14 +154,16 @@ class _Codec:
         wanted = {p for ps in new.values() for p in ps} | {p for split, ps in cut if not split for p in ps}
         self.learn(sorted(p for p in wanted if p not in self.pieces))
         for c, ps in new.items():
-            self.words[c] = b"".join(self.pieces[p][0] for p in ps), b"".join(self.pieces[p][1] for p in ps)
+            # A chunk of one word shares the word's entry.
+            self.words[c] = self.pieces[ps[0]] if len(ps) == 1 else (
+                b"".join(self.pieces[p][0] for p in ps), b"".join(self.pieces[p][1] for p in ps))
         for split, parts in cut:
             found = [(self.words if split else self.pieces)[p] for p in parts]
             yield b"".join(x for x, _ in found), b"".join(x for _, x in found)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           cache_words: int = 200_000) -> DataFrame:
+           cache_words: int = 700_000) -> DataFrame:
     """(id_col, ids array<int>, decoded binary) for every row: the ids of the whole text and what they decode to.
 
     A null or empty text has no ids and decodes to no bytes; a repeated row gives a repeated result; an empty table
