@@ -9,7 +9,8 @@ earlier start).  Strings never cross documents and are judged on the input.
    are equal (a class), all but the first are repeats as a whole; a task sends only the first of its own.
 2. Anchors are dealt by gram.  Rows arrive sorted, so classes are told apart in a stream of constant memory.  Only the
    first of each class, and only of grams with more than one class, needs its bytes.
-3. For these the suffixes that start at each offset before the anchor are sorted by mergesort; two suffixes compare by
+3. For these the strings that hold the anchor as their least gram, and share their hash with another, are sorted as
+   suffixes by mergesort; two suffixes compare by
    their longest common extension, found by binary search over prefix hashes.  Neighbours that agree in ``length``
    bytes (checked byte by byte) are repeats of the first.
 
@@ -179,20 +180,37 @@ def repeats(contexts: list[bytes], left, gram, length: int):
 
     buf = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     size = np.array([len(x) for x in contexts], dtype=np.int64)
-    at = np.cumsum(size) - size + left
+    begin = np.cumsum(size) - size
+    at = begin + left
     own = np.concatenate(([0], np.cumsum(gram[1:] != gram[:-1])))
-    w = length - GRAM + 1
-    low = np.maximum(0, length - (size - left))
-    count = np.maximum(0, left - low + 1)
+    w, h = length - GRAM + 1, PrefixHash(buf)
+    # Only the strings whose least gram the anchor is: those that reach no smaller gram on either side.
+    i = np.arange(len(buf) - GRAM + 1)
+    value = _mix(h.of(i, i + GRAM))
+
+    def reach(step):
+        """Distance to the nearest smaller gram in the context (w if there is none)."""
+        place = at[:, None] + step * np.arange(1, w)
+        inside = (place >= begin[:, None]) & (place + GRAM <= (begin + size)[:, None])
+        less = (value[np.clip(place, 0, len(value) - 1)] < value[at][:, None]) & inside
+        return np.where(less.any(axis=1), less.argmax(axis=1) + 1, w)
+
+    low = np.maximum(np.maximum(0, length - (size - left)), w - reach(1))
+    count = np.maximum(0, np.minimum(left, reach(-1) - 1) - low + 1)
     ctx = np.repeat(np.arange(len(size)), count)
     offset = low[ctx] + np.arange(len(ctx)) - np.repeat(np.cumsum(count) - count, count)
+    # Equal strings have equal hashes: others need no sorting.
+    start = at[ctx] - offset
+    mark = _mix(h.of(start, start + length) + ((own[ctx] * w + offset) * 2 + 1).astype(np.uint64))
+    order = np.argsort(mark, kind="stable")
+    twin = mark[order][1:] == mark[order][:-1]
+    many = np.zeros(len(ctx), dtype=bool)
+    many[order[1:]] = twin
+    many[order[:-1]] |= twin
+    ctx, offset = ctx[many], offset[many]
     order = np.argsort(own[ctx] * w + offset, kind="stable")
     ctx, offset = ctx[order], offset[order]
     group, start = own[ctx] * w + offset, at[ctx] - offset
-    many = np.zeros(len(group), dtype=bool)
-    many[1:] = group[1:] == group[:-1]
-    many[:-1] |= many[1:].copy()
-    ctx, offset, group, start = ctx[many], offset[many], group[many], start[many]
     base = BASE
     while True:
         order, same = suffix_sort(PrefixHash(buf, base), buf, start, group, length)
