@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .words import chunks
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 1_000_000      # distinct chunks a task remembers
 
 
 def attention_cost(tokens: int, linear: float = 1024.0, quadratic: float = 1.0) -> float:
@@ -31,8 +31,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str,
     """Pieces of every document: full ones (``ids`` null) and the remainder with its ids (unsigned 32-bit)."""
     def run(batches):
         import os
+        from array import array
 
-        import numpy as np
         import pyarrow as pa
         from tokenizers import Tokenizer
 
@@ -42,7 +42,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str,
         known: dict[str, bytes] = {}
 
         def ids_of(texts):
-            return [np.array(x.ids, dtype="<u4").tobytes() for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+            return [array("I", x.ids).tobytes() for x in model.encode_batch_fast(texts, add_special_tokens=False)]
 
         for batch in batches:
             names, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
