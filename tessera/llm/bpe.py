@@ -3,7 +3,7 @@
 Each task reads its partition in Arrow batches and keeps the distinct pattern matches ("words") it has met.  New
 words go to an in-memory DuckDB as rows (word, position, token), one row per byte; a recursive query joins
 neighbouring tokens with the merge table and contracts every word's leftmost pair of minimum rank until no word has a
-pair left.  Ordered aggregations give each word's ids and, through the vocabulary table, its decoded bytes.  The
+pair left (its rows are then done).  Ordered aggregations give each word's ids and, through the vocabulary table, its decoded bytes.  The
 word cache is emptied when it reaches ``cache_words``, so memory is bounded whatever the partition holds.
 """
 
@@ -24,20 +24,18 @@ LONG_WORD = 400
 
 ENCODE_SQL = """
 WITH RECURSIVE state AS (
-    SELECT w, pos, tok, 0 AS round FROM bytes_in
+    SELECT w, pos, tok, after, before, false AS done FROM bytes_in
     UNION ALL
-    SELECT w, pos, CASE WHEN pos = spot THEN low ELSE tok END AS tok, round FROM (
-        SELECT n.w, n.pos, n.tok, n.round, n.before, best.spot, best.low
-        FROM (SELECT w, pos, tok, round + 1 AS round, lag(pos) OVER (PARTITION BY w ORDER BY pos) AS before FROM state) n
-        JOIN (SELECT w, min(rank * 1048576 + pos) % 1048576 AS spot, min(rank * 1048576 + pos) // 1048576 AS low
-              FROM (SELECT p.w, p.pos, m.rank
-                    FROM (SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS after FROM state) p
-                    JOIN merges m ON m.pair = p.tok::BIGINT * 4294967296 + p.after)
-              GROUP BY w) best ON best.w = n.w)
-    WHERE before IS NULL OR before <> spot)
+    SELECT w, pos, tok, lead(tok) OVER word AS after, lag(pos) OVER word AS before, done
+    FROM (SELECT s.w, s.pos, CASE WHEN s.pos = best.spot THEN best.low ELSE s.tok END AS tok, best.w IS NULL AS done
+          FROM (SELECT * FROM state WHERE NOT done) s
+          LEFT JOIN (SELECT c.w, min(m.rank * 1048576 + c.pos) % 1048576 AS spot, min(m.rank * 1048576 + c.pos) // 1048576 AS low
+                     FROM state c JOIN merges m ON m.pair = c.tok * 4294967296 + c.after WHERE NOT c.done
+                     GROUP BY c.w) best ON best.w = s.w
+          WHERE best.w IS NULL OR s.before IS NULL OR s.before <> best.spot)
+    WINDOW word AS (PARTITION BY w ORDER BY pos))
 SELECT w, list(tok ORDER BY pos) AS ids, string_agg(hex(v.bytes), '' ORDER BY pos) AS decoded
-FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM state) s JOIN vocabulary v ON v.id = s.tok
-WHERE round = last GROUP BY w ORDER BY w
+FROM state s JOIN vocabulary v ON v.id = s.tok WHERE done GROUP BY w ORDER BY w
 """
 
 DECODE_SQL = """
@@ -118,10 +116,12 @@ class _Codec:
             part = short[at:at + QUERY_WORDS]
             raw = [w.encode() for w in part]
             size = np.array([len(x) for x in raw])
+            tok = self.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+            pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            last = pos + 1 == np.repeat(size, size)
             self.db.register("bytes_in", pa.table({
-                "w": np.repeat(np.arange(len(part)), size),
-                "pos": np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size),
-                "tok": self.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]}))
+                "w": np.repeat(np.arange(len(part)), size), "pos": pos, "tok": tok,
+                "after": pa.array(np.append(tok[1:], 0), mask=last), "before": pa.array(pos - 1, mask=pos == 0)}))
             got = self.db.sql(ENCODE_SQL).to_arrow_table()
             flat = got["ids"].combine_chunks()
             ids = flat.values.to_numpy().astype(np.int32)
