@@ -170,8 +170,16 @@ def percent_text(v, decimals: int = 2) -> Column:
 
 
 def number_text(v) -> Column:
-    """Python ``str(v)`` for an int or float cell."""
-    return _col(v).cast("string")
+    """Python ``str(v)`` for an int or float cell: plain digits from 1e-4 up to 1e16, an exponent beyond."""
+    text = _col(v).cast("string")
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    mantissa = F.regexp_replace(F.regexp_replace(text, "E.*$", ""), r"\.0$", "")
+    digits = F.abs(power).cast("string")
+    digits = F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
+    exponent = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"), digits)
+    return F.when(power.isNull(), text).when(power.between(-4, 15), plain).otherwise(exponent)
 
 
 def parse_value(raw) -> Column:

@@ -268,11 +268,13 @@ def hit_texts(hits: DataFrame, texts: DataFrame, item_id: str = "doc_id", query_
               text_col: str = "text", joined: bool = False) -> DataFrame:
     """Hit id -> item text (equi-join on the id).  ``joined=True`` gives one row per query with the texts joined by
     ``\n`` best first (the plain-string form of a search); otherwise ``(query, rank, id, score, text)``."""
-    from .common import ordered_concat
+    from .common import ordered_concat, row_number_within
 
     out = hits.join(texts.select(item_id, text_col), item_id)
     if not joined:
         return out
+    if "rank" not in out.columns:      # threshold hits: best score first, ties by id
+        out = row_number_within(out.withColumn("_low", -F.col("score")), [query_id], ["_low", item_id], "rank")
     return ordered_concat(out, [query_id], ["rank"], F.col(text_col), text_col, sep="\n")
 
 

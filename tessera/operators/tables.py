@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
-from ..functions.text import parse_value, py_strip
+from ..functions.text import number_text, parse_value, py_strip
 from ..session import materialize
 from .common import ordered_concat
 
@@ -53,7 +53,8 @@ def serialize_tables(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     types = dict(rows.dtypes)
     cells = []
     for c in columns:
-        cell = fill_nulls(F.col(c).cast("string"), null_mode, mark)
+        text = number_text(c) if types.get(c) in ("double", "float") else F.col(c).cast("string")
+        cell = fill_nulls(text, null_mode, mark)
         # Numbers, booleans and dates never hold a comma, quote or line break: no quoting test for them.
         plain = types.get(c, "string") != "string" and null_mode == "none"
         cells.append(F.coalesce(cell, F.lit("")) if plain else csv_field(cell))

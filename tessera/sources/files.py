@@ -106,18 +106,7 @@ def write_export(blocks: DataFrame, path: str, fmt: str = "parquet", mode: str =
 BLOCK_ROW_SCHEMA = "path string, reader string, order_index int, content_type string, content string"
 
 
-def csv_decoder(data: bytes, path: str):
-    """Built-in ``.csv`` decoder: the whole file becomes one ``(0, 'table', csv text)`` block (pandas read/write, so
-    missing cells stay empty and an integer column with gaps turns into floats, as pandas does)."""
-    import io
-
-    return [(0, "table", pd.read_csv(io.BytesIO(data)).to_csv(index=False))]
-
-
-DEFAULT_DECODERS = {".csv": csv_decoder}
-
-
-def decode_files(spark: SparkSession, path: str, decoders=None, recursive: bool = True) -> DataFrame:
+def decode_files(spark: SparkSession, path: str, decoders, recursive: bool = True) -> DataFrame:
     """Files -> raw block rows through per-type decoders: ``(path, reader, order_index, content_type, content)``.
 
     ``decoders`` maps a routed extension (see ``file_manifest``) to ``fn(bytes, path) -> [(order, type, text)]`` --
@@ -125,7 +114,7 @@ def decode_files(spark: SparkSession, path: str, decoders=None, recursive: bool
     ``binaryFile`` source and decoded in ``mapInPandas`` (Arrow batches, spread over the cluster); files without a
     decoder produce no rows (list them with ``file_manifest(..., strict=False)``).  Feed the result to
     ``operators.blocks.block_table``."""
-    decoders = dict(DEFAULT_DECODERS if decoders is None else decoders)
+    decoders = dict(decoders)
     # Routing is computed on the same scan (no join that would move file contents); narrow the files read with a
     # ``pathGlobFilter``-style path argument when most files have no decoder.
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)

@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``(doc_id, text, embedding)``; the rows carry ``dim`` and a mixed dimension fails the job."""
     checked = index.select("doc_id", "text", "embedding", F.size("embedding").alias("dim"))
-    checked.write.mode(mode).parquet(path)
-    # The dimension check reads back only the dim column (a one-row aggregate after partial aggregation).
-    n_dims = checked.sparkSession.read.parquet(path).agg(F.countDistinct("dim").alias("n")).first()["n"]
-    if n_dims > 1:
+    # The check comes first (one partial aggregate over the lengths), so a bad index never replaces a good one.
+    if checked.agg(F.countDistinct("dim").alias("n")).first()["n"] > 1:
         raise ValueError("vectors of different dimensions in one index")
+    checked.write.mode(mode).parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -238,3 +238,11 @@ def test_centroids_mean_then_unit_norm(spark):
     got = {r.label: r.embedding for r in centroids(df, "label").collect()}
     assert np.allclose(got[0], np.array([0.5, 0.5, 0.0]) / np.linalg.norm([0.5, 0.5, 0.0]))
     assert np.allclose(got[1], [0.0, 0.0, 1.0])
+
+
+def test_hit_texts_joined_for_threshold_hits(spark):
+    from tessera.operators.retrieve import hit_texts
+
+    hits = spark.createDataFrame([("q", 1, 0.5), ("q", 2, 0.9), ("q", 3, 0.5)], "query_id string, doc_id long, score double")
+    texts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, text string")
+    assert [r.text for r in hit_texts(hits, texts, joined=True).collect()] == ["b\na\nc"]

@@ -50,7 +50,7 @@ def test_entry_and_all_queries_run(spark):
         fn(spark, SF_SMALL).write.format("noop").mode("overwrite").save()
 
 
-def test_decode_files_with_csv_decoder(spark):
+def test_decode_files_with_a_given_decoder(spark):
     from tessera.operators.blocks import block_table
     from tessera.sources.files import decode_files, file_manifest
 
@@ -62,7 +62,7 @@ def test_decode_files_with_csv_decoder(spark):
     man = {r.name: r for r in file_manifest(spark, d).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
                                                              "filetype", "reader", "supported").collect()}
     assert man["a.CSV"].reader == ".csv" and man["a.CSV"].supported and not man["notes.xyz"].supported
-    raw = decode_files(spark, d)
+    raw = decode_files(spark, d, {".csv": lambda data, path: [(0, "table", data.decode())]})
     blocks = block_table(raw, filename=F.col("path"), content=F.col("content"), content_type=F.col("content_type"),
                          order_index=F.col("order_index"), filetype=F.col("reader")).collect()
     assert len(blocks) == 1

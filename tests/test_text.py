@@ -93,3 +93,12 @@ def test_dot_and_normalize(spark):
     df = spark.createDataFrame([([3.0, 4.0], [1.0, 2.0])], "a array<double>, b array<double>")
     r = df.select(T.dot("a", "b").alias("d"), T.unit_normalize("a").alias("u")).first()
     assert r.d == 11.0 and r.u == [0.6, 0.8]
+
+
+def test_number_text_is_the_plain_repr(spark):
+    from tessera.functions.text import number_text
+
+    values = [1.23456789e7, 1e-4, 0.00012345678901234567, 1e15, 1e16, -2.5e-7, 123.0, 0.5, -1e22, 98765432109876.5]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r.t for r in df.select(number_text("v").alias("t")).collect()] == [str(v) for v in values]
+    assert spark.range(1).select(number_text("id").alias("t")).first().t == "0"
