@@ -12,14 +12,14 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
+from array import array
 
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import chunks
-
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
-CACHE_CHUNKS = 1_000_000      # distinct chunks a task remembers
+CACHE_CHUNKS = 1_000_000      # distinct chunks a worker remembers
 
 
 def attention_cost(tokens: int, linear: float = 1024.0, quadratic: float = 1.0) -> float:
@@ -27,36 +27,77 @@ def attention_cost(tokens: int, linear: float = 1024.0, quadratic: float = 1.0)
     return linear * tokens + quadratic * tokens * tokens
 
 
+def encoder(tokenizer_path: str):
+    """A function from a text to its ids (little-endian unsigned 32-bit bytes), kept by a worker process for its tasks.
+
+    The library spends most of its time on a word outside the byte-pair merges, so its merges are called for each
+    distinct match of the pattern alone.  A space that touches no other white space opens a match, so a text is cut at
+    its spaces and every chunk is looked up; a text with other white space at its spaces is encoded as a whole.  The
+    first ``CACHE_CHUNKS`` chunks that a worker meets are remembered."""
+    import re
+    import sys
+    import types
+
+    import regex
+    from tokenizers import Tokenizer
+
+    kept = sys.modules.setdefault("_tessera_encoders", types.ModuleType("_tessera_encoders")).__dict__
+    if tokenizer_path in kept:
+        return kept[tokenizer_path]
+    model = Tokenizer.from_file(tokenizer_path)
+    if type(model.pre_tokenizer).__name__ != "ByteLevel" or model.normalizer is not None:
+        raise ValueError(f"not a byte-level BPE file: {tokenizer_path}")
+    merged, matches = model.model.tokenize, regex.compile(PATTERN).findall
+    # Byte-level BPE writes a byte as a printable character: itself, or the next one from 256 on.
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    sign = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in plain)}
+    spaces, touching = re.compile(r"\s\s").search, re.compile(r"\s | \s").search
+
+    def match_ids(match: str) -> bytes:
+        return array("I", [t.id for t in merged(match.encode().decode("latin-1").translate(sign))]).tobytes()
+
+    class Matches(dict):
+        def __missing__(self, match):
+            ids = match_ids(match)
+            if len(self) < CACHE_CHUNKS:
+                self[match] = ids
+            return ids
+
+    class Chunks(dict):        # by chunk without the space that opens it
+        def __missing__(self, chunk):
+            if chunk.isalpha() or len(parts := matches(" " + chunk)) == 1:
+                ids = match_ids(" " + chunk)
+            else:
+                ids = b"".join([self[p[1:]] if p[0] == " " else other[p] for p in parts])
+            if len(self) < CACHE_CHUNKS:
+                self[chunk] = ids
+            return ids
+
+    other, known = Matches(), Chunks()
+    look = known.__getitem__
+
+    def encode(text: str) -> bytes:
+        if text[:1] == " " or text[-1:] == " " or spaces(text) and touching(text):
+            return b"".join(map(match_ids, matches(text)))
+        head, *rest = text.split(" ")
+        return b"".join([*map(other.__getitem__, matches(head)), *map(look, rest)])
+
+    kept[tokenizer_path] = encode
+    return encode
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
     """Pieces of every document: full ones (``ids`` null) and the remainder with its ids (unsigned 32-bit)."""
     def run(batches):
-        import os
-        from array import array
-
         import pyarrow as pa
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        model = Tokenizer.from_file(tokenizer_path)
-        model.encode_special_tokens = True
-        known: dict[str, bytes] = {}
-
-        def ids_of(texts):
-            return [array("I", x.ids).tobytes() for x in model.encode_batch_fast(texts, add_special_tokens=False)]
 
+        encode = encoder(tokenizer_path)
         for batch in batches:
-            names, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            names, texts = batch.column(0), batch.column(1)
             for at in range(0, len(texts), 500):
-                part = texts[at:at + 500]
-                if len(known) > CACHE_CHUNKS:
-                    known = {}
-                cut = [chunks(t) for t in part]
-                new = list({c for cs in cut if cs for c in cs if c not in known})
-                known.update(zip(new, ids_of(new), strict=True))
-                whole = iter(ids_of([t for t, cs in zip(part, cut, strict=True) if cs is None]))
                 row, start, length, crc, total, rest = [], [], [], [], [], []
-                for k, cs in enumerate(cut):
-                    ids = (b"".join([known[c] for c in cs]) if cs is not None else next(whole)) + b"\0\0\0\0"
+                for k, text in enumerate(texts.slice(at, 500).to_pylist()):
+                    ids = encode(text or "") + b"\0\0\0\0"
                     n = len(ids) // 4
                     for s in range(0, n, capacity):
                         piece = ids[4 * s:4 * (s + capacity)]
