@@ -64,42 +64,48 @@ def nest_tree(nodes: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------------------------------------- tree levels
 def tree_levels(nodes: DataFrame, tree_col: str = "tree", root_parent: str = "0", max_level: int = 3) -> DataFrame:
-    """Level of every node (root = 1), found up to ``max_level + 1`` so that trees deeper than ``max_level`` are
-    detected.  Nodes not reached (orphans, cycles, or deeper still) get a null level.  Adds the tree's depth (max
-    level) and ``too_deep`` (the tree exceeds ``max_level``).  Node ids must be unique within a tree.
-
-    Plan: a static chain of ``max_level`` left joins that walks each node's ancestors one step at a time (the s-th
-    step looks up the s-th ancestor and whether it is a root); each step is an equi-join on (tree, ancestor id), so a
-    parent with very many children is a skewed key that AQE splits.  No driver-side loop, plan size linear in depth."""
-    # The node table feeds every join step: cut its lineage once (a reliable checkpoint in the shared checkpoint
-    # folder) so the upstream plan runs once instead of once per step.
-    nodes = materialize(nodes)
-    is_root = F.col("fid").isNull() | (F.col("fid") == root_parent)
-    link = nodes.select(tree_col, F.col("id").alias("_k"), F.col("fid").alias("_up"), is_root.alias("_root"))
-    cur = nodes.select(tree_col, "id", F.col("fid").alias("_k"),
-                       F.when(is_root, F.lit(1)).alias("level"))
-    for step in range(1, max_level + 1):
-        cur = (cur.join(link, [tree_col, "_k"], "left")
-               .select(tree_col, "id", F.col("_up").alias("_k"),
-                       F.coalesce(F.col("level"), F.when(F.col("_root"), F.lit(step + 1))).alias("level")))
+    """Level of every node (root = 1), whatever the depth.  Nodes that reach no root (orphans, cycles and what hangs
+    off them) get a null level.  Adds the tree's depth (max level) and ``too_deep`` (the tree exceeds ``max_level``).
+    An id that occurs several times in a tree has one parent: none if any of its rows is a root by a null parent, else
+    the smallest.
+
+    Pointer doubling: each round looks up the node that an unfinished node points at and takes over its pointer, so
+    after n rounds all levels up to 2**n are known; a round that finishes no node leaves only cycles and ends the
+    loop.  A round is one equi-join on (tree, id), checkpointed, so a lost executor costs one round; a parent with
+    very many children is a skewed key that AQE splits."""
+    nodes = materialize(nodes)      # read by the first round and by the result
+    parent = nodes.groupBy(tree_col, "id").agg(F.min(F.struct("fid"))["fid"].alias("_up"))
+    is_root = F.col("_up").isNull() | (F.col("_up") == root_parent)
+    cur = parent.select(tree_col, "id", F.when(~is_root, F.col("_up")).alias("_up"), F.lit(1).alias("_steps"),
+                        F.when(is_root, F.lit(1)).alias("level"))
+    cur, before = materialize(cur), None
+    while (left := cur.where("_up is not null").count()) and left != before:
+        before = left
+        above = cur.select(tree_col, F.col("id").alias("_up"), F.col("_up").alias("_next"), F.col("_steps").alias("_more"),
+                           F.col("level").alias("_level"))
+        moved = (cur.where("_up is not null").drop("level").join(above, [tree_col, "_up"], "left")
+                 .select(tree_col, "id", F.col("_next").alias("_up"), (F.col("_steps") + F.col("_more")).alias("_steps"),
+                         (F.col("_steps") + F.col("_level")).alias("level")))
+        cur = materialize(cur.where("_up is null").unionByName(moved))
     levels = cur.select(tree_col, "id", "level")
-    out = nodes.join(levels, [tree_col, "id"], "left")
     depth = levels.groupBy(tree_col).agg(F.max("level").alias("depth"))
-    return (out.join(broadcast_if_small(depth), tree_col, "left")
+    return (nodes.join(levels, [tree_col, "id"], "left").join(broadcast_if_small(depth), tree_col, "left")
             .withColumn("too_deep", F.col("depth") > max_level))
 
 
-def tree_rollup(levelled: DataFrame, tree_col: str = "tree", order_col: str = "ordinal") -> DataFrame:
+def tree_rollup(levelled: DataFrame, tree_col: str = "tree", order_col: str = "ordinal",
+                root_parent: str = "0") -> DataFrame:
     """Per node: number of children and the widest child label (width rule of the child's level); for level-2 nodes
     the pair ("team") number ``ceil(n/2)`` and side (odd positions up, even down) in sibling order.
 
-    Child statistics are one partial aggregation per parent, joined back; the level-2 ordinal is computed with
+    Every node with a parent counts as its child, at any level and also where no root is reached (its label is then
+    as wide as on the third level).  Child statistics are one partial aggregation per parent, joined back; the level-2 ordinal is computed with
     ``row_number_within`` (a window when the level is provably small, spread over tasks otherwise)."""
     levelled = materialize(levelled)   # read three times below
     width = (F.when(F.col("level") == 1, label_width("name", 1))
              .when(F.col("level") == 2, label_width("name", 2))
              .otherwise(label_width("name", 3)))
-    kids = (levelled.where(F.col("level") > 1)
+    kids = (levelled.where(F.col("fid").isNotNull() & (F.col("fid") != root_parent))
             .groupBy(tree_col, F.col("fid").alias("id"))
             .agg(F.count(F.lit(1)).alias("child_count"), F.max(width).alias("max_child_width")))
     second = row_number_within(levelled.where(F.col("level") == 2).select(tree_col, "id", order_col),

@@ -85,8 +85,7 @@ _FOREST_SQL = """
       WITH RECURSIVE r(tree, id, level) AS (
         SELECT tree, id, 1 FROM nodes WHERE fid IS NULL OR fid = '0'
         UNION ALL
-        SELECT nodes.tree, nodes.id, r.level + 1 FROM nodes JOIN r ON nodes.tree = r.tree AND nodes.fid = r.id
-        WHERE r.level < 4)
+        SELECT nodes.tree, nodes.id, r.level + 1 FROM nodes JOIN r ON nodes.tree = r.tree AND nodes.fid = r.id)
       SELECT * FROM r) GROUP BY tree, id
   ),
   levelled AS (
@@ -116,7 +115,7 @@ def _width_sql(x: str, level: int) -> str:
     SELECT tree, fid AS id, count(*) AS child_count,
            max(CASE WHEN level = 1 THEN {_width_sql("name", 1)} WHEN level = 2 THEN {_width_sql("name", 2)}
                     ELSE {_width_sql("name", 3)} END) AS max_child_width
-    FROM levelled WHERE level > 1 GROUP BY tree, fid),
+    FROM levelled WHERE fid IS NOT NULL AND fid <> '0' GROUP BY tree, fid),
   second AS (
     SELECT tree, id, row_number() OVER (PARTITION BY tree ORDER BY ordinal, id) AS n FROM levelled WHERE level = 2)
 SELECT l.tree, l.id, l.fid, l.level, CAST(coalesce(k.child_count, 0) AS BIGINT) AS child_count,

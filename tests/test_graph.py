@@ -37,6 +37,22 @@ def test_tree_levels_depth_and_orphans(spark):
     assert got[("u", "r")] == (1, 1, False)
 
 
+def test_tree_levels_of_deep_chains_and_cycles(spark):
+    chain = [("d", str(i), str(i - 1), f"n{i}", i) for i in range(1, 24)]       # 1 hangs off the root parent "0"
+    cycle = [("d", "x", "y", "x", 1), ("d", "y", "x", "y", 1), ("d", "w", "x", "w", 1), ("d", "o", "none", "o", 1),
+             ("d", "p", "o", "p", 1), ("e", "s", "s", "self", 1), ("f", "r", None, "root", 1), ("f", "r", None, "root", 1)]
+    nodes = spark.createDataFrame(chain + cycle, "tree string, id string, fid string, name string, ordinal int")
+    levelled = tree_levels(nodes)
+    got = {(r.tree, r.id): (r.level, r.depth, r.too_deep) for r in levelled.collect()}
+    assert all(got[("d", str(i))] == (i, 23, True) for i in range(1, 24))
+    assert all(got[("d", i)] == (None, 23, True) for i in "xywop") and got[("e", "s")] == (None, None, None)
+    assert got[("f", "r")] == (1, 1, False) and levelled.count() == nodes.count()
+    kids = {(r.tree, r.id): r.child_count for r in tree_rollup(levelled).collect()}
+    assert [kids[("d", i)] for i in ("1", "7", "22", "23", "x", "y", "o", "w")] == [1, 1, 1, 0, 2, 1, 1, 0]
+    assert kids[("e", "s")] == 1
+    assert tree_levels(nodes.limit(0)).count() == 0
+
+
 def test_tree_rollup_counts_widths_and_pairs(spark):
     out = {r.id: r for r in tree_rollup(tree_levels(forest(spark))).collect()}
     assert out["1"].child_count == 3 and out["a"].child_count == 1 and out["b"].child_count == 0
