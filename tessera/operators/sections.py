@@ -90,16 +90,18 @@ def main_problem(sections: DataFrame, problem_key: str = fmt.PROBLEM_KEY, summar
 def cause_rows(sections: DataFrame, causes_key: str = fmt.CAUSES_KEY) -> DataFrame:
     """Per report, the causes of its object sections in section order: ``(report, cat_no, category, details)``.
 
-    A cause value that is a JSON list gives its string items, any other value is a one-item list; items are
-    stripped and blank ones dropped.  ``cat_no`` numbers the categories of a report from 1 (section order, then key
+    The texts of a cause are its string value or the strings of its list, stripped, blank ones dropped; numbers,
+    nulls and objects give none.  ``cat_no`` numbers the categories of a report from 1 (section order, then key
     order)."""
-    body = _obj(F.col("body"))
-    causes = _obj(F.element_at(body, F.lit(causes_key)))
+    found = F.element_at(F.from_json(F.col("body"), "map<string,variant>"), F.lit(causes_key))
+    # A variant sorts an object's keys, so the entries are parsed from the object's own text.
+    text = F.element_at(_obj(F.col("body")), F.lit(causes_key))
+    causes = F.when(F.schema_of_variant(found).startswith("OBJECT"), F.from_json(text, "map<string,variant>"))
     cats = sections.select("report", "sec_no", F.posexplode(F.map_entries(causes)).alias("cat_pos", "_e"))
-    raw = F.col("_e.value")
-    as_list = F.when(py_strip(raw).startswith("["), F.from_json(raw, "array<string>"))
-    items = F.coalesce(as_list, F.array(raw))
-    details = F.filter(F.transform(items, py_strip), lambda d: d.isNotNull() & (d != ""))
+    value = F.col("_e.value")
+    items = F.when(F.schema_of_variant(value).startswith("ARRAY"), F.variant_get(value, "$", "array<variant>")).otherwise(F.array(value))
+    strings = F.filter(items, lambda x: F.schema_of_variant(x) == "STRING")
+    details = F.filter(F.transform(strings, lambda x: py_strip(F.variant_get(x, "$", "string"))), lambda d: d != "")
     staged = cats.select("report", "sec_no", "cat_pos", F.col("_e.key").alias("category"), details.alias("details"))
     # Dense category numbers per report; a report holding a large share of rows is numbered across many tasks.
     numbered = row_number_within(staged, ["report"], ["sec_no", "cat_pos"], out="cat_no")

@@ -32,6 +32,16 @@ def test_main_problem_and_causes(spark):
     assert causes[0] == (1, "排班与调度问题", ["1、轮班制度导致无法参加", "2、调度不灵活"])
 
 
+def test_cause_details_are_strings_only(spark):
+    body = json.dumps({"原因分析": {"Z": 5, "B": ["x ", 7, None, ["n"], ""], "C": {"k": "v"}, "D": '{"a": 1}', "E": None, "A": " s "}},
+                      ensure_ascii=False)
+    other = json.dumps({"原因分析": '{"F": "text, not an object"}'}, ensure_ascii=False)
+    s = spark.createDataFrame([("r", 0, "s", body), ("r", 1, "s", other), ("r", 2, "s", "[1]"), ("r", 3, "s", None), ("q", 0, "s", "no json")],
+                              "report string, sec_no int, section string, body string")
+    got = [(r.cat_no, r.category, r.details) for r in cause_rows(s).orderBy("cat_no").collect()]
+    assert got == [(1, "Z", []), (2, "B", ["x"]), (3, "C", []), (4, "D", ['{"a": 1}']), (5, "E", []), (6, "A", ["s"])]
+
+
 def test_empty_analysis_and_scalar_cause(spark):
     s = sections(spark, SEC_EMPTY, {"原因分析": {"单项": " 只有一条 ", "空": ["", "  "]}})
     assert main_problem(s).first().main_problem == ""
