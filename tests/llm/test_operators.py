@@ -199,6 +199,21 @@ def test_packing_places_every_token_once(spark):
     assert packing.pack(docs(spark, []), path).count() == 0
 
 
+def test_encoder_gives_the_library_ids():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    rng, signs = random.Random(3), [*" \n\t'sdlvemrt1²½.,!#_\0\x1c\x85", "\u00a0", "é", "中", "ª", "ǅ", "😀", "\u0301", "<|endoftext|>"]
+    texts = ["", " ", prose(1), "it's  we'll\n\n 'ok' a\tb ", *("".join(rng.choices(signs, k=rng.randrange(15))) for _ in range(5000))]
+    encode = packing.encoder(path)
+    for text, want in zip(texts, model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(encode(text), "<u4").tolist() == want.ids, text
+    with pytest.raises(ValueError):
+        packing.encoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def test_balance_evens_cost():
     rng = random.Random(4)
     lengths = [rng.randrange(1, 1000) for _ in range(400)]
