@@ -157,8 +157,8 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
 
     Labels look up values per (part, label) -- the last duplicate wins -- and show 'N/A' when missing or empty.  The
     problem text is the problem object's summary, followed by its detail items when there are any, separated by a
-    literal backslash-n (two characters); a plain value is shown as is; no value gives '无'.  Steps are chained
-    ``anchor -> R1 -> R2 ...`` in step order."""
+    literal backslash-n (two characters); a plain value is shown as is, a null or empty one as 'N/A'; without the key
+    it is '无'.  Steps are chained ``anchor -> R1 -> R2 ...`` in step order."""
     # Only the (part, label) pairs the chart looks up are kept, each reduced to its last value in (section, field)
     # order -- as a dict built in that order keeps the last duplicate -- so a report's lookup map is bounded by the
     # number of lookups however many fields the report has.
@@ -173,6 +173,7 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
         return F.try_element_at(F.col("_m"), F.lit(f"{part}\u0001{label}"))
 
     praw = get(*problem)
+    given = F.coalesce(F.map_contains_key("_m", "\u0001".join(problem)), F.lit(False))
     pobj = F.when(py_strip(F.coalesce(praw, F.lit(""))).startswith("{"), F.from_json(praw, "map<string,string>"))
     summary = F.coalesce(F.element_at(pobj, F.lit(summary_key)), F.lit(""))
     det = F.from_json(F.element_at(pobj, F.lit(details_key)), "array<string>")
@@ -180,7 +181,7 @@ def flow_edges(fields: DataFrame, steps: DataFrame, nodes: Sequence = tuple(FLOW
     ptext = F.when(pobj.isNotNull(),
                    F.when(F.size(F.coalesce(det, F.array())) > 0, F.concat(summary, F.lit("\\n"), det_text))
                    .otherwise(summary)) \
-        .otherwise(F.when(praw.isNull(), F.lit(FLOW_PROBLEM_DEFAULT)).otherwise(_safe(praw)))
+        .otherwise(F.when(given, _safe(praw)).otherwise(FLOW_PROBLEM_DEFAULT))
     labels = {}
     for node_id, text, src in nodes:
         if src is None:

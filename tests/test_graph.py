@@ -65,7 +65,7 @@ def test_flow_edges_problem_text_and_steps(spark):
     fields = spark.createDataFrame([
         ("r", "overview", 0, 1, "培训主题", "手卫生"), ("r", "overview", 0, 2, "组织部门", ""),
         ("r", "participation", 2, 1, "存在问题", json.dumps({"总结": "参训不足", "具体问题": ["1、a", "2、b"]}, ensure_ascii=False)),
-        ("w", "overview", 0, 1, "培训主题", "x")],
+        ("w", "overview", 0, 1, "培训主题", "x"), ("n", "participation", 2, 1, "存在问题", None)],
         "report string, part string, sec_no int, field_no int, label string, value string")
     steps = spark.createDataFrame([("r", 1, "优化排班"), ("r", 2, "")], "report string, step_no int, value string")
     e = {(r.report, r.src, r.dst): r for r in flow_edges(fields, steps).collect()}
@@ -73,7 +73,7 @@ def test_flow_edges_problem_text_and_steps(spark):
     assert e[("r", "A", "B")].dst_label == "组织部门: N/A"
     assert e[("r", "H", "J")].dst_label == "问题分析: 参训不足\\n1、a\\n2、b" and e[("r", "H", "J")].edge_label == "否"
     assert e[("r", "J", "R1")].dst_label == "优化排班" and e[("r", "R1", "R2")].dst_label == "N/A"
-    assert e[("w", "H", "J")].dst_label == "问题分析: 无"
+    assert e[("w", "H", "J")].dst_label == "问题分析: 无" and e[("n", "H", "J")].dst_label == "问题分析: N/A"
     assert len([k for k in e if k[0] == "w"]) == 10
 
 
