@@ -156,6 +156,33 @@ def test_line_dedup_of_many_lines_with_one_passage(spark):
     assert [r.n_removed for r in got] == [i % 2 for i in range(60)]
 
 
+def near_by_force(texts, threshold=0.75):
+    """Documents of one line each whose line goes: a smaller one is in its component of near lines."""
+    def windows(x):
+        return {x[i:i + lines.WIDTH] for i in range(max(1, len(x) - lines.WIDTH + 1))}
+
+    sets = [windows(x.strip().lower()) for x in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j])]
+    root = union_find(len(texts), links)
+    return {i for i in range(len(texts)) if root[i] in {root[j] for j in range(i)}}
+
+
+def removed_lines(spark, texts):
+    return {r.doc_id for r in lines.dedup_lines(docs(spark, texts)).where("n_removed > 0").collect()}
+
+
+def test_line_dedup_reads_every_character_of_long_words(spark):
+    rng = random.Random(3)
+    blob = "".join(rng.choice("0123456789abcdef") for _ in range(9000))
+    texts = ["https://www.example.org/a/report-2021.pdf", "https://www.example.org/zzz/other", "see https://www.example.org/a",
+             "see https://www.example.org/totally-different", "key: 3f9a1c7be0d24a1199ffee01", "key: 3f9a1c7be0d2ffffffffffff",
+             blob, blob[:5000] + "x" + blob[5000:], blob[:3000] + blob[:2990:-1], "汉字没有空格的一行文字也要完整地读到最后一个字为止才行" * 3,
+             "汉字没有空格的一行文字也要完整地读到最后一个字为止才行" * 3 + "了", "short", "shore"]
+    want = near_by_force(texts)
+    assert want == {7, 10}
+    assert removed_lines(spark, texts) == want
+
+
 def test_bpe_matches_tiktoken_and_decodes(spark):
     import base64
 
