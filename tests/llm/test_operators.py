@@ -183,6 +183,20 @@ def test_line_dedup_reads_every_character_of_long_words(spark):
     assert removed_lines(spark, texts) == want
 
 
+def test_line_dedup_of_overlapping_templates(spark, monkeypatch):
+    """All lines share all bands, so every pair is a candidate: the components are those of brute force."""
+    monkeypatch.setattr(lines, "signatures", lambda x: x.select("key").distinct().select(
+        "key", *[F.lit(0).cast("long").alias(f"m{i}") for i in range(lines.BANDS * lines.ROWS)]))
+    # Three templates of 32 lines, every shingle of which stands in many lines: five places have one of two words.
+    texts = []
+    for k in range(3):
+        own = prose(k, 24, 10**6)
+        texts += [own + "".join(f" place number {j} has {'nope' if i >> j & 1 else 'good'}" for j in range(5)) for i in range(32)]
+    want = near_by_force(texts)
+    assert want == set(range(96)) - {0, 32, 64}
+    assert removed_lines(spark, texts) == want
+
+
 def test_bpe_matches_tiktoken_and_decodes(spark):
     import base64
 
