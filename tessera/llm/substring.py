@@ -9,12 +9,12 @@ earlier start).  Strings never cross documents and are judged on the input.
    are equal (a class), all but the first are repeats as a whole; a task sends only the first of its own.
 2. Anchors are dealt by gram.  Rows arrive sorted, so classes are told apart in a stream of constant memory.  Only the
    first of each class, and only of grams with more than one class, needs its bytes.
-3. For these the strings that hold the anchor as their least gram, and share their hash with another, are sorted as
-   suffixes by mergesort; two suffixes compare by
-   their longest common extension, found by binary search over prefix hashes.  Neighbours that agree in ``length``
-   bytes (checked byte by byte) are repeats of the first.
+3. The strings that hold such an anchor as their least gram are counted by their hash.  Those that share it are sorted
+   as suffixes by mergesort within parts of a task (two suffixes compare by their longest common extension, found by
+   binary search over prefix hashes; equal ones are checked byte by byte); what remains is dealt by hash, sorted, and
+   compared byte by byte in a stream.
 
-A gram's contexts are sorted in one task: at most ``2 * length`` bytes for each *distinct* context.
+No task holds all contexts of a gram or all copies of a string.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from .common import key_filter, may_hold, saved
 
 GRAM = 32
 FLUSH = 3_000_000       # anchors a task holds before it sends the firsts of their classes
-SORT_CONTEXTS = 6000    # contexts (about) of one sort; grams are kept whole
+SORT_CONTEXTS = 6000    # contexts of one sort
 BASE = 0x9E3779B97F4A7C15
 
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -173,16 +173,15 @@ def suffix_sort(h: PrefixHash, buf, start, group, length: int):
     return order, same
 
 
-def repeats(contexts: list[bytes], left, gram, length: int):
-    """(context, offset) of every string of ``length`` bytes, ``offset`` before its anchor, that an earlier context of
-    the same gram has at the same offset; contexts are given in their order within a gram, grams together."""
+def strings(contexts: list[bytes], left, length: int):
+    """(buf, at, context, offset, mark): every string of ``length`` bytes whose least gram the anchor of its context is,
+    ``offset`` before it; ``at`` are the anchors' places in ``buf``; equal strings have equal marks."""
     import numpy as np
 
     buf = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     size = np.array([len(x) for x in contexts], dtype=np.int64)
     begin = np.cumsum(size) - size
     at = begin + left
-    own = np.concatenate(([0], np.cumsum(gram[1:] != gram[:-1])))
     w, h = length - GRAM + 1, PrefixHash(buf)
     # Only the strings whose least gram the anchor is: those that reach no smaller gram on either side.
     i = np.arange(len(buf) - GRAM + 1)
@@ -199,9 +198,18 @@ def repeats(contexts: list[bytes], left, gram, length: int):
     count = np.maximum(0, np.minimum(left, reach(-1) - 1) - low + 1)
     ctx = np.repeat(np.arange(len(size)), count)
     offset = low[ctx] + np.arange(len(ctx)) - np.repeat(np.cumsum(count) - count, count)
-    # Equal strings have equal hashes: others need no sorting.
     start = at[ctx] - offset
-    mark = _mix(h.of(start, start + length) + ((own[ctx] * w + offset) * 2 + 1).astype(np.uint64))
+    return buf, at, ctx, offset, _mix(h.of(start, start + length) + (offset * 2 + 1).astype(np.uint64))
+
+
+def repeats(contexts: list[bytes], left, gram, length: int, found=None):
+    """(context, offset) of every string of ``length`` bytes, ``offset`` before its anchor, that an earlier context of
+    the same gram has at the same offset; contexts are given in their order within a gram, grams together."""
+    import numpy as np
+
+    buf, at, ctx, offset, mark = found or strings(contexts, left, length)
+    own, w = np.concatenate(([0], np.cumsum(gram[1:] != gram[:-1]))), length - GRAM + 1
+    # Equal strings have equal hashes: others need no sorting.
     order = np.argsort(mark, kind="stable")
     twin = mark[order][1:] == mark[order][:-1]
     many = np.zeros(len(ctx), dtype=bool)
@@ -323,68 +331,72 @@ def _classes(length):
     return run
 
 
-def _cut(length):
-    """The context bytes of each wanted anchor of a document."""
+def _strings(length, bitmap=None):
+    """The strings of the wanted anchors of documents (doc, t, rows), in parts of about SORT_CONTEXTS contexts.  Without
+    a bitmap how often each mark occurs in a part: (mark, n).  With the bitmap of marks that occur more than once, those
+    strings: (mark, doc, start, bytes), and the ones that have an equal earlier one in their part without mark and bytes."""
     w = length - GRAM + 1
 
-    def run(batches):
+    def part(held):
+        import numpy as np
         import pyarrow as pa
 
+        held.sort(key=lambda x: x[:3])
+        gram, doc, pos = (np.array([x[i] for x in held], dtype=np.int64) for i in range(3))
+        contexts, left = [x[3] for x in held], np.minimum(pos, w - 1)
+        found = buf, at, ctx, offset, mark = strings(contexts, left, length)
+        if bitmap is None:
+            mark, n = np.unique(mark.view(np.int64), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(mark), pa.array(n.astype(np.int64))], names=["mark", "n"])
+        rctx, roffset = repeats(contexts, left, gram, length, found)
+        again = np.isin(ctx * w + offset, rctx * w + roffset)
+        one = ~again & may_hold(bitmap.value, mark.view(np.int64))
+        place = (at[ctx] - offset)[one].tolist()
+        raw, m = buf.tobytes(), int(again.sum())
+        start = pos[ctx] - offset
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(mark.view(np.int64)[one]), pa.nulls(m, pa.int64())]),
+             pa.array(np.concatenate((doc[ctx][one], doc[ctx][again]))), pa.array(np.concatenate((start[one], start[again]))),
+             pa.array([raw[x:x + length] for x in place] + [None] * m, pa.binary())], names=["mark", "doc", "start", "bytes"])
+
+    def run(batches):
+        held = []
         for batch in batches:
             for i in range(batch.num_rows):
                 raw, doc = batch.column(1)[i].as_py().encode(), batch.column(0)[i].as_py()
-                rows = batch.column(2)[i].as_py()
-                pos = [(r["at"] >> 12, r["at"] & 4095) for r in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["gram"] for r in rows], pa.int64()), pa.array([doc] * len(rows), pa.int64()),
-                     pa.array([p for p, _ in pos], pa.int64()),
-                     pa.array([raw[max(0, p - w + 1):p + r] for p, r in pos], pa.binary())],
-                    names=["gram", "doc", "pos", "bytes"])
+                for r in batch.column(2)[i].as_py():
+                    p, right = r["at"] >> 12, r["at"] & 4095
+                    held.append((r["gram"], doc, p, raw[max(0, p - w + 1):p + right]))
+                    if len(held) >= SORT_CONTEXTS:
+                        yield part(held)
+                        held = []
+        if held:
+            yield part(held)
 
     return run
 
 
-def _sorted_repeats(length):
-    """Task of step 3, over contexts sorted by (gram, doc, pos): intervals of repeated strings."""
-    w = length - GRAM + 1
-
-    def flush(rows):
-        import numpy as np
-        import pyarrow as pa
-
-        table = pa.Table.from_batches(rows)
-        gram, doc, pos = (table[c].to_numpy() for c in ("gram", "doc", "pos"))
-        ctx, offset = repeats(table["bytes"].to_pylist(), np.minimum(pos, w - 1), gram, length)
-        start = pos[ctx] - offset
-        s, e, d = merged(start, start + length, doc[ctx])
-        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(e)], names=["doc", "start", "stop"])
-
+def _later(length):
+    """Task of step 3, over strings sorted by (mark, doc, start): those whose bytes an earlier one has, as intervals."""
     def run(batches):
         import numpy as np
+        import pyarrow as pa
 
-        held, n = [], 0
+        last, seen = None, set()
         for batch in batches:
-            while batch.num_rows:
-                gram = batch.column(0).to_numpy()
-                room = max(0, SORT_CONTEXTS - n)
-                if batch.num_rows <= room:
-                    held.append(batch)
-                    n += batch.num_rows
-                    break
-                # Cut where a gram ends at or after the wanted size.
-                tail = held[-1].column(0)[-1].as_py() if held and room == 0 else gram[max(room - 1, 0)]
-                stop = int(np.searchsorted(gram != tail, True)) if room == 0 else room + int(
-                    (np.cumsum(gram[room:] != tail) == 0).sum())
-                if stop >= batch.num_rows:
-                    held.append(batch)
-                    n += batch.num_rows
-                    break
-                if stop:
-                    held.append(batch.slice(0, stop))
-                yield flush(held)
-                held, n, batch = [], 0, batch.slice(stop)
-        if held:
-            yield flush(held)
+            hit = np.zeros(batch.num_rows, dtype=bool)
+            for i, (mark, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                if mark is None:
+                    hit[i] = True
+                    continue
+                if mark != last:
+                    last, seen = mark, set()
+                hit[i] = raw in seen
+                seen.add(raw)
+            at = np.flatnonzero(hit)
+            doc, start = (batch.column(i).to_numpy()[at] for i in (1, 2))
+            s, e, d = merged(start, start + length, doc)
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(e)], names=["doc", "start", "stop"])
 
     return run
 
@@ -459,10 +471,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = found.where("gram is not null").select("doc", "gram", "at")
     hashed = base.select(F.xxhash64("doc").alias("k"), "id", "doc", "t", *extra)
     some = hashed.mapInArrow(_where(key_filter(wanted.select(F.xxhash64("doc").alias("k")).distinct(), "k"), True), hashed.schema)
-    contexts = (some.select("doc", "t").distinct().join(wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("rows")), "doc")
-                .mapInArrow(_cut(length), "gram long, doc long, pos long, bytes binary")
-                .repartition(n, "gram").sortWithinPartitions("gram", "doc", "pos"))
-    cuts = saved(contexts.mapInArrow(_sorted_repeats(length), f"doc long, {span}").unionAll(whole)
+    contexts = some.select("doc", "t").distinct().join(wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("rows")), "doc")
+    often = contexts.mapInArrow(_strings(length), "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1")
+    shared = contexts.mapInArrow(_strings(length, key_filter(often.select("mark"), "mark")), "mark long, doc long, start long, bytes binary")
+    # Repeats found inside a task have no mark: they are dealt by document.
+    later = (shared.repartition(n, F.coalesce("mark", F.xxhash64("doc", "start"))).sortWithinPartitions("mark", "doc", "start")
+             .mapInArrow(_later(length), f"doc long, {span}"))
+    cuts = saved(later.unionAll(whole)
                  .groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")))
     bitmap = key_filter(cuts.select(F.xxhash64("doc").alias("k")), "k")
     kinds = "".join(f", `{c}` {docs.select(c).schema[0].dataType.simpleString()}" for c in carry)

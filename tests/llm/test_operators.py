@@ -116,6 +116,23 @@ def test_substring_repeats_match_brute_force(spark):
     assert substring.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_substring_sorts_of_a_common_phrase_are_bounded(spark, monkeypatch):
+    """A phrase in other surroundings in each document, and a passage in pairs of them: sorts stay small, rows are right."""
+    monkeypatch.setattr(substring, "SORT_CONTEXTS", 20)
+    inner = substring.repeats
+
+    def bounded(contexts, *rest):
+        if len(contexts) > 20:
+            raise MemoryError(f"{len(contexts)} contexts in one sort")
+        return inner(contexts, *rest)
+
+    monkeypatch.setattr(substring, "repeats", bounded)
+    phrase = "all rights reserved by the owners of this page and its text, see the terms"
+    texts = [f"{prose(i, 20)} {phrase} {prose(i + 500, 20)}{prose(i // 2 + 900, 30)}" for i in range(80)]
+    got = [tuple(r)[1:] for r in substring.digests(substring.remove_repeats(docs(spark, texts))).orderBy("doc_id").collect()]
+    assert got == brute_repeats(texts, 100)
+
+
 def test_substring_rows_of_one_id_and_carried_columns(spark):
     text = prose(1, 50)
     rows = docs(spark, [text, text, None, text + "y"], [4, 4, None, 4])
