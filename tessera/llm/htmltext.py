@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = set("head script style noscript template title iframe object canvas svg math select datalist audio video".split())
+HIDDEN = set("head script style noscript template title iframe object canvas datalist audio video "
+             "defs desc metadata symbol annotation annotation-xml".split())
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
             "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tr ul caption".split())
+# Stand on a line of their own, but leave an open paragraph open.
+LINED = set("option optgroup text".split())
 SPACED = set("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
 # An opening tag of the key closes an open element of the value that no element of SCOPE separates from it.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th", "caption", "colgroup"},
@@ -223,7 +226,7 @@ def _flow(top: Node, done: dict[int, str]) -> str:
                 out.text(text, True)
             out.block(node.tag == "table")
         else:
-            if node.tag in BLOCK:
+            if node.tag in BLOCK or node.tag in LINED:
                 out.block(node.tag in SPACED)
                 todo.append((None, pre, 0, node.tag))
             if node.tag == "ol" and (s := node.attrs.get("start", "")).isdecimal() and len(s) < 10:

@@ -397,6 +397,13 @@ def test_html_layout(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_html_formulas_drawings_and_choices(spark):
+    page = ("<p>Area <math><semantics><mi>r</mi><mo>+</mo><mn>1</mn><annotation>r plus 1</annotation></semantics></math> holds"
+            "<p>Draw <svg><title>no</title><desc>no</desc><defs><text>no</text></defs><text x=1>left</text><text>right</text></svg>"
+            "<p>Pick <select><option>red<option selected>blue</select> now")
+    assert htmltext.render(htmltext.parse(page)) == "Area r+1 holds\n\nDraw\nleft\nright\n\nPick\nred\nblue\nnow"
+
+
 def test_pipeline_keeps_clean_documents_and_its_columns(spark, tmp_path):
     import corpus_pipeline as p
 
