@@ -1,6 +1,7 @@
 """SimHash document fingerprints and radius search, in DataFrame operations only.
 
 A document's terms are its words and pairs of neighbouring words (lower-cased); a term weighs as often as it occurs.
+In scripts that do not separate words every character is a word.
 Every term's 64-bit hash votes with its weight for or against each bit.  Fingerprints within a Hamming radius are
 found through block tables: the bits are permuted so that each choice of ``BLOCKS - radius`` of ``BLOCKS`` blocks
 stands in front once; two fingerprints that differ in at most ``radius`` bits agree in the whole front of some table.
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from .common import saved, wide_key
 
 BITS = 64
+_ALONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+WORDS = rf"\s+|(?<={_ALONE})(?=\S)|(?<=\S)(?={_ALONE})"
 LANES = 0x0000000100000001      # bits k and k + 32 of a hash, counted in the two halves of one long
 
 
@@ -23,7 +26,7 @@ def fingerprints(texts: DataFrame) -> DataFrame:
     """(key, fp): the fingerprint of each key of ``texts`` (key, t), once; equal keys have equal texts.  A text without
     words has fingerprint 0."""
     # Votes are summed by key and task: copies in one task scale all votes alike, and every task's result is the same.
-    words = texts.select("key", F.split(F.lower("t"), r"\s+", -1).alias("w"), F.spark_partition_id().alias("task"))
+    words = texts.select("key", F.split(F.lower("t"), WORDS, -1).alias("w"), F.spark_partition_id().alias("task"))
     at = words.select("key", "task", "w", F.posexplode("w").alias("i", "x"))
     after = F.coalesce(F.get("w", F.col("i") + 1), F.lit(""))
     filled = F.col("x") != ""

@@ -331,6 +331,16 @@ def test_fingerprints_of_edits(spark):
     assert fingerprints.fingerprint_edits(docs(spark, [])).count() == 0
 
 
+def test_fingerprints_of_scripts_without_spaces(spark):
+    rng = random.Random(9)
+    text = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(600))
+    other = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(600))
+    texts = [(1, text), (2, text[:300] + "的" + text[301:]), (3, other)]
+    df = spark.createDataFrame(texts, "key long, t string")
+    fp = {r.key: r.fp & (1 << 64) - 1 for r in fingerprints.fingerprints(df).collect()}
+    assert bin(fp[1] ^ fp[2]).count("1") <= 6 < 16 < bin(fp[1] ^ fp[3]).count("1")
+
+
 def test_radius_search_is_complete(spark):
     rng = random.Random(6)
     base = [rng.getrandbits(64) for _ in range(30)]
