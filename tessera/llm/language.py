@@ -171,18 +171,20 @@ def document_scores(model: dict, texts: list[str], block: int = 3000):
     return total / np.maximum(1, [len(r) for r in raw])[:, None]
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", per_label: int = 300) -> dict:
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", per_label: int = 300,
+        chars: int = 4000) -> dict:
     """A network trained on at most ``per_label`` rows of each label (the rows with the smallest hash of id and text),
-    of which up to 4,000 characters are used.  Rows without a label or text are left out."""
+    of which the first ``chars`` characters are used.  Rows without a label or text are left out; without any other the
+    model has no classes, and ``identify`` finds "und" everywhere."""
     from pyspark.sql import Window
 
     ranked = (labelled.where(F.col(label_col).isNotNull() & (F.trim(text_col) != ""))
-              .select(F.col(label_col).cast("string").alias("label"), F.substring(text_col, 1, 4000).alias("text"),
+              .select(F.col(label_col).cast("string").alias("label"), F.substring(text_col, 1, chars).alias("text"),
                       F.xxhash64(F.lit(11), F.col(id_col).cast("string"), text_col).alias("h"))
               .withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))).where(f"n <= {per_label}"))
     rows = ranked.orderBy("label", "n").select("label", "text").toArrow()
     if not rows.num_rows:
-        raise ValueError("no labelled row to learn from")
+        return {"classes": []}
     return train(rows["text"].to_pylist(), rows["label"].to_pylist())
 
 
@@ -192,6 +194,8 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", carry: tuple[
     Null texts and texts without a letter are "und" with score 0.  Ties go to the first label in order.  Repeated rows
     keep a row each; an empty table gives an empty result; only the ``carry`` columns are carried, under their names,
     so others cannot clash."""
+    if not model["classes"]:
+        return docs.select(*carry, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = docs.select(*carry).schema
 

@@ -314,6 +314,12 @@ def test_language_learns_and_has_defined_edges(spark):
     assert language.identify(docs(spark, []), model).count() == 0
 
 
+def test_language_without_labels_is_unknown(spark):
+    for rows in (docs(spark, []), docs(spark, ["some text", None]).withColumn("lang", F.lit(None).cast("string"))):
+        got = language.identify(rows, language.fit(rows)).collect()
+        assert len(got) == rows.count() and all((r.lang_pred, r.score) == ("und", 0.0) for r in got)
+
+
 def test_fingerprints_of_edits(spark):
     texts = [prose(i, 40) for i in range(9)] + ["", None, prose(0, 40), "single", "😀é" * 7]
     ids = [i * 50 for i in range(len(texts))]
