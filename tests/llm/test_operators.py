@@ -420,6 +420,17 @@ def test_html_formulas_drawings_and_choices(spark):
     assert htmltext.render(htmltext.parse(page)) == "Area r+1 holds\n\nDraw\nleft\nright\n\nPick\nred\nblue\nnow"
 
 
+def test_pipeline_keeps_documents_of_low_score(spark):
+    import corpus_pipeline as p
+
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    short = docs(spark, ["Ereaea.", "Ourere ertible thheedre.", "Re.", "A.", "De.", "123 !!"], range(10**6, 10**6 + 6)).select(rows.columns)
+    short = short.withColumn("doc_id", F.col("doc_id").cast(rows.schema["doc_id"].dataType))
+    kept = {r.doc_id for r in p.language_id(spark, rows.unionByName(short), sf).where("doc_id >= 1000000").collect()}
+    assert kept == set(range(10**6, 10**6 + 5))
+
+
 def test_pipeline_keeps_clean_documents_and_its_columns(spark, tmp_path):
     import corpus_pipeline as p
 
