@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embeddings, fingerprints, htmltext, language, lines, packing, shingle_join, substring
+from . import (alignment, bpe, chat, embeddings, fingerprints, htmltext, language, lines, packing, repair, shingle_join,
+               substring, toxicity)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +87,25 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(alignment.alignments(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                                  public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", toxicity.held_out())
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    model = toxicity.fit(docs.where("not held_out"), labels)
+    return toxicity.score(docs, model, carry=("doc_id", "held_out"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(*repair.repair(table(spark, sf_dir, "conversations")))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
