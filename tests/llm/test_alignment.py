@@ -5,6 +5,7 @@ import random
 from bisect import bisect_right
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 
 from tessera.llm import alignment
@@ -13,7 +14,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["a  b", "<s> </s> <|endoftext|> x", "▁x y", "x▁", " lead", "trail ", "\n\n a\tb", "日本語 テキスト 漢字", "é́   x", None, "",
          "\x1c a \x1cb", "don't can't I'll  ", "👩‍👩‍👧 x 👍🏽", "a" * 3000, " " * 50, "<0x0A> <unk>", "　x 　y", "\0 x", "a​b  ﻿q",
-         "1234567 12 3", "same words here", "same words here", "same words there " * 500]
+         "1234567 12 3", "a.b,c\nd\n\ne.\n\tf don't-x's", "\n", "word.", ".word", "x\n y", "स्ते।", "same words here", "same words here", "same words there " * 500]
 
 
 def brute(texts):
@@ -87,20 +88,22 @@ def test_empty_table(spark):
 def test_galloping_finds_ranks_and_common_ends():
     rng = random.Random(4)
     for _ in range(300):
-        a, b = (sorted(rng.sample(range(1, 60), rng.randrange(0, 40))) for _ in range(2))
-        assert alignment.common_ends(a, b) == [(a.index(x), b.index(x)) for x in sorted(set(a) & set(b))]
-        low = rng.randrange(0, len(a) + 1)
-        value = rng.randrange(a[low - 1] + 1 if low else 0, 70)
-        assert alignment.gallop(a, value, low) == sum(x < value for x in a)
+        a, b = (np.array(sorted(rng.sample(range(1, 60), rng.randrange(0, 40))), np.int64) for _ in range(2))
+        values = np.array([rng.randrange(0, 70) for _ in range(9)])
+        rank = np.searchsorted(a, values)
+        low = [rng.randrange(0, r + 1) for r in rank]
+        assert alignment.gallop(a, values, low).tolist() == rank.tolist()
+        held = alignment.common_ends(a, b, np.zeros(len(b), int), np.zeros(len(a), int))
+        assert [h.tolist() for h in held] == [np.isin(a, b).tolist(), np.isin(b, a).tolist()]
 
 
 def test_overlaps_are_byte_ranges_that_meet():
     rng = random.Random(5)
     for _ in range(200):
-        a, b = ([*sorted(rng.sample(range(1, 30), rng.randrange(0, 12))), 30] for _ in range(2))
-        starts = [0, *b]
-        want = [(i, j) for i, e in enumerate(a) for j, f in enumerate(b) if starts[j] < e and f > (a[i - 1] if i else 0)]
-        assert [(i, j) for i, first, last in alignment.overlaps(a, b) for j in range(first, last)] == want
+        a, b = (np.array([*sorted(rng.sample(range(1, 30), rng.randrange(0, 12))), 30]) for _ in range(2))
+        starts = [[0, *x[:-1]] for x in (a, b)]
+        want = [(i, j) for i, e in enumerate(a) for j, f in enumerate(b) if starts[1][j] < e and f > starts[0][i]]
+        assert list(zip(*alignment.overlaps(np.array(starts[0]), a, b, np.zeros(len(a), int)), strict=True)) == want
 
 
 def test_sample_of_the_documents(spark):
