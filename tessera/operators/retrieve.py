@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
-from ..functions.text import (decode_entities, dot, drop_script_style, first_line, py_strip, rest_lines,
+from ..functions.text import (decode_entities, drop_script_style, first_line, py_strip, rest_lines,
                               strip_tags, tokens, unit_normalize)
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .common import BROADCAST_MAX_ROWS, broadcast_if_small, fill_template, spread
+from .vectors import best_k, probes_for, search_cells, tile_scores, write_cells
 
 
 # ---------------------------------------------------------------------------------------------------------------- TF-IDF
@@ -186,82 +187,24 @@ def centroids(vectors: DataFrame, key: str, vec_col: str = "embedding") -> DataF
     return means.select(key, unit_normalize(vector_to_array("_m")).alias(vec_col))
 
 
-MAX_QUERY_VECTORS = 10_000
-
-
-def _query_matrix(queries: DataFrame, query_id: str, vec_col: str, max_queries: int):
-    """Collect a bounded query set (at most ``max_queries`` rows, checked) as a broadcast (ids, unit matrix)."""
-    import numpy as np
-
-    rows = queries.select(query_id, vec_col).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"query set larger than {max_queries} vectors; use vector_ann for large query sets")
-    ids = np.array([r[0] for r in rows])
-    mat = np.array([r[1] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
-    return queries.sparkSession.sparkContext.broadcast((ids, mat))
-
-
-def _scored_batches(items: DataFrame, queries: DataFrame, item_id: str, query_id: str, vec_col: str,
-                    threshold: float | None, k: int | None, max_queries: int) -> DataFrame:
-    """Score item batches against the broadcast query matrix with one matrix product per Arrow batch; emit only
-    pairs passing ``threshold`` and/or each batch's top ``k`` per query.  An empty item set is an error (nothing
-    is indexed), as in the source system."""
-    import numpy as np
-    import pandas as pd
-
-    if items.isEmpty():
-        raise ValueError("No documents indexed yet.")
-    bq = _query_matrix(queries, query_id, vec_col, max_queries)
-    qid_type = queries.schema[query_id].dataType.simpleString()
-    iid_type = items.schema[item_id].dataType.simpleString()
-
-    def score(batches):
-        qids, qm = bq.value
-        for pdf in batches:
-            if len(pdf) == 0 or len(qids) == 0:
-                continue
-            im = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-            s = im @ qm.T                                   # (items, queries)
-            ii, qq = np.nonzero(s >= threshold) if threshold is not None else (None, None)
-            if k is not None:
-                kk = min(k, s.shape[0])
-                top = np.argpartition(-s, kk - 1, axis=0)[:kk]  # per query column
-                ti = top.ravel()
-                tq = np.repeat(np.arange(s.shape[1])[None, :], kk, axis=0).ravel()
-                if threshold is not None:
-                    keep = s[ti, tq] >= threshold
-                    ti, tq = ti[keep], tq[keep]
-                ii, qq = ti, tq
-            yield pd.DataFrame({query_id: qids[qq], item_id: pdf[item_id].to_numpy()[ii], "score": s[ii, qq]})
-
-    dim = int(bq.value[1].shape[1]) if bq.value[1].size else 0
-    # Items without a vector, or with another dimension than the queries, cannot be scored and are left out.
-    usable = items.select(item_id, vec_col).where(F.col(vec_col).isNotNull() & (F.size(vec_col) == dim))
-    return usable.mapInPandas(score, f"{query_id} {qid_type}, {item_id} {iid_type}, score double")
-
-
 def vector_threshold(items: DataFrame, queries: DataFrame, threshold: float = 0.3, item_id: str = "doc_id",
-                     query_id: str = "query_id", vec_col: str = "embedding",
-                     max_queries: int = MAX_QUERY_VECTORS) -> DataFrame:
+                     query_id: str = "query_id", vec_col: str = "embedding") -> DataFrame:
     """All items with dot(q, v) >= threshold (inclusive), sorted per query best first, ties by item id (insertion
-    order).  The order is a global sort (range partitioning on query and score), so a query matching a large share
-    of the items is spread over many tasks instead of being ranked in one."""
-    scored = _scored_batches(items, queries, item_id, query_id, vec_col, threshold, None, max_queries)
+    order), for any number of queries (see ``vectors.tile_scores``).  The order is a global sort (range partitioning on
+    query and score), so a query matching a large share of the items is spread over many tasks."""
+    scored = tile_scores(items, queries, threshold, None, item_id, query_id, vec_col)
     return (scored.select(query_id, item_id, F.round("score", 6).alias("score"), F.col("score").alias("_s"))
             .orderBy(F.col(query_id), F.col("_s").desc(), F.col(item_id)).drop("_s"))
 
 
 def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, item_id: str = "doc_id",
-                query_id: str = "query_id", vec_col: str = "embedding",
-                max_queries: int = MAX_QUERY_VECTORS) -> DataFrame:
-    """k nearest by cosine (vectors are unit norm, so dot product): ``min(k, n)`` rows per query, best first.
+                query_id: str = "query_id", vec_col: str = "embedding") -> DataFrame:
+    """k nearest by cosine (vectors are unit norm, so dot product): ``min(k, n)`` rows per query, best first, for any
+    number of queries.
 
-    Each Arrow batch keeps its own top k per query; ``row_number() <= k`` then keeps k per query in each map partition
-    before the shuffle (window group limit) and picks the final k."""
-    scored = _scored_batches(items, queries, item_id, query_id, vec_col, None, k, max_queries)
-    w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(item_id))
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(query_id, "rank", item_id, F.round("score", 6).alias("score")))
+    Each task keeps what may be among its own top k per query; ``row_number() <= k`` then keeps k per query in each map
+    partition before the shuffle (window group limit) and picks the final k."""
+    return best_k(tile_scores(items, queries, None, k, item_id, query_id, vec_col), k, item_id, query_id)
 
 
 def hit_texts(hits: DataFrame, texts: DataFrame, item_id: str = "doc_id", query_id: str = "query_id",
@@ -279,25 +222,18 @@ def hit_texts(hits: DataFrame, texts: DataFrame, item_id: str = "doc_id", query_
 
 
 def vector_ann(items: DataFrame, queries: DataFrame, k: int = 5, item_id: str = "doc_id",
-               query_id: str = "query_id", vec_col: str = "embedding", bucket_length: float = 2.0,
-               num_tables: int = 4, min_score: float = -1.0, seed: int = 7) -> DataFrame:
-    """Approximate top-k: random-projection LSH on unit vectors (squared distance = 2 - 2 cos, so the order is kept),
-    candidate pairs from shared buckets, exact re-rank of the candidates.  Recall is measured against ``vector_topk``.
-    """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    it = items.select(F.col(item_id), F.col(vec_col), array_to_vector(vec_col).alias("_v"))
-    qs = queries.select(F.col(query_id), F.col(vec_col).alias("_qv"), array_to_vector(vec_col).alias("_v"))
-    model = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(it)
-    max_dist = float((2.0 - 2.0 * min_score) ** 0.5) + 1e-9
-    pairs = model.approxSimilarityJoin(qs, it, max_dist, distCol="_d")
-    cand = pairs.select(F.col(f"datasetA.{query_id}").alias(query_id), F.col(f"datasetB.{item_id}").alias(item_id),
-                        dot(F.col("datasetA._qv"), F.col(f"datasetB.{vec_col}")).alias("score"))
-    w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(item_id))
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(query_id, "rank", item_id, F.round("score", 6).alias("score")))
+               query_id: str = "query_id", vec_col: str = "embedding", recall: float = 0.95, cells: int | None = None,
+               probes: int | None = None, path: str | None = None) -> DataFrame:
+    """Approximate top-k: an index partitioned by cell is written under ``path`` (below the checkpoint folder by default)
+    and only the cells nearest to the queries are read (see ``vectors.search_cells``).
+
+    Without ``probes`` their number is the least that finds ``recall`` of the exact results of a bounded sample of the
+    queries (``vectors.probes_for``)."""
+    spark = items.sparkSession
+    path = path or scratch_path(spark, "cells")
+    write_cells(items, path, cells, item_id, vec_col)
+    probes = probes or probes_for(spark, path, queries, k, recall, query_id, vec_col)
+    return search_cells(spark, path, queries, k, probes, item_id, query_id, vec_col)
 
 
 def prefixed_query(text: Column, prefix: str = fmt.QUERY_PREFIX) -> Column:
