@@ -34,6 +34,8 @@ SUMMARY_KEY = "总结"
 DETAILS_KEY = "具体问题"
 CAUSES_KEY = "原因分析"
 SUGGESTIONS_KEY = "建议"
+ANALYSIS_TITLE = "培训及考核情况分析（鱼骨图）"
+CONCLUSION_TITLE = "总结与改进建议"
 SUGGESTION_LABEL = "建议内容"
 MAIN_PROBLEM_JOIN = "；"
 OUTLINE_HEADING = "培训内容包含以下四大核心模块："

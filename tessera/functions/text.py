@@ -179,7 +179,8 @@ def number_text(v) -> Column:
     digits = F.abs(power).cast("string")
     digits = F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
     exponent = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"), digits)
-    return F.when(power.isNull(), text).when(power.between(-4, 15), plain).otherwise(exponent)
+    # Most numbers have no exponent: their text is right as it is, and nothing below is evaluated for them.
+    return F.when(~text.contains("E"), text).when(power.isNull(), text).when(power.between(-4, 15), plain).otherwise(exponent)
 
 
 def parse_value(raw) -> Column:
@@ -195,6 +196,21 @@ def parse_value(raw) -> Column:
     return F.when(r.contains("%"), pct).otherwise(plain)
 
 
+def json_string(c) -> Column:
+    """A text as a JSON string literal; null as the literal null."""
+    listed = F.to_json(F.array(_col(c).cast("string")))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def value_json(raw) -> Column:
+    """The value ladder as a JSON literal: '12.5%' -> 12.5 and '12%' -> 12.0; digits -> an integer; a float literal -> a
+    float; any other text -> a string."""
+    r = _col(raw)
+    number = parse_value(r)
+    whole = F.regexp_replace(r, r"^0+(?=\d)", "")
+    return (F.when(r.rlike(r"^[0-9]+$"), whole).when(number.isNotNull(), number_text(number)).otherwise(json_string(r)))
+
+
 def json_fence_body(c) -> Column:
     """Body of a fenced ```json block, or '' when there is none."""
     return F.regexp_extract(_col(c), "```json\\n([\\s\\S]*?)\\n```", 1)
