@@ -169,3 +169,27 @@ SELECT col_no, field, pos, name, value, round(value / sum(value) OVER (PARTITION
 def q_series_share(spark, sf_dir):
     """Each point's share of its column total (pie chart data)."""
     return series_share(_long(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------------------------------------ quoted records
+def _quoted_sql(x: str) -> str:
+    return f"""CASE WHEN regexp_matches({x}, '[,"\r\n]') THEN '"' || replace({x}, '"', '""') || '"' ELSE {x} END"""
+
+
+@register("csv_quoted", f"""
+SELECT role, 0 AS order_index, 'table' AS content_type,
+       'conv_id,turn,text' || chr(10) || string_agg(conv_id || ',' || turn || ',' || {_quoted_sql("text")} || chr(10), '' ORDER BY conv_id, turn) AS content
+FROM conversations GROUP BY role
+UNION ALL SELECT 'none', 0, 'table', 'conv_id,turn,text' || chr(10)""")
+def q_csv_quoted(spark, sf_dir):
+    """Conversations written as one CSV file for each role, texts with line breaks, commas and quotes, and one file with a
+    header only; each file read back in parallel as a (0, 'table', csv text) block."""
+    from ..operators.csvtext import csv_file_blocks
+
+    path = scratch_path(spark, "quoted-csv")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", "role")
+    form = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    rows.repartition("role").sortWithinPartitions("role", "conv_id", "turn").write.partitionBy("role").options(**form).csv(path)
+    rows.select("conv_id", "turn", "text").limit(0).write.options(**form).csv(f"{path}/role=none")
+    blocks = csv_file_blocks(spark, path)
+    return blocks.select(F.regexp_extract("filename", "role=([^/]+)/", 1).alias("role"), "order_index", "content_type", "content")
