@@ -127,6 +127,13 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     body_terms = top_terms(weights, "filename", top_k_terms).select("filename", F.lit("body").alias("part"), "term")
     parts = name_terms.unionByName(title_terms).unionByName(body_terms)
 
+    return score_parts(parts, queries, threshold, query_id, query_text, tset, broadcast_max_rows)
+
+
+def score_parts(parts: DataFrame, queries: DataFrame, threshold: float, query_id: str, query_text: str,
+                tset: Callable[[Column], Column], broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The scores of every query and file above ``threshold`` from the distinct terms of the files' parts,
+    ``(filename, part, term)`` with part name, title or body (see ``keyword_retrieve``)."""
     q = queries.select(F.col(query_id).alias("query_id"), tset(F.col(query_text)).alias("qt"))
     q_size = q.select("query_id", F.size("qt").alias("q_size"))
     q_terms = q.select("query_id", F.explode("qt").alias("term"))

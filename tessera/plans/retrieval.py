@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import label_width, upper_ascii_count, utf16_length, wide_count, first_line, py_strip
 from ..operators.retrieve import keyword_retrieve, keyword_topk
+from ..sources.terms import index_retrieve, index_topk, write_postings
 from .registry import register, table
 from .sources import benchmark_queries, document_blocks
 from .sqltext import TOK, doc_filename, rest, strip
@@ -125,3 +126,22 @@ def q_char_profile(spark, sf_dir):
         "doc_id", "title", wide_count(t).alias("n_wide"), upper_ascii_count(t).alias("n_upper"),
         utf16_length(t).alias("n_units"), label_width(t, 1).alias("width_head"),
         label_width(t, 2).alias("width_level2"), label_width(t, 3).alias("width_level3"))
+
+
+@register("index_retrieve", KEYWORD_RETRIEVE_SQL)
+def q_index_retrieve(spark, sf_dir):
+    """Keyword retrieval of every benchmark text from a persisted term index of the documents."""
+    name = write_postings(document_blocks(spark, sf_dir))
+    return index_retrieve(spark, name, benchmark_queries(spark, sf_dir), KEYWORD_THRESHOLD)
+
+
+@register("index_topk", f"""
+WITH t AS (SELECT {doc_filename()} AS filename, unnest(regexp_extract_all({rest(strip('text'))}, '{TOK}')) AS term FROM documents),
+  tf AS (SELECT filename, term, count(*) AS tf FROM t GROUP BY filename, term),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+  w AS (SELECT filename, term, tf * ln((SELECT count(DISTINCT filename) FROM tf)::DOUBLE / df) AS weight FROM tf JOIN df USING (term))
+SELECT filename, CAST(row_number() OVER (PARTITION BY filename ORDER BY round(weight, 9) DESC, term) AS INTEGER) AS rank, term, round(weight, 6) AS weight
+FROM w QUALIFY rank <= 20""")
+def q_index_topk(spark, sf_dir):
+    """The 20 heaviest body terms of every document from a persisted term index."""
+    return index_topk(spark, write_postings(document_blocks(spark, sf_dir)))
