@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"opti
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "p": {"table", "td", "th", "button"}}
 TABLE_SCOPE = {"table"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|[^<]+|<", re.S)
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_TAG_MARK = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
@@ -45,55 +47,125 @@ class Node:
 
     def visible(self) -> bool:
         a = self.attrs
-        return self.tag not in HIDDEN and "hidden" not in a and not _UNSEEN.search(a.get("style", ""))
+        shut = self.tag == "dialog" and "open" not in a
+        return self.tag not in HIDDEN and "hidden" not in a and not shut and not _UNSEEN.search(a.get("style", ""))
+
+
+class Scanner:
+    """Tags and texts of a page, read forwards: every character is looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.quoted = page, True
+        self.last = page.rfind(">")         # no tag begins behind it
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag ends whose attributes begin at ``at``: the next ">" outside quotes; -1 without one.
+
+        A quote without a partner is a character as any other.  Where quotes would swallow the rest of the page, they
+        no longer count from there on."""
+        if at > self.last:
+            return -1
+        first = at
+        while self.quoted:
+            m = _TAG_MARK.search(self.page, at)
+            if m is None:
+                self.quoted = False
+            elif m[0] == ">":
+                return m.start()
+            else:
+                close = self.page.find(m[0], m.end())
+                if close < 0:
+                    self.quoted = False
+                at = close + 1
+        return self.page.find(">", first)
+
+    def __iter__(self):
+        """(text, None, None, None) or (None, "/" or "", tag, attributes); ``at`` is the place behind it, and may be moved."""
+        page, self.at = self.page, 0
+        while self.at < len(page):
+            at = self.at
+            m = _OPEN.match(page, at)
+            end = self.tag_end(m.end()) if m else -1
+            if end >= 0:
+                self.at = end + 1
+                yield None, m[1], m[2].lower(), page[m.end():end]
+            elif page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                self.at = end + 3 if end >= 0 else len(page)
+            elif page.startswith(("<!", "<?"), at):
+                end = page.find(">", at)
+                self.at = end + 1 if end >= 0 else len(page)
+            else:
+                end = page.find("<", at + 1)
+                while end >= 0 and not self.markup(end):
+                    end = page.find("<", end + 1)
+                self.at = end if end >= 0 else len(page)
+                yield page[at:self.at], None, None, None
+
+    def markup(self, at: int) -> bool:
+        """Whether a tag, comment or declaration begins at ``at``."""
+        m = _OPEN.match(self.page, at)
+        return self.tag_end(m.end()) >= 0 if m else self.page.startswith(("<!", "<?"), at)
+
+
+class Open:
+    """The open elements, with the places of each tag among them."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places = [root], {}
+
+    def add(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def close(self, tags: set[str], scope: set[str]) -> None:
+        """End an open element of ``tags`` inside the nearest element of ``scope``: of one tag the innermost, of several
+        the outermost."""
+        border = max((self.places[t][-1] for t in scope - tags if self.places.get(t)), default=0)
+        found = []
+        for t in tags:
+            held = self.places.get(t)
+            if held and held[-1] > border:
+                found.append(held[-1] if len(tags) == 1 else held[bisect_right(held, border)])
+        if found:
+            for node in self.stack[min(found):]:
+                self.places[node.tag].pop()
+            del self.stack[min(found):]
 
 
 def parse(page: str) -> Node:
     root = Node("#root", {})
-    stack, at = [root], 0
-    while at < len(page):
-        m = _TOKEN.match(page, at)
-        at, tag = m.end(), (m[2] or "").lower()
-        if not tag:
-            if m[0][:2] not in ("<!", "<?"):
-                stack[-1].children.append(html.unescape(m[0]))
+    opened, scanner, folded = Open(root), Scanner(page), []
+    for text, slash, tag, rest in scanner:
+        if text is not None:
+            opened.stack[-1].children.append(html.unescape(text))
             continue
-        if m[1]:
-            _close(stack, {tag}, TABLE_SCOPE if tag != "table" else set())
+        if slash:
+            opened.close({tag}, TABLE_SCOPE if tag != "table" else set())
             if tag == "br":
-                stack[-1].children.append(Node("br", {}))
+                opened.stack[-1].children.append(Node("br", {}))
             continue
-        attrs = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTR.findall(m[3])} if m[3] else {}
+        attrs = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTR.findall(rest)} if rest else {}
         if tag in BLOCK and tag not in ("html", "body"):
-            _close(stack, {"p"}, SCOPE["p"])
+            opened.close({"p"}, SCOPE["p"])
         if tag in CLOSES:
-            _close(stack, CLOSES[tag], SCOPE.get(tag, TABLE_SCOPE))
+            opened.close(CLOSES[tag], SCOPE.get(tag, TABLE_SCOPE))
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        opened.stack[-1].children.append(node)
+        if tag == "details" and "open" not in attrs:
+            folded.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            body = page[at:end.start() if end else len(page)]
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, scanner.at)
+            body = page[scanner.at:end.start() if end else len(page)]
             node.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+            scanner.at = end.end() if end else len(page)
+        elif tag not in VOID and not rest.endswith("/"):
+            opened.add(node)
+    for node in folded:         # of folded details the first summary alone is seen
+        node.children = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
     return root
 
 
-def _close(stack: list[Node], tags: set[str], scope: set[str]) -> None:
-    """End the outermost open element of ``tags`` that is inside the nearest element of ``scope``."""
-    found = None
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            found = i
-        elif stack[i].tag in scope:
-            break
-        if found is not None and len(tags) == 1:
-            break
-    if found is not None:
-        del stack[found:]
-
-
 class _Lines:
     """Text gathered into lines: ``gap`` is the number of line ends owed before the next text."""
 
