@@ -196,6 +196,21 @@ def parse_value(raw) -> Column:
     return F.when(r.contains("%"), pct).otherwise(plain)
 
 
+def normal_path(path, base: str = "/") -> Column:
+    """A path made absolute and normal: a relative one stands under ``base``; empty and ``.`` segments go, ``..`` takes the
+    segment before it away (nothing above the root).  Back slashes are part of a name.  Null stays null."""
+    whole = F.when(_col(path).startswith("/"), _col(path)).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), _col(path)))
+    none = F.array().cast("array<string>")
+    step = lambda kept, s: (F.when(s.isin("", "."), kept)
+                            .when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array_append(kept, s)))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(whole, "/"), none, step), "/"))
+
+
+def base_name(path) -> Column:
+    """The last segment of a path."""
+    return F.regexp_extract(_col(path), "([^/]*)$", 1)
+
+
 def json_string(c) -> Column:
     """A text as a JSON string literal; null as the literal null."""
     listed = F.to_json(F.array(_col(c).cast("string")))

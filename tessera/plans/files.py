@@ -9,7 +9,7 @@ from ..session import scratch_path
 from ..sources.files import SUPPORTED_TYPES, file_manifest
 from ..streaming.ingest import read_ingested, start_ingest
 from .blocks import BLOCKS_SQL
-from .registry import register
+from .registry import register, table
 
 
 # The correctness check runs at the sf0.01 folder; DuckDB lists the same files with read_blob.
@@ -48,3 +48,38 @@ def q_stream_append(spark, sf_dir):
     q.awaitTermination()
     return read_ingested(spark, out).select("filename", "filetype", "content", "content_type", "order_index",
                                             "ingest_seq")
+
+
+# File names as users write them: every kind of extension, and paths that are relative or not normal.
+_NAME_SQL = """CASE doc_id % 4 WHEN 0 THEN '/corpus//' || source || '/./' WHEN 1 THEN '/corpus/x/../' || source || '/' WHEN 2 THEN '../' || source || '//y/../'
+  ELSE './' || source || '/' END || 'doc_' || doc_id || CASE doc_id % 9 WHEN 0 THEN '.PDF' WHEN 1 THEN '.docx' WHEN 2 THEN '.doc' WHEN 3 THEN '.pptx'
+  WHEN 4 THEN '.Xlsx' WHEN 5 THEN '.csv' WHEN 6 THEN '.txt' WHEN 7 THEN '.tar.gz' ELSE '' END"""
+
+
+@register("route_names", """
+WITH n AS (SELECT doc_id, CASE WHEN doc_id % 4 < 2 THEN '/corpus/' WHEN doc_id % 4 = 2 THEN '/home/' ELSE '/home/in/' END || source || '/doc_' || doc_id AS stem,
+  ['.PDF', '.docx', '.doc', '.pptx', '.Xlsx', '.csv', '.txt', '.tar.gz', ''][CAST(doc_id % 9 AS INTEGER) + 1] AS ext,
+  ['.pdf', '.docx', '.docx', '.pptx', '.xlsx', '.csv', '.txt', '.gz', ''][CAST(doc_id % 9 AS INTEGER) + 1] AS reader FROM documents)
+SELECT doc_id, stem || ext AS path, CASE WHEN ext = '.doc' THEN '.doc' ELSE reader END AS filetype, reader,
+       reader IN ('.pdf', '.docx', '.pptx', '.xlsx', '.csv') AS supported FROM n""")
+def q_route_names(spark, sf_dir):
+    """Routing of file names held in a table: absolute normal path, type, reader, and whether it is supported."""
+    from ..sources.files import route_names
+
+    names = table(spark, sf_dir, "documents").select("doc_id", F.expr(_NAME_SQL).alias("name"))
+    return route_names(names, "name", base="/home/in")[0].drop("name")
+
+
+@register("index_versions", """
+SELECT row_number() OVER (ORDER BY vec_id % 3, vec_id) - 1 AS doc_id, CAST(vec_id AS VARCHAR) AS text, CAST(vec_id % 3 + 1 AS INTEGER) AS version
+FROM embeddings WHERE vec_id % 3 < 2""")
+def q_index_versions(spark, sf_dir):
+    """A vector index grown by three appends, read as it was at its second version: ids go on from version to version."""
+    from ..session import scratch_path
+    from ..sources.index import append_index, read_version
+
+    path = scratch_path(spark, "growing")
+    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("text"), "embedding", "vec_id")
+    for part in range(3):
+        append_index(emb.where(F.col("vec_id") % 3 == part), path, ["vec_id"])
+    return read_version(spark, path, 2).select("doc_id", "text", "version")

@@ -47,6 +47,28 @@ def file_manifest(spark: SparkSession, path: str, recursive: bool = True, strict
     return out
 
 
+def route_names(names: DataFrame, path_col: str, strict: bool = False, supported: Sequence[str] = SUPPORTED_TYPES, base: str = "/"):
+    """(routed, observation): the routing of file names held in a table.
+
+    ``routed`` has every row's columns with path (absolute and normal), filetype, reader and supported; the same pass
+    counts into the observation, whose ``get`` has ``kept`` and ``rejected`` after the first action.  With ``strict``
+    the first unsupported type fails the job.  A null name has no type and is rejected."""
+    from pyspark.sql import Observation
+
+    from ..functions.text import normal_path
+
+    path = normal_path(path_col, base)
+    ext = F.coalesce(_extension(F.col("_path")), F.lit(""))
+    ok = _route(F.col("_path")).isin(list(supported))
+    routed = names.withColumn("_path", path).select(*[c for c in names.columns if c not in ("path", "filetype", "reader", "supported")], F.col("_path").alias("path"),
+                                                    ext.alias("filetype"), F.coalesce(_route(F.col("_path")), F.lit("")).alias("reader"), F.coalesce(ok, F.lit(False)).alias("supported"))
+    if strict:
+        routed = routed.withColumn("reader", F.when(F.col("supported"), F.col("reader")).otherwise(
+            F.raise_error(F.concat(F.lit("Unsupported file type: "), F.col("filetype")))))
+    seen = Observation()
+    return routed.observe(seen, F.count_if("supported").alias("kept"), F.count_if(~F.col("supported")).alias("rejected")), seen
+
+
 def csv_blocks(spark: SparkSession, path: str, schema: str, group_col: str | None = None,
                order_col: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """CSV files -> one ``(0, 'table', csv text)`` block per file (or per ``group_col`` value, e.g. a partition
