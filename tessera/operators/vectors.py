@@ -158,19 +158,20 @@ def _nearest(rows: DataFrame, pivots, vec_col: str, n: int) -> DataFrame:
 def write_cells(items: DataFrame, path: str, cells: int | None = None, item_id: str = "doc_id", vec_col: str = "embedding") -> None:
     """Persist an index under ``path``: ``vectors`` partitioned by cell (the nearest pivot of each vector) and ``pivots``.
 
-    ``cells`` is 4 * sqrt(items) by default, MAX_CELLS at most.  Every vector is indexed; null vectors are left out and
-    vectors of different dimensions are an error.  A cell that holds many vectors is written by several tasks."""
+    ``cells`` is sqrt(items) by default, MAX_CELLS at most.  Every vector is indexed; null vectors are left out and
+    vectors of different dimensions are an error.  Rows are rebalanced by cell, so
+    a cell that holds many vectors is written by several tasks."""
     n, dim, least = items.where(F.col(vec_col).isNotNull()).agg(F.count(F.lit(1)), F.max(F.size(vec_col)), F.min(F.size(vec_col))).first()
     if not n:
         raise ValueError("No documents indexed yet.")
     if dim != least:
         raise ValueError("vectors of different dimensions in one index")
     spark = items.sparkSession
-    pivots = pivots_of(items, cells or min(MAX_CELLS, max(1, round(4 * n ** 0.5))), item_id, vec_col)
+    pivots = pivots_of(items, cells or min(MAX_CELLS, max(1, round(n ** 0.5))), item_id, vec_col)
     pivots.write.mode("overwrite").parquet(f"{path}/pivots")
     rows = items.where(F.col(vec_col).isNotNull()).select(F.col(item_id).alias("item"), F.col(vec_col).alias("vector"))
     near = _nearest(rows, _pivot_matrix(spark, path), "vector", 1)
-    (near.select("item", "vector", F.col("near")[0].alias("cell")).repartitionByRange("cell", "item")
+    (near.select("item", "vector", F.col("near")[0].alias("cell")).hint("rebalance", "cell")
      .write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors"))
 
 

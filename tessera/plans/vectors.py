@@ -56,7 +56,7 @@ def q_vector_topk(spark, sf_dir):
 # probed as hold 95 % of the exact results.
 _ANN_SQL = f"""{_CENTROID_SQL},
   pv AS (SELECT row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR))) - 1 AS cell, CAST(embedding AS DOUBLE[]) AS p
-         FROM embeddings QUALIFY cell < (SELECT greatest(1, least(4096, round(4 * sqrt(count(*))))) FROM embeddings)),
+         FROM embeddings QUALIFY cell < (SELECT greatest(1, least(4096, round(sqrt(count(*))))) FROM embeddings)),
   cl AS (SELECT vec_id, cell FROM embeddings CROSS JOIN pv
          QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_dot_product(CAST(embedding AS DOUBLE[]), p) DESC, cell) = 1),
   qr AS (SELECT query_id, cell, row_number() OVER (PARTITION BY query_id ORDER BY list_dot_product(q, p) DESC, cell) AS cell_rank
