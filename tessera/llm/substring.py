@@ -9,10 +9,11 @@ earlier start).  Strings never cross documents and are judged on the input.
    are equal (a class), all but the first are repeats as a whole; a task sends only the first of its own.
 2. Anchors are dealt by gram.  Rows arrive sorted, so classes are told apart in a stream of constant memory.  Only the
    first of each class, and only of grams with more than one class, needs its bytes.
-3. The strings that hold such an anchor as their least gram are counted by their hash.  Those that share it are sorted
-   as suffixes by mergesort within parts of a task (two suffixes compare by their longest common extension, found by
-   binary search over prefix hashes; equal ones are checked byte by byte); what remains is dealt by hash, sorted, and
-   compared byte by byte in a stream.
+3. Those contexts are cut out of their documents once and dealt by gram.  Two equal strings share the anchor and half of
+   the rest before it or half of the rest after it, so only strings whose half occurs again are looked at.  Within a part
+   of a task they are sorted as suffixes by mergesort (two suffixes compare by their longest common extension, found by
+   binary search over prefix hashes; equal ones are checked byte by byte).  Strings whose hash occurs in several parts
+   are dealt by it, sorted, and compared byte by byte in a stream.
 
 No task holds all contexts of a gram or all copies of a string.
 """
@@ -26,7 +27,7 @@ from ..operators.common import ordinal_within
 from .common import key_filter, may_hold, saved
 
 GRAM = 32
-FLUSH = 3_000_000       # anchors a task holds before it sends the firsts of their classes
+FLUSH = 500_000         # anchors a task holds before it sends the firsts of their classes
 SORT_CONTEXTS = 6000    # contexts of one sort
 BASE = 0x9E3779B97F4A7C15
 
@@ -331,47 +332,89 @@ def _classes(length):
     return run
 
 
-def _strings(length, bitmap=None):
-    """The strings of the wanted anchors of documents (doc, t, rows), in parts of about SORT_CONTEXTS contexts.  Without
-    a bitmap how often each mark occurs in a part: (mark, n).  With the bitmap of marks that occur more than once, those
-    strings: (mark, doc, start, bytes), and the ones that have an equal earlier one in their part without mark and bytes."""
-    w = length - GRAM + 1
+def _contexts(length):
+    """Cuts the contexts of the wanted anchors out of documents (doc, t, rows): (gram, doc, pos, before, after, context),
+    with hashes of the anchor and the bytes of half a string's rest before and after it (null over a document's edge)."""
+    w, half = length - GRAM + 1, (length - GRAM) // 2
 
-    def part(held):
+    def cut(docs, texts, rows):
         import numpy as np
         import pyarrow as pa
 
-        held.sort(key=lambda x: x[:3])
-        gram, doc, pos = (np.array([x[i] for x in held], dtype=np.int64) for i in range(3))
-        contexts, left = [x[3] for x in held], np.minimum(pos, w - 1)
-        found = buf, at, ctx, offset, mark = strings(contexts, left, length)
+        doc, gram, at, found = [], [], [], []
+        for d, t, wanted in zip(docs, texts, rows, strict=True):
+            raw = t.encode()
+            for r in wanted:
+                p, right = r["at"] >> 12, r["at"] & 4095
+                doc.append(d)
+                gram.append(r["gram"])
+                at.append(p)
+                found.append(raw[max(0, p - w + 1):p + right])
+        pos, size = np.array(at, dtype=np.int64), np.array([len(x) for x in found], dtype=np.int64)
+        h, left = PrefixHash(np.frombuffer(b"".join(found), dtype=np.uint8)), np.minimum(pos, w - 1)
+        begin = np.cumsum(size) - size
+        place, stop = begin + left, begin + size
+        low, high = np.maximum(place - half, 0), np.minimum(place + GRAM + half, stop)
+        before = _mix(h.of(low, place + GRAM) + np.uint64(1)).view(np.int64)
+        after = _mix(h.of(place, high) + np.uint64(2)).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(gram, pa.int64()), pa.array(doc, pa.int64()), pa.array(pos), pa.array(before, mask=left < half),
+             pa.array(after, mask=place + GRAM + half > stop), pa.array(found, pa.binary())],
+            names=["gram", "doc", "pos", "before", "after", "context"])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 300):
+                yield cut(*(batch.column(k).slice(i, 300).to_pylist() for k in range(3)))
+
+    return run
+
+
+def _strings(length, halves, bitmap=None):
+    """The strings of contexts (gram, doc, pos, before, after, context), in parts of about SORT_CONTEXTS contexts; ``halves``
+    is the bitmap of the hashes before and after that occur again.  Without a bitmap the marks of each part, once:
+    (mark).  With the bitmap of marks that occur in several parts, the first string of each of these in its part: (mark,
+    doc, start, bytes), and the strings that have an equal earlier one in their part, without mark and bytes."""
+    w, half = length - GRAM + 1, (length - GRAM) // 2
+
+    def part(batch):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def again(k):
+            keys = batch.column(k)
+            return may_hold(halves.value, keys.fill_null(0).to_numpy()) & keys.is_valid().to_numpy(zero_copy_only=False)
+
+        batch = batch.filter(pa.array(again(3) | again(4)))
+        batch = batch.take(pc.sort_indices(pa.Table.from_batches([batch]).select(["gram", "doc", "pos"]),
+                                           [("gram", "ascending"), ("doc", "ascending"), ("pos", "ascending")]))
+        gram, doc, pos = (batch.column(i).to_numpy() for i in range(3))
+        contexts, left = batch.column(5).to_pylist(), np.minimum(pos, w - 1)
+        if not contexts:
+            return None
+        buf, at, ctx, offset, mark = strings(contexts, left, length)
+        # A string that starts half a rest before its anchor shares the bytes before it with its equals, others those after.
+        some = np.where(offset >= half, again(3)[ctx], again(4)[ctx])
+        found = buf, at, ctx, offset, mark = buf, at, ctx[some], offset[some], mark[some]
         if bitmap is None:
-            mark, n = np.unique(mark.view(np.int64), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(mark), pa.array(n.astype(np.int64))], names=["mark", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(mark.view(np.int64)))], names=["mark"])
         rctx, roffset = repeats(contexts, left, gram, length, found)
-        again = np.isin(ctx * w + offset, rctx * w + roffset)
-        one = ~again & may_hold(bitmap.value, mark.view(np.int64))
+        later = np.isin(ctx * w + offset, rctx * w + roffset)
+        one = ~later & may_hold(bitmap.value, mark.view(np.int64))
         place = (at[ctx] - offset)[one].tolist()
-        raw, m = buf.tobytes(), int(again.sum())
+        raw, m = buf.tobytes(), int(later.sum())
         start = pos[ctx] - offset
         return pa.RecordBatch.from_arrays(
             [pa.concat_arrays([pa.array(mark.view(np.int64)[one]), pa.nulls(m, pa.int64())]),
-             pa.array(np.concatenate((doc[ctx][one], doc[ctx][again]))), pa.array(np.concatenate((start[one], start[again]))),
+             pa.array(np.concatenate((doc[ctx][one], doc[ctx][later]))), pa.array(np.concatenate((start[one], start[later]))),
              pa.array([raw[x:x + length] for x in place] + [None] * m, pa.binary())], names=["mark", "doc", "start", "bytes"])
 
     def run(batches):
-        held = []
         for batch in batches:
-            for i in range(batch.num_rows):
-                raw, doc = batch.column(1)[i].as_py().encode(), batch.column(0)[i].as_py()
-                for r in batch.column(2)[i].as_py():
-                    p, right = r["at"] >> 12, r["at"] & 4095
-                    held.append((r["gram"], doc, p, raw[max(0, p - w + 1):p + right]))
-                    if len(held) >= SORT_CONTEXTS:
-                        yield part(held)
-                        held = []
-        if held:
-            yield part(held)
+            for i in range(0, batch.num_rows, SORT_CONTEXTS):
+                if (out := part(batch.slice(i, SORT_CONTEXTS))) is not None:
+                    yield out
 
     return run
 
@@ -471,9 +514,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = found.where("gram is not null").select("doc", "gram", "at")
     hashed = base.select(F.xxhash64("doc").alias("k"), "id", "doc", "t", *extra)
     some = hashed.mapInArrow(_where(key_filter(wanted.select(F.xxhash64("doc").alias("k")).distinct(), "k"), True), hashed.schema)
-    contexts = some.select("doc", "t").distinct().join(wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("rows")), "doc")
-    often = contexts.mapInArrow(_strings(length), "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = contexts.mapInArrow(_strings(length, key_filter(often.select("mark"), "mark")), "mark long, doc long, start long, bytes binary")
+    # Repeated rows of one document count once; ids that differ need no exchange for it.
+    texts = some.select("doc", "t") if plain else some.select("doc", "t").dropDuplicates(["doc"])
+    # Dealt by gram, equal strings mostly meet in one part; rebalancing splits a frequent gram, which only makes its
+    # marks occur in several parts.
+    contexts = saved(texts.join(wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("rows")), "doc")
+                     .mapInArrow(_contexts(length), "gram long, doc long, pos long, before long, after long, context binary")
+                     .hint("rebalance", "gram").sortWithinPartitions("gram", "doc", "pos"))
+    twice = lambda df, c: df.groupBy(c).count().where("count > 1").select(c)
+    halves = key_filter(twice(contexts.select(F.explode(F.array("before", "after")).alias("k")).where("k is not null"), "k"), "k")
+    marks = key_filter(twice(contexts.mapInArrow(_strings(length, halves), "mark long"), "mark"), "mark")
+    shared = contexts.mapInArrow(_strings(length, halves, marks), "mark long, doc long, start long, bytes binary")
     # Repeats found inside a task have no mark: they are dealt by document.
     later = (shared.repartition(n, F.coalesce("mark", F.xxhash64("doc", "start"))).sortWithinPartitions("mark", "doc", "start")
              .mapInArrow(_later(length), f"doc long, {span}"))
