@@ -370,11 +370,44 @@ def _contexts(length):
     return run
 
 
+def _blocks(buf, at, ctx, offset, mark, group, length: int):
+    """Which strings stand in a block that an earlier context of the same group has byte for byte.  A block is a context's
+    strings of up to 8 neighbouring offsets; contexts are in their order within a group.  What differs in one string
+    is left to the sort."""
+    import numpy as np
+
+    if not len(ctx):
+        return np.zeros(0, dtype=bool)
+    key = ctx * 512 + offset // 8
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.concatenate((first, [len(ctx)])))
+    code = np.add.reduceat(_mix(mark), first) + _mix(size.astype(np.uint64))
+    own = group[ctx[first]]
+    order = np.lexsort((np.arange(len(first)), code, own))
+    same = (code[order][1:] == code[order][:-1]) & (own[order][1:] == own[order][:-1])
+    lead = np.concatenate(([True], ~same))
+    earlier = np.empty(len(first), dtype=np.int64)
+    earlier[order] = order[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+    again = np.flatnonzero(earlier != np.arange(len(first)))
+    # Offsets ascend within a block, so its bytes run from its last string's start to its first string's end.
+    low = at[ctx] - offset
+    start, other, span = low[(first + size - 1)[again]], low[(first + size - 1)[earlier[again]]], length + size[again] - 1
+    equal = size[again] == size[earlier[again]]
+    step = np.arange(length + 8)
+    for i in range(0, len(again), 4096):
+        c = slice(i, i + 4096)
+        place = np.minimum(step, span[c, None] - 1)
+        equal[c] &= (buf[np.minimum(start[c, None] + place, len(buf) - 1)] == buf[np.minimum(other[c, None] + place, len(buf) - 1)]).all(axis=1)
+    hit = np.zeros(len(first), dtype=bool)
+    hit[again[equal]] = True
+    return np.repeat(hit, size)
+
+
 def _strings(length, halves, bitmap=None):
     """The strings of contexts (gram, doc, pos, before, after, context), in parts of about SORT_CONTEXTS contexts; ``halves``
-    is the bitmap of the hashes before and after that occur again.  Without a bitmap the marks of each part, once:
-    (mark).  With the bitmap of marks that occur in several parts, the first string of each of these in its part: (mark,
-    doc, start, bytes), and the strings that have an equal earlier one in their part, without mark and bytes."""
+    is the bitmap of the hashes before and after that occur again.  Without a bitmap the marks of each part, once, and
+    what has an equal earlier string in its part, as intervals: (mark, doc, start, stop).  With the bitmap of marks that
+    occur in several parts the first string of each of these in its part: (mark, doc, start, bytes)."""
     w, half = length - GRAM + 1, (length - GRAM) // 2
 
     def part(batch):
@@ -387,28 +420,35 @@ def _strings(length, halves, bitmap=None):
             return may_hold(halves.value, keys.fill_null(0).to_numpy()) & keys.is_valid().to_numpy(zero_copy_only=False)
 
         batch = batch.filter(pa.array(again(3) | again(4)))
+        if not batch.num_rows:
+            return None
         batch = batch.take(pc.sort_indices(pa.Table.from_batches([batch]).select(["gram", "doc", "pos"]),
                                            [("gram", "ascending"), ("doc", "ascending"), ("pos", "ascending")]))
         gram, doc, pos = (batch.column(i).to_numpy() for i in range(3))
         contexts, left = batch.column(5).to_pylist(), np.minimum(pos, w - 1)
-        if not contexts:
-            return None
         buf, at, ctx, offset, mark = strings(contexts, left, length)
         # A string that starts half a rest before its anchor shares the bytes before it with its equals, others those after.
         some = np.where(offset >= half, again(3)[ctx], again(4)[ctx])
-        found = buf, at, ctx, offset, mark = buf, at, ctx[some], offset[some], mark[some]
-        if bitmap is None:
-            return pa.RecordBatch.from_arrays([pa.array(np.unique(mark.view(np.int64)))], names=["mark"])
-        rctx, roffset = repeats(contexts, left, gram, length, found)
-        later = np.isin(ctx * w + offset, rctx * w + roffset)
-        one = ~later & may_hold(bitmap.value, mark.view(np.int64))
-        place = (at[ctx] - offset)[one].tolist()
-        raw, m = buf.tobytes(), int(later.sum())
-        start = pos[ctx] - offset
+        if bitmap is not None:
+            some &= may_hold(bitmap.value, mark.view(np.int64))
+        ctx, offset, mark = ctx[some], offset[some], mark[some]
+        if bitmap is not None:      # equal marks have one gram, so the first of them is the earliest string
+            _, one = np.unique(mark, return_index=True)
+            start = at[ctx[one]] - offset[one]
+            raw = buf.tobytes()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(mark[one].view(np.int64)), pa.array(doc[ctx[one]]), pa.array(pos[ctx[one]] - offset[one]),
+                 pa.array([raw[x:x + length] for x in start.tolist()], pa.binary())], names=["mark", "doc", "start", "bytes"])
+        held = _blocks(buf, at, ctx, offset, mark, gram, length)
+        new = ~held
+        rctx, roffset = repeats(contexts, left, gram, length, (buf, at, ctx[new], offset[new], mark[new]))
+        rdoc, start = (np.concatenate((x, y)) for x, y in ((doc[ctx[held]], doc[rctx]), (pos[ctx[held]] - offset[held], pos[rctx] - roffset)))
+        s, e, d = merged(start, start + length, rdoc)
+        marks = np.unique(mark[new]).view(np.int64)
+        n, m = pa.nulls(len(marks), pa.int64()), pa.nulls(len(d), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([pa.array(mark.view(np.int64)[one]), pa.nulls(m, pa.int64())]),
-             pa.array(np.concatenate((doc[ctx][one], doc[ctx][later]))), pa.array(np.concatenate((start[one], start[later]))),
-             pa.array([raw[x:x + length] for x in place] + [None] * m, pa.binary())], names=["mark", "doc", "start", "bytes"])
+            [pa.concat_arrays([pa.array(marks), m]), *(pa.concat_arrays([n, pa.array(x)]) for x in (d, s, e))],
+            names=["mark", "doc", "start", "stop"])
 
     def run(batches):
         for batch in batches:
@@ -429,9 +469,6 @@ def _later(length):
         for batch in batches:
             hit = np.zeros(batch.num_rows, dtype=bool)
             for i, (mark, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                if mark is None:
-                    hit[i] = True
-                    continue
                 if mark != last:
                     last, seen = mark, set()
                 hit[i] = raw in seen
@@ -447,7 +484,6 @@ def _later(length):
 def _apply(output):
     """Removes each document's merged intervals (last column) from its bytes."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
@@ -456,10 +492,15 @@ def _apply(output):
             for text, found in zip(texts, rows, strict=True):
                 raw = (text or "").encode()
                 size.append(len(raw))
-                s, e, _ = merged(*(np.array([x[c] for x in found or ()], dtype=np.int64) for c in ("start", "stop")),
-                                 np.zeros(len(found or ()), np.int64))
-                spans.append([{"start": a, "stop": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)])
-                kept.append(b"".join(raw[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(raw)], strict=True)))
+                runs: list[list[int]] = []
+                for x, y in sorted((x["start"], x["stop"]) for x in found or ()):
+                    if runs and x <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], y)
+                    else:
+                        runs.append([x, y])
+                spans.append([{"start": x, "stop": y} for x, y in runs])
+                kept.append(b"".join(raw[x:y] for x, y in zip([0, *(y for _, y in runs)], [*(x for x, _ in runs), len(raw)],
+                                                              strict=True)) if runs else raw)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
@@ -523,12 +564,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      .hint("rebalance", "gram").sortWithinPartitions("gram", "doc", "pos"))
     twice = lambda df, c: df.groupBy(c).count().where("count > 1").select(c)
     halves = key_filter(twice(contexts.select(F.explode(F.array("before", "after")).alias("k")).where("k is not null"), "k"), "k")
-    marks = key_filter(twice(contexts.mapInArrow(_strings(length, halves), "mark long"), "mark"), "mark")
-    shared = contexts.mapInArrow(_strings(length, halves, marks), "mark long, doc long, start long, bytes binary")
-    # Repeats found inside a task have no mark: they are dealt by document.
-    later = (shared.repartition(n, F.coalesce("mark", F.xxhash64("doc", "start"))).sortWithinPartitions("mark", "doc", "start")
+    parts = saved(contexts.mapInArrow(_strings(length, halves), f"mark long, doc long, {span}"))
+    marks = key_filter(twice(parts.where("mark is not null"), "mark"), "mark")
+    later = (contexts.mapInArrow(_strings(length, halves, marks), "mark long, doc long, start long, bytes binary")
+             .repartition(n, "mark").sortWithinPartitions("mark", "doc", "start")
              .mapInArrow(_later(length), f"doc long, {span}"))
-    cuts = saved(later.unionAll(whole)
+    inside = parts.where("mark is null").select("doc", "start", "stop")
+    cuts = saved(later.unionAll(inside).unionAll(whole)
                  .groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")))
     bitmap = key_filter(cuts.select(F.xxhash64("doc").alias("k")), "k")
     kinds = "".join(f", `{c}` {docs.select(c).schema[0].dataType.simpleString()}" for c in carry)
