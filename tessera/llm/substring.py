@@ -27,7 +27,7 @@ from ..operators.common import ordinal_within
 from .common import key_filter, may_hold, saved
 
 GRAM = 32
-FLUSH = 500_000         # anchors a task holds before it sends the firsts of their classes
+FLUSH = 300_000         # anchors a task holds before it sends the firsts of their classes
 SORT_CONTEXTS = 6000    # contexts of one sort
 BASE = 0x9E3779B97F4A7C15
 
@@ -407,7 +407,8 @@ def _strings(length, halves, bitmap=None):
     """The strings of contexts (gram, doc, pos, before, after, context), in parts of about SORT_CONTEXTS contexts; ``halves``
     is the bitmap of the hashes before and after that occur again.  Without a bitmap the marks of each part, once, and
     what has an equal earlier string in its part, as intervals: (mark, doc, start, stop).  With the bitmap of marks that
-    occur in several parts the first string of each of these in its part: (mark, doc, start, bytes)."""
+    occur in several parts the first string of each of these in its part: (block, mark, doc, start, bytes); neighbouring
+    strings of a gram share their block, so what a task finds of them leaves it as few intervals."""
     w, half = length - GRAM + 1, (length - GRAM) // 2
 
     def part(batch):
@@ -436,9 +437,10 @@ def _strings(length, halves, bitmap=None):
             _, one = np.unique(mark, return_index=True)
             start = at[ctx[one]] - offset[one]
             raw = buf.tobytes()
+            block = _mix(gram[ctx[one]].view(np.uint64) + (offset[one] // 32).astype(np.uint64))
             return pa.RecordBatch.from_arrays(
-                [pa.array(mark[one].view(np.int64)), pa.array(doc[ctx[one]]), pa.array(pos[ctx[one]] - offset[one]),
-                 pa.array([raw[x:x + length] for x in start.tolist()], pa.binary())], names=["mark", "doc", "start", "bytes"])
+                [pa.array(block.view(np.int64)), pa.array(mark[one].view(np.int64)), pa.array(doc[ctx[one]]), pa.array(pos[ctx[one]] - offset[one]),
+                 pa.array([raw[x:x + length] for x in start.tolist()], pa.binary())], names=["block", "mark", "doc", "start", "bytes"])
         held = _blocks(buf, at, ctx, offset, mark, gram, length)
         new = ~held
         rctx, roffset = repeats(contexts, left, gram, length, (buf, at, ctx[new], offset[new], mark[new]))
@@ -460,7 +462,7 @@ def _strings(length, halves, bitmap=None):
 
 
 def _later(length):
-    """Task of step 3, over strings sorted by (mark, doc, start): those whose bytes an earlier one has, as intervals."""
+    """Task of step 3, over strings sorted by (block, mark, doc, start): those whose bytes an earlier one has, as intervals."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -468,13 +470,13 @@ def _later(length):
         last, seen = None, set()
         for batch in batches:
             hit = np.zeros(batch.num_rows, dtype=bool)
-            for i, (mark, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+            for i, (mark, raw) in enumerate(zip(batch.column(1).to_pylist(), batch.column(4).to_pylist(), strict=True)):
                 if mark != last:
                     last, seen = mark, set()
                 hit[i] = raw in seen
                 seen.add(raw)
             at = np.flatnonzero(hit)
-            doc, start = (batch.column(i).to_numpy()[at] for i in (1, 2))
+            doc, start = (batch.column(i).to_numpy()[at] for i in (2, 3))
             s, e, d = merged(start, start + length, doc)
             yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(e)], names=["doc", "start", "stop"])
 
@@ -483,28 +485,31 @@ def _later(length):
 
 def _apply(output):
     """Removes each document's merged intervals (last column) from its bytes."""
-    def run(batches):
+    def cut(batch):
         import pyarrow as pa
 
-        for batch in batches:
-            texts, rows = batch.column(1).to_pylist(), batch.columns[-1].to_pylist()
-            spans, kept, size = [], [], []
-            for text, found in zip(texts, rows, strict=True):
-                raw = (text or "").encode()
-                size.append(len(raw))
-                runs: list[list[int]] = []
-                for x, y in sorted((x["start"], x["stop"]) for x in found or ()):
-                    if runs and x <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], y)
-                    else:
-                        runs.append([x, y])
-                spans.append([{"start": x, "stop": y} for x, y in runs])
-                kept.append(b"".join(raw[x:y] for x, y in zip([0, *(y for _, y in runs)], [*(x for x, _ in runs), len(raw)],
-                                                              strict=True)) if runs else raw)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                 pa.array(kept, pa.binary()), *batch.columns[2:-1]], names=output)
+        spans, kept, size = [], [], []
+        for text, found in zip(batch.column(1).to_pylist(), batch.columns[-1].to_pylist(), strict=True):
+            raw = (text or "").encode()
+            size.append(len(raw))
+            runs: list[list[int]] = []
+            for x, y in sorted((x["start"], x["stop"]) for x in found or ()):
+                if runs and x <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], y)
+                else:
+                    runs.append([x, y])
+            spans.append([{"start": x, "stop": y} for x, y in runs])
+            edges = zip([0, *(y for _, y in runs)], [*(x for x, _ in runs), len(raw)], strict=True)
+            kept.append(b"".join(raw[x:y] for x, y in edges) if runs else raw)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(size, pa.int64()),
+             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+             pa.array(kept, pa.binary()), *batch.columns[2:-1]], names=output)
+
+    def run(batches):
+        for batch in batches:       # in small parts: a batch's texts stand in memory several times
+            for i in range(0, batch.num_rows, 300):
+                yield cut(batch.slice(i, 300))
 
     return run
 
@@ -566,8 +571,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     halves = key_filter(twice(contexts.select(F.explode(F.array("before", "after")).alias("k")).where("k is not null"), "k"), "k")
     parts = saved(contexts.mapInArrow(_strings(length, halves), f"mark long, doc long, {span}"))
     marks = key_filter(twice(parts.where("mark is not null"), "mark"), "mark")
-    later = (contexts.mapInArrow(_strings(length, halves, marks), "mark long, doc long, start long, bytes binary")
-             .repartition(n, "mark").sortWithinPartitions("mark", "doc", "start")
+    later = (contexts.mapInArrow(_strings(length, halves, marks), "block long, mark long, doc long, start long, bytes binary")
+             .repartition(n, "block").sortWithinPartitions("block", "mark", "doc", "start")
              .mapInArrow(_later(length), f"doc long, {span}"))
     inside = parts.where("mark is null").select("doc", "start", "stop")
     cuts = saved(later.unionAll(inside).unionAll(whole)
