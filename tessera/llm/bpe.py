@@ -162,6 +162,19 @@ class _Codec:
             yield b"".join(x for x, _ in found), b"".join(x for _, x in found)
 
 
+def _kept_codec(ranks_path: str, pattern: str, cache_words: int) -> _Codec:
+    """The codec of a worker process, kept for its later tasks, so that a worker builds its tables once and learns a word
+    once; ``cache_words`` bounds what it remembers."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_tessera_codecs", types.ModuleType("_tessera_codecs")).__dict__
+    key = f"{ranks_path}\0{pattern}\0{cache_words}"
+    if key not in kept:
+        kept[key] = _Codec(ranks_path, pattern, cache_words)
+    return kept[key]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            cache_words: int = 700_000) -> DataFrame:
     """(id_col, ids array<int>, decoded binary) for every row: the ids of the whole text and what they decode to.
@@ -175,7 +188,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
         codec = None
         for batch in batches:
-            codec = codec or _Codec(ranks_path, pattern, cache_words)
+            codec = codec or _kept_codec(ranks_path, pattern, cache_words)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             # Rows of a part share one output batch of bounded size.
             for at in range(0, len(texts), 1000):
