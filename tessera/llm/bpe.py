@@ -176,7 +176,7 @@ def _kept_codec(ranks_path: str, pattern: str, cache_words: int) -> _Codec:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           cache_words: int = 700_000) -> DataFrame:
+           cache_words: int = 300_000) -> DataFrame:
     """(id_col, ids array<int>, decoded binary) for every row: the ids of the whole text and what they decode to.
 
     A null or empty text has no ids and decodes to no bytes; a repeated row gives a repeated result; an empty table
