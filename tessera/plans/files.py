@@ -35,8 +35,8 @@ CONV_SCHEMA = "conv_id long, turn long, role string, text string"
 
 @register("stream_append", f"WITH {BLOCKS_SQL} SELECT * FROM blocks")
 def q_stream_append(spark, sf_dir):
-    """The conversations file ingested by a file-source stream (available-now trigger) into the block table; the
-    appended table equals the batch block table."""
+    """The conversations table, one file or a folder of files, ingested by a file-source stream (available-now trigger)
+    into the block table; the appended table equals the batch block table."""
     out = scratch_path(spark, "ingest")
 
     def to_blocks(batch, batch_id):
@@ -44,7 +44,8 @@ def q_stream_append(spark, sf_dir):
         return block_table(batch, filename=name, content=F.col("text"), content_type=F.col("role"),
                            order_index=F.col("turn"), ingest_seq=F.lit(batch_id))
 
-    q = start_ingest(spark, sf_dir, CONV_SCHEMA, to_blocks, out, glob="conversations.parquet")
+    # A glob that only the table matches: a stream takes a plain path for a folder, a glob for a file or a folder.
+    q = start_ingest(spark, f"{sf_dir}/{{conversations.parquet}}", CONV_SCHEMA, to_blocks, out)
     q.awaitTermination()
     return read_ingested(spark, out).select("filename", "filetype", "content", "content_type", "order_index",
                                             "ingest_seq")

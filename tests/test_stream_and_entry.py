@@ -39,6 +39,21 @@ def test_stream_equals_batch_and_reingest_appends(spark):
     assert recs.count() == 2 * batch.select("filename").distinct().count()
 
 
+def test_stream_append_reads_a_table_of_one_file_or_of_many(spark):
+    from tessera.plans import QUERIES
+
+    rows = [(c, t, "user", f"text {c} {t}") for c in range(4) for t in range(3)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    many, one = tempfile.mkdtemp(prefix="tessera-many-"), tempfile.mkdtemp(prefix="tessera-one-")
+    conv.repartition(3).write.parquet(f"{many}/conversations.parquet")
+    conv.coalesce(1).write.parquet(f"{one}/parts")
+    part = next(f for f in os.listdir(f"{one}/parts") if f.endswith(".parquet"))
+    shutil.copy(f"{one}/parts/{part}", f"{one}/conversations.parquet")
+    want = sorted((f"/chats/conv_{c}.txt", ".txt", text, role, t, 0) for c, t, role, text in rows)
+    for folder in (many, one):
+        assert sorted(map(tuple, QUERIES["stream_append"](spark, folder).collect())) == want
+
+
 def test_entry_and_all_queries_run(spark):
     import __spark_entry__ as ent
 
