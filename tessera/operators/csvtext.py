@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from ..session import written
 from .common import ordered_concat
 
+# The text between a cell's quotes, up to the first quote that is not doubled; without one, up to the last quote.  Both
+# repetitions are possessive: the regex engine loops over them, where a greedy one takes stack for every character.
+QUOTED = r'(?:[^"]++|"")*+(?=")|(?:[^"]++|""(?=[^"]*+"))*+(?=")'
 # A cell up to the next comma outside quotes: quoted (quotes doubled inside) or plain.
-CELL = r'(?s)(?:^|,)("(?:[^"]|"")*"[^,]*|[^,]*)'
+CELL = rf'(?s)(?:^|,)("(?:{QUOTED})"[^,]*|[^,]*)'
 
 
 def csv_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -49,7 +52,7 @@ def csv_records(lines: DataFrame, quote: str = '"') -> DataFrame:
 
 def csv_cells(text: Column) -> Column:
     """The cells of a record: quotes around a cell removed, doubled quotes inside it single."""
-    plain = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_extract(c, r'(?s)^"((?:[^"]|"")*)"', 1), F.lit('""'), F.lit('"'))).otherwise(c)
+    plain = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_extract(c, rf'(?s)^"({QUOTED})"', 1), F.lit('""'), F.lit('"'))).otherwise(c)
     return F.transform(F.regexp_extract_all(text, F.lit(CELL), 1), plain)
 
 

@@ -61,3 +61,19 @@ def test_blocks_and_maps(spark, folder):
     assert blocks == {"short.csv": (0, "table", 'a,b,c\n1,"x,\n""y""",\n2,,z,more\n'), "head.csv": (0, "table", "x,y\n")}
     maps = [r.cells for r in csv_maps(csv_rows(spark, str(folder))).orderBy("record_no").collect()]
     assert maps == [{"a": "1", "b": 'x,\n"y"', "c": ""}, {"a": "2", "b": "", "c": "z", "4": "more"}]
+
+
+def test_long_quoted_cells_take_no_stack(spark, folder):
+    rows = [["id", "text"], ["1", 'a, "b"\n' * 20_000], ["2", "x" * 100_000 + ","]]
+    written(folder / "long.csv", rows)
+    assert [r.cells for r in csv_rows(spark, str(folder)).orderBy("record_no").collect()] == rows
+
+
+def test_cells_with_stray_quotes(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.csvtext import csv_cells
+
+    texts = {'"a"",b': ["a", "b"], 'x"y,"c"z,': ['x"y', "c", ""], '"a""b""c': ['a"b'], '"",""""': ["", '"']}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.c for r in df.select("t", csv_cells(F.col("t")).alias("c")).collect()} == texts
