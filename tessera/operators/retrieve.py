@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import formats as fmt
 from ..functions.text import (decode_entities, drop_script_style, first_line, py_strip, rest_lines,
                               strip_tags, tokens, unit_normalize)
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, written
 from .common import BROADCAST_MAX_ROWS, broadcast_if_small, fill_template, spread
 from .vectors import best_k, probes_for, search_cells, tile_scores, write_cells
 
@@ -76,11 +76,99 @@ def top_terms(weights: DataFrame, id_col: str, k: int = 20, digits: int = 9) ->
             .where(F.col("rank") <= k))
 
 
+def row_counts(rows: DataFrame, keep: list[str], terms: Column, out: str = "_e") -> DataFrame:
+    """(*keep, ``out``) with every row's terms counted inside the row: sorted structs (term, tf), runs of its sorted terms."""
+    sorted_ = rows.select(*keep, F.sort_array(terms).alias("_s"))
+    # Every element before which a run starts; the next start (or the end) gives the run's length.
+    starts = F.filter(F.transform("_s", lambda x, i: i), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    runs = sorted_.select(*keep, "_s", starts.alias("_b"), F.size("_s").alias("_n"))
+    counted = F.transform("_b", lambda b, j: F.struct(F.get("_s", b).alias("term"), (F.coalesce(F.get("_b", j + 1), F.col("_n")) - b).alias("tf")))
+    return runs.select(*keep, counted.alias(out))
+
+
+def term_candidates(counts: DataFrame, id_col: str, df: DataFrame, n_docs: int, k: int) -> DataFrame:
+    """(id, term, tf): of ``counts`` (id, _e), a row per document, all terms that may be among its ``k`` heaviest.
+
+    The terms of most documents, a bounded number, are known in every task, so a document's weights for them are computed
+    where its row lies; of equal weights the ``k`` first terms stay, and those below the k-th weight go.  A rarer term
+    goes only when it would weigh less than the k-th even in one document.  No row is sorted or moved for it."""
+    import math
+
+    spark = counts.sparkSession
+    known = df.orderBy(F.col("df").desc(), "term").limit(BROADCAST_MAX_ROWS).toPandas()
+    # Without a counted document every weight is null, and only the terms order them.
+    idf = [math.log(n_docs / d) if n_docs else 0.0 for d in known["df"]]
+    shared = spark.sparkContext.broadcast((known["term"].tolist(), idf, math.log(n_docs) if n_docs else math.inf))
+    slack = 1e-6        # more than weights differ by that are equal when rounded
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        terms, idf, highest = shared.value
+        vocabulary, idf = pa.array(terms, pa.string()), np.array(idf + [0.0])
+        for batch in batches:
+            row = pc.list_parent_indices(batch.column(1)).to_numpy(zero_copy_only=False)
+            flat = pc.list_flatten(batch.column(1))
+            tf = flat.field("tf").to_numpy(zero_copy_only=False)
+            at = pc.fill_null(pc.index_in(flat.field("term").cast(pa.string()), value_set=vocabulary), -1).to_numpy(zero_copy_only=False)
+            weight = tf * idf[at]
+            order = np.flatnonzero(at >= 0)
+            order = order[np.lexsort((order, -weight[order], row[order]))]
+            r, w, place = row[order], weight[order], np.arange(len(order))
+            new = np.append(True, r[1:] != r[:-1])[:len(order)]
+            first = lambda starts: np.maximum.accumulate(np.where(starts, place, 0))
+            least = np.full(batch.num_rows, -np.inf)
+            kth = place - first(new) == k - 1
+            least[r[kth]] = w[kth] - slack
+            equal = place - first(new | np.append(True, w[1:] != w[:-1])[:len(order)])
+            rare = np.flatnonzero(at < 0)
+            rare = rare[tf[rare] * highest >= least[row[rare]]]
+            kept = np.concatenate([order[(w >= least[r]) & (equal < k)], rare])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[kept])), flat.field("term").take(pa.array(kept)),
+                                              pa.array(tf[kept].astype(np.int64))], names=[id_col, "term", "tf"])
+
+    kind = counts.schema[id_col].dataType.simpleString()
+    return counts.select(id_col, "_e").mapInArrow(run, f"`{id_col}` {kind}, term string, tf bigint")
+
+
+def heaviest_terms(docs: DataFrame, id_col: str, terms: Column, k: int = 20) -> DataFrame:
+    """(id, term, tf, df, weight, rank): the ``k`` heaviest terms of every document by tf * ln(N / df).
+
+    Terms are counted inside their row and the counts written once.  Document frequencies are one partial aggregation by
+    term; a document of one row is pruned in its task (see ``term_candidates``), and only what may count is joined to the
+    frequencies and ranked.  Documents of several rows (and rows without an id, one document) are summed by id and term
+    first and pruned by nothing."""
+    return heaviest_counted(written(row_counts(spread(docs), [id_col], terms), "counts"), id_col, k)
+
+
+def heaviest_counted(counts: DataFrame, id_col: str, k: int = 20, df: DataFrame | None = None) -> DataFrame:
+    """``heaviest_terms`` of stored counts (id, _e), ``_e`` a row's sorted (term, tf); ``df`` are the frequencies if known."""
+    several = written(counts.groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(F.col(id_col).alias("_id")), "several")
+    single, tf = counts, None
+    if several.count():
+        same = F.col(id_col).eqNullSafe(F.col("_id"))
+        single = counts.join(several, same, "left_anti")
+        rows = counts.join(several, same, "left_semi").select(id_col, F.inline("_e").alias("term", "tf"))
+        tf = rows.groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
+    if df is None:
+        posted = single.select(F.inline("_e").alias("term", "tf")).select("term")
+        df = (posted if tf is None else posted.unionAll(tf.select("term"))).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = written(df, "frequencies")
+    n_docs = counts.where(F.size("_e") > 0).agg(F.countDistinct(id_col)).first()[0]
+    candidates = term_candidates(single, id_col, df, n_docs, k)
+    if tf is not None:
+        candidates = candidates.unionByName(tf)
+    weights = candidates.join(df, "term").withColumn("weight", F.col("tf") * F.log(F.lit(float(n_docs)) / F.col("df")))
+    return top_terms(weights, id_col, k)
+
+
 def keyword_topk(docs: DataFrame, id_col: str, text_col: str, k: int = 20, lower: bool = True,
                  one_row_per_doc: bool = True) -> DataFrame:
-    """Top-k keywords per document: ``(id, rank, term, weight)``."""
-    tw = term_weights(docs, id_col, F.col(text_col), lower=lower, one_row_per_doc=one_row_per_doc)
-    return top_terms(tw, id_col, k).select(id_col, "rank", "term", F.round("weight", 6).alias("weight"))
+    """Top-k keywords per document: ``(id, rank, term, weight)``.  Rows of one id are one document, whatever
+    ``one_row_per_doc`` says."""
+    return heaviest_terms(docs, id_col, tokens(text_col, lower), k).select(id_col, "rank", "term", F.round("weight", 6).alias("weight"))
 
 
 # ------------------------------------------------------------------------------------------------------- keyword match
@@ -110,9 +198,7 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     tok = tokenizer or tokens
     tset = lambda c: F.array_distinct(tok(c))
     is_first = F.col("order_index") == 0
-    # One partitioning of the blocks by file (when file sizes are bounded) feeds names, titles and body terms, so the
-    # block text is read once and the per-file steps below need no further exchange.
-    blocks, by_file = partition_by_doc(blocks, "filename")
+    # Names, titles and body terms each read their own columns; no block text is shuffled.
     names = blocks.select("filename").distinct()
     # Titles: only order-0 blocks, first line projected before the (sort-based) max_by.
     titles = (blocks.where(is_first).select("filename", "ingest_seq", first_line("content").alias("_t"))
@@ -122,9 +208,8 @@ def keyword_retrieve(blocks: DataFrame, queries: DataFrame, threshold: float = 0
     title_terms = titles.select("filename", F.lit("title").alias("part"),
                                 F.explode(tset(F.col("title"))).alias("term"))
     body = blocks.select("filename", F.when(is_first, rest_lines("content")).otherwise(F.col("content")).alias("body"))
-    weights = term_weights(body, "filename", F.col("body"), lower=False,
-                           tokenizer=body_tokenizer or tokenizer, partitioned=by_file)
-    body_terms = top_terms(weights, "filename", top_k_terms).select("filename", F.lit("body").alias("part"), "term")
+    body_terms = (heaviest_terms(body, "filename", (body_tokenizer or tok)(F.col("body")), top_k_terms)
+                  .select("filename", F.lit("body").alias("part"), "term"))
     parts = name_terms.unionByName(title_terms).unionByName(body_terms)
 
     return score_parts(parts, queries, threshold, query_id, query_text, tset, broadcast_max_rows)

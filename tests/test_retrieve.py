@@ -246,3 +246,32 @@ def test_hit_texts_joined_for_threshold_hits(spark):
     hits = spark.createDataFrame([("q", 1, 0.5), ("q", 2, 0.9), ("q", 3, 0.5)], "query_id string, doc_id long, score double")
     texts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, text string")
     assert [r.text for r in hit_texts(hits, texts, joined=True).collect()] == ["b\na\nc"]
+
+
+def test_pruned_top_terms_equal_the_plain_ranking(spark, monkeypatch):
+    """Known and rare terms, ties, a document of two rows, rows without an id or a text: the same terms and weights."""
+    import random
+
+    from tessera.operators import retrieve
+
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"t{int(rng.paretovariate(0.6)) % 60:02d}" for _ in range(n))
+    rows = [(i, text(rng.randrange(0, 40))) for i in range(60)] + [(7, text(9)), (None, text(5)), (None, text(6)), (99, None), (98, "?!")]
+    docs = spark.createDataFrame(rows, "id long, t string")
+    want = retrieve.top_terms(retrieve.term_weights(docs, "id", F.col("t")), "id", 4).select("id", "rank", "term", F.round("weight", 6).alias("w"))
+    want = sorted(map(str, want.collect()))
+    for known in (0, 1, 12, 1000):
+        monkeypatch.setattr(retrieve, "BROADCAST_MAX_ROWS", known)
+        got = retrieve.heaviest_terms(docs, "id", retrieve.tokens(F.col("t"), True), 4).select("id", "rank", "term", F.round("weight", 6).alias("w"))
+        assert sorted(map(str, got.collect())) == want
+    lone = spark.createDataFrame([(None, "b a c a")], "id long, t string")
+    assert [(r.rank, r.term) for r in retrieve.keyword_topk(lone, "id", "t", k=2).collect()] == [(1, "a"), (2, "b")]
+
+
+def test_only_terms_that_may_count_leave_a_document(spark):
+    from tessera.operators.retrieve import row_counts, term_candidates, tokens
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i, i + 50))) for i in range(50)], "id long, t string")
+    counts = row_counts(docs, ["id"], tokens(F.col("t")))
+    df = counts.select(F.inline("_e").alias("term", "tf")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    assert term_candidates(counts, "id", df, 50, 3).count() <= 50 * 6
