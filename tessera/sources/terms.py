@@ -15,20 +15,17 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_line, rest_lines, tokens
 from ..operators.common import spread
-from ..operators.retrieve import score_parts, top_terms
-from ..session import scratch_path, written
+from ..operators.retrieve import heaviest_counted, row_counts as counted_rows, score_parts, top_terms
+from ..session import scratch_path
 
 PARTS = ("name", "title", "body")
+# Postings of a bucket, on average: few enough to be summed and sorted in a task's memory.
+BUCKET_ROWS = 1_000_000
 
 
 def row_counts(rows: DataFrame, keep: list[str], terms: Column) -> DataFrame:
-    """(*keep, term, tf) of every row's terms, counted inside the row: runs of its sorted terms."""
-    sorted_ = rows.select(*keep, F.array_sort(terms).alias("_s"))
-    # Every element before which a run starts; the next start (or the end) gives the run's length.
-    starts = F.filter(F.transform("_s", lambda x, i: i), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
-    runs = sorted_.select(*keep, "_s", starts.alias("_b"), F.size("_s").alias("_n"))
-    counted = F.transform("_b", lambda b, j: F.struct(F.get("_s", b).alias("term"), (F.coalesce(F.get("_b", j + 1), F.col("_n")) - b).alias("tf")))
-    return runs.select(*keep, F.explode(counted).alias("_e")).select(*keep, "_e.term", "_e.tf")
+    """(*keep, term, tf) of every row's terms, counted inside the row."""
+    return counted_rows(rows, keep, terms).select(*keep, F.inline("_e").alias("term", "tf"))
 
 
 def write_postings(blocks: DataFrame, buckets: int | None = None, tokenizer: Callable[[Column], Column] = tokens,
@@ -38,9 +35,12 @@ def write_postings(blocks: DataFrame, buckets: int | None = None, tokenizer: Cal
 
     A file's name terms, the terms of its title (first line of its order-0 block; the last ingest's) and those of its
     body (everything else, all blocks) are posted as parts name, title and body.  Blank and null contents post no
-    title or body; null file names are left out.  ``tf`` is the term's count in the part (1 for name terms)."""
+    title or body; null file names are left out.  ``tf`` is the term's count in the part (1 for name terms).
+
+    The counts of every block's parts stand beside the postings as table ``<name>_files``, whose rows (filename, part,
+    seq, _e) serve what is asked by file.  Without ``buckets`` their number grows with the postings."""
     spark = blocks.sparkSession
-    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    name = f"postings_{uuid.uuid4().hex[:12]}"
     first = F.col("order_index") == 0
     content = F.coalesce("content", F.lit(""))
     part = lambda name, seq, text: F.struct(F.lit(name).alias("part"), seq.cast("long").alias("seq"), text.alias("text"))
@@ -48,16 +48,17 @@ def write_postings(blocks: DataFrame, buckets: int | None = None, tokenizer: Cal
             part("body", F.lit(0), F.when(first, rest_lines("content")).otherwise(content))]
     rows = (spread(blocks).where("filename is not null")
             .select("filename", F.explode(F.filter(F.array(*text), lambda x: x["seq"].isNotNull())).alias("_p")).select("filename", "_p.*"))
-    # An empty term marks every title, so that a last title without terms still replaces an earlier one.
     terms = F.coalesce(tokenizer(F.col("text")), F.array().cast("array<string>"))
-    counts = written(row_counts(rows, ["filename", "part", "seq"], F.when(F.col("part") == "title", F.array_append(terms, "")).otherwise(terms)), "counts")
-    last = counts.where("part = 'title' and term = ''").groupBy("filename").agg(F.max("seq").alias("_last"))
-    titles = counts.where("part = 'title' and term <> ''").join(last, "filename").where("seq = _last").select(*counts.columns)
-    posted = counts.where("part <> 'title'").unionAll(titles).select("term", "filename", "part", "tf")
+    counted_rows(rows, ["filename", "part", "seq"], terms).write.option("path", scratch_path(spark, "counts")).saveAsTable(f"{name}_files")
+    counts = spark.table(f"{name}_files")
+    # Every title has a row, so that a last title without terms still replaces an earlier one.
+    last = counts.where("part = 'title'").groupBy(F.col("filename").alias("_file")).agg(F.max("seq").alias("_last"))
+    titles = counts.where("part = 'title'").join(last, (F.col("filename") == F.col("_file")) & (F.col("seq") == F.col("_last")), "left_semi")
+    posted = counts.where("part <> 'title'").unionAll(titles).select("filename", "part", F.inline("_e").alias("term", "tf"))
+    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), (counts.select(F.sum(F.size("_e"))).first()[0] or 0) // BUCKET_ROWS, 1)
     # Dealt by term once: the sum over a file's blocks and the buckets use the same exchange.
     posted = posted.repartition(n, "term").groupBy("term", "filename", "part").agg(F.sum("tf").alias("_tf"))
     posted = posted.select("term", "filename", "part", F.when(F.col("part") == "name", F.lit(1).cast("long")).otherwise(F.col("_tf")).alias("tf"))
-    name = f"postings_{uuid.uuid4().hex[:12]}"
     posted.write.bucketBy(n, "term").sortBy("term").option("path", path or scratch_path(spark, "postings")).saveAsTable(name)
     return name
 
@@ -72,9 +73,18 @@ def posted_weights(spark: SparkSession, name: str, part: str = "body") -> DataFr
     return rows.join(df.hint("merge"), "term").withColumn("weight", F.col("tf") * F.log(files.cast("double") / F.col("df")))
 
 
+def heaviest_body(spark: SparkSession, name: str, k: int) -> DataFrame:
+    """(filename, term, weight, rank): the ``k`` heaviest body terms of every file, from the counts stored by file and the
+    frequencies in the buckets; no posting is shuffled by file (see ``retrieve.term_candidates``)."""
+    counts = spark.table(f"{name}_files").where("part = 'body'").select("filename", "_e")
+    df = spark.table(name).where("part = 'body'").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return heaviest_counted(counts, "filename", k, df)
+
+
 def index_topk(spark: SparkSession, name: str, k: int = 20, part: str = "body") -> DataFrame:
     """(filename, rank, term, weight): the ``k`` heaviest terms of every file."""
-    return top_terms(posted_weights(spark, name, part), "filename", k).select("filename", "rank", "term", F.round("weight", 6).alias("weight"))
+    top = heaviest_body(spark, name, k) if part == "body" else top_terms(posted_weights(spark, name, part), "filename", k)
+    return top.select("filename", "rank", "term", F.round("weight", 6).alias("weight"))
 
 
 def index_retrieve(spark: SparkSession, name: str, queries: DataFrame, threshold: float = 0.5, query_id: str = "query_id",
@@ -83,5 +93,5 @@ def index_retrieve(spark: SparkSession, name: str, queries: DataFrame, threshold
     if threshold < 0:
         raise ValueError("threshold must be >= 0 (a negative threshold would select every file)")
     short = spark.table(name).where(F.col("part") != "body").select("filename", "part", "term")
-    body = top_terms(posted_weights(spark, name), "filename", top_k_terms).select("filename", F.lit("body").alias("part"), "term")
+    body = heaviest_body(spark, name, top_k_terms).select("filename", F.lit("body").alias("part"), "term")
     return score_parts(short.unionByName(body), queries, threshold, query_id, query_text, lambda c: F.array_distinct(tokenizer(c)))

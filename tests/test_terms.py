@@ -51,3 +51,17 @@ def test_postings_are_read_without_an_exchange(spark):
     plan = rows.join(rows.groupBy("term").count().hint("merge"), "term")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
     assert index_topk(spark, name, 1).where("filename = '/a/x one.txt'").count() == 1
+
+
+def test_buckets_grow_with_the_postings_and_files_keep_their_counts(spark, monkeypatch):
+    from tessera.sources import terms
+
+    blocks = spark.createDataFrame([(f"/f{i}", 0, 0, "title\n" + " ".join(f"w{j}" for j in range(i, i + 20))) for i in range(20)],
+                                   "filename string, order_index int, ingest_seq long, content string")
+    want = sorted(map(tuple, index_topk(spark, write_postings(blocks), 3).collect()))
+    monkeypatch.setattr(terms, "BUCKET_ROWS", 20)
+    name = write_postings(blocks)
+    buckets = [r.data_type for r in spark.sql(f"describe extended {name}").collect() if r.col_name == "Num Buckets"]
+    assert int(buckets[0]) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, index_topk(spark, name, 3).collect())) == want and len(want) == 60
+    assert spark.table(f"{name}_files").where("part = 'body'").count() == 20
