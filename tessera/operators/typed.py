@@ -114,9 +114,13 @@ def typed_report(fields: DataFrame, analysis: DataFrame, series: DataFrame, step
                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col_no", "_text"))), lambda x: x["_text"]), "").alias("_series")))
     step = _object(*[_pair(c, json_string(c)) for c in ("id", "label", "value")])
     of_steps = steps.groupBy("report").agg(F.collect_list(F.struct("step_no", step.alias("text"))).alias("_steps"))
-    doc = (fields.select("report").unionByName(analysis.select("report")).unionByName(series.select("report")).unionByName(steps.select("report")).distinct())
-    for side in (of_fields, of_analysis, of_series, of_steps, summary.select("report", F.col("content").alias("_content"))):
-        doc = doc.join(side, "report", "left")
+    # Every source has one row for each of its reports by now: reports are the keys of one more grouping, and no source is
+    # computed again for its names alone.  A null report matches nothing.
+    sides = of_fields
+    for side in (of_analysis, of_series, of_steps):
+        sides = sides.unionByName(side, allowMissingColumns=True)
+    doc = sides.groupBy("report").agg(*[F.first(F.when(F.col("report").isNotNull(), F.col(c)), ignorenulls=True).alias(c) for c in sides.columns if c != "report"])
+    doc = doc.join(summary.select("report", F.col("content").alias("_content")), "report", "left")
     nothing = F.array().cast("array<struct<no:int,text:string>>")
     titled = lambda title, name, rows: _object(_pair("section", json_string(F.lit(title))), _pair(name, rows))
     listed = lambda c: F.coalesce(_listed(F.col(c)), _listed(nothing))

@@ -77,3 +77,25 @@ def test_whole_document(spark):
     assert doc["col_2"] == {"unit": "%", "name": "y", "data": [{"name": "a", "value": 50.0}, {"name": "b", "value": 7}]}
     assert [s["value"] for s in doc["conclusionSummary"]["rectificationFlow"]["steps"]] == ["a", "b"]
     assert doc["assessmentChart"]["metrics"] == [] and got[9]["orgOverview"]["fields"] == [] and "col_1" not in got[9]
+
+
+def test_every_source_of_a_report_is_computed_once(spark, tmp_path, capsys):
+    from tessera.operators.typed import typed_report
+
+    def stored(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    fields = stored("fields_", [(1, 1, "s", 1, "a", "1", "1"), (None, 1, "s", 1, "a", "9", "9")],
+                    "report long, sec_no long, section string, field_no int, label string, value string, json string")
+    analysis = stored("analysis_", [(2, "p", 1, "c", ["d"])], "report long, main_problem string, cat_no int, category string, details array<string>")
+    series = stored("series_", [(3, 1, "f", "%", 1, "e", "5")], "report long, col_no int, field string, unit string, pos long, name string, json string")
+    steps = stored("steps_", [(None, 1, "i", "l", "v")], "report long, step_no int, id string, label string, value string")
+    summary = stored("summary_", [(1, "sum")], "report long, content string")
+    doc = typed_report(fields, analysis, series, steps, summary, {"x": "s"}, ("o", "t"), {"m": "u"})
+    doc.explain("formatted")
+    plan = capsys.readouterr().out
+    assert all(plan.count(f"/{n}_]") == 1 for n in ("fields", "analysis", "series", "steps"))
+    got = {r.report: json.loads(r.document) for r in doc.collect()}
+    assert set(got) == {1, 2, 3, None} and got[None]["x"]["fields"] == []
+    assert got[1]["x"]["fields"] == [{"label": "a", "value": 1}] and got[3]["col_1"]["data"] == [{"name": "e", "value": 5}]
