@@ -1,45 +1,48 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries inside Spark tasks.
 
-Each task reads its partition in Arrow batches and keeps the distinct pattern matches ("words") it has met.  New
-words go to an in-memory DuckDB as rows (word, position, token), one row per byte; a recursive query joins
-neighbouring tokens with the merge table and contracts every word's leftmost pair of minimum rank until no word has a
-pair left (its rows are then done).  Ordered aggregations give each word's ids and, through the vocabulary table, its decoded bytes.  The
-word cache is emptied when it reaches ``cache_words``, so memory is bounded whatever the partition holds.
+Each task reads its partition in Arrow batches and looks up the distinct chunks of a block of texts.  Pattern matches
+("words") not met before go to an in-memory DuckDB as rows (word, tokens, ranks of neighbouring tokens); a recursive
+query contracts every word's leftmost pair of minimum rank, and joins the new token and its two neighbours with the
+merge table, until no word has a pair left.  An ordered aggregation over the vocabulary table gives each word's decoded
+bytes.  A worker remembers at most about ``cache_words`` words, those met lately first, so memory is bounded whatever
+the partition holds.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import chunks
+from .words import splits
 
-# One query's words; bounds the rows a recursion holds (about 100 per word over all rounds).
+# One query's words; bounds the rows a recursion holds (about one a token of each word, over all rounds).
 QUERY_WORDS = 40_000
+# Characters of texts that are looked up together.
+BLOCK_CHARS = 4_000_000
 # Longer words would need one round per byte: their pairs are contracted with a heap, in the same order.
 LONG_WORD = 400
 
-ENCODE_SQL = """
+# In place of a rank: the pair is in no merge.
+NO_MERGE = 1 << 40
+
+ENCODE_SQL = f"""
 WITH RECURSIVE state AS (
-    SELECT w, pos, tok, after, before, false AS done FROM bytes_in
+    SELECT w, toks, ranks, list_min(ranks) AS low FROM words_in
     UNION ALL
-    SELECT w, pos, tok, lead(tok) OVER word AS after, lag(pos) OVER word AS before, done
-    FROM (SELECT s.w, s.pos, CASE WHEN s.pos = best.spot THEN best.low ELSE s.tok END AS tok, best.w IS NULL AS done
-          FROM (SELECT * FROM state WHERE NOT done) s
-          LEFT JOIN (SELECT c.w, min(m.rank * 1048576 + c.pos) % 1048576 AS spot, min(m.rank * 1048576 + c.pos) // 1048576 AS low
-                     FROM state c JOIN merges m ON m.pair = c.tok * 4294967296 + c.after WHERE NOT c.done
-                     GROUP BY c.w) best ON best.w = s.w
-          WHERE best.w IS NULL OR s.before IS NULL OR s.before <> best.spot)
-    WINDOW word AS (PARTITION BY w ORDER BY pos))
-SELECT w, list(tok ORDER BY pos) AS ids, string_agg(hex(v.bytes), '' ORDER BY pos) AS decoded
-FROM state s JOIN vocabulary v ON v.id = s.tok WHERE done GROUP BY w ORDER BY w
+    SELECT w, toks, ranks, list_min(ranks) AS low
+    FROM (SELECT s.w, s.toks[:p - 1] || [s.low] || s.toks[p + 2:] AS toks,
+                 s.ranks[:greatest(p - 2, 0)] || CASE WHEN p > 1 THEN [coalesce(l.rank, {NO_MERGE})] ELSE [] END
+                 || CASE WHEN p + 2 <= len(s.toks) THEN [coalesce(r.rank, {NO_MERGE})] ELSE [] END || s.ranks[p + 2:] AS ranks
+          FROM (SELECT *, list_position(ranks, low) AS p FROM state WHERE low < {NO_MERGE}) s
+          LEFT JOIN merges l ON l.pair = CASE WHEN p > 1 THEN s.toks[p - 1] * 4294967296 + s.low END
+          LEFT JOIN merges r ON r.pair = s.low * 4294967296 + s.toks[p + 2]))
+SELECT w, toks AS ids FROM state WHERE low IS NULL OR low = {NO_MERGE} ORDER BY w
 """
 
 DECODE_SQL = """
-SELECT r, string_agg(hex(v.bytes), '' ORDER BY pos) AS decoded, count(*) - count(v.id) AS unknown
+SELECT r, list(v.bytes ORDER BY pos) AS decoded, count(*) - count(v.id) AS unknown
 FROM (SELECT r, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM ids_in) t LEFT JOIN vocabulary v USING (id)
 GROUP BY r ORDER BY r
 """
@@ -58,6 +61,7 @@ class _Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.match, self.limit = regex.compile(pattern).findall, cache_words
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.pair_ranks = np.array([[self.ranks.get(bytes([i, j]), NO_MERGE) for j in range(256)] for i in range(256)], dtype=np.int64)
         pairs, low = [], []
         for tok, rank in self.ranks.items():
             for k in range(1, len(tok)):
@@ -74,8 +78,10 @@ class _Codec:
                                                     "bytes": pa.array(self.ranks.keys(), pa.binary())}))
         for name in ("merges", "vocabulary"):
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_in")
+        # Of chunks and of pattern matches: those met since the last ageing, and before it.
         self.words: dict[str, tuple[bytes, bytes]] = {}
         self.pieces: dict[str, tuple[bytes, bytes]] = {}
+        self.old_words, self.old_pieces = self.words, self.pieces
 
     def _long(self, word: bytes) -> list[int]:
         import heapq
@@ -107,7 +113,9 @@ class _Codec:
 
         short: list[str] = []
         for w in words:
-            if len(raw := w.encode()) > LONG_WORD:
+            if (rank := self.ranks.get(raw := w.encode())) is not None:       # a word in the vocabulary is one token
+                self.pieces[w] = np.array([rank], dtype=np.int32).tobytes(), raw
+            elif len(raw) > LONG_WORD:
                 ids = self._long(raw)
                 self.pieces[w] = np.array(ids, dtype=np.int32).tobytes(), self.decode([ids])[0]
             else:
@@ -115,51 +123,113 @@ class _Codec:
         for at in range(0, len(short), QUERY_WORDS):
             part = short[at:at + QUERY_WORDS]
             raw = [w.encode() for w in part]
-            size = np.array([len(x) for x in raw])
-            tok = self.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-            pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            last = pos + 1 == np.repeat(size, size)
-            self.db.register("bytes_in", pa.table({
-                "w": np.repeat(np.arange(len(part)), size), "pos": pos, "tok": tok,
-                "after": pa.array(np.append(tok[1:], 0), mask=last), "before": pa.array(pos - 1, mask=pos == 0)}))
-            got = self.db.sql(ENCODE_SQL).to_arrow_table()
-            flat = got["ids"].combine_chunks()
+            end = np.cumsum([len(x) for x in raw], dtype=np.int32)
+            flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
+            pairs = np.delete(self.pair_ranks[flat[:-1], flat[1:]], end[:-1] - 1)     # without those across two words
+            cut = np.concatenate(([0], end)).astype(np.int32)
+            self.db.register("words_in", pa.table({
+                "w": np.arange(len(part)), "toks": pa.ListArray.from_arrays(cut, self.byte_ids[flat]),
+                "ranks": pa.ListArray.from_arrays(cut - np.arange(len(cut), dtype=np.int32), pairs)}))
+            flat = self.db.sql(ENCODE_SQL).to_arrow_table()["ids"].combine_chunks()
             ids = flat.values.to_numpy().astype(np.int32)
             cut = flat.offsets.to_numpy()
-            for i, (w, text) in enumerate(zip(part, got["decoded"].to_pylist(), strict=True)):
-                self.pieces[w] = ids[cut[i]:cut[i + 1]].tobytes(), bytes.fromhex(text)
+            for i, (w, text) in enumerate(zip(part, self.decode(flat), strict=True)):
+                self.pieces[w] = ids[cut[i]:cut[i + 1]].tobytes(), text
 
-    def decode(self, rows: list[list[int]]) -> list[bytes]:
+    def decode(self, rows) -> list[bytes]:
+        """The bytes of each list of ids (lists or an Arrow array of them)."""
+        import numpy as np
         import pyarrow as pa
 
         self.db.register("ids_in", pa.table({"r": pa.array(range(len(rows)), pa.int64()),
-                                             "ids": pa.array(rows, pa.list_(pa.int64()))}))
+                                             "ids": rows if isinstance(rows, pa.Array) else pa.array(rows, pa.list_(pa.int64()))}))
         out = [b""] * len(rows)
-        for r, text, unknown in self.db.sql(DECODE_SQL).fetchall():
-            if unknown:
+        for found in self.db.sql(DECODE_SQL).to_arrow_table().to_batches():
+            if any(found["unknown"].to_pylist()):
                 raise ValueError("an id is not in the vocabulary")
-            out[r] = bytes.fromhex(text)
+            # The bytes of a row's tokens stand together.
+            tokens = found["decoded"].flatten().cast(pa.large_binary())
+            ends = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset:][:len(tokens) + 1]
+            cut = ends[np.concatenate(([0], np.cumsum(found["decoded"].value_lengths().to_numpy())))].tolist()
+            data = tokens.buffers()[2].to_pybytes()
+            for r, start, end in zip(found["r"].to_pylist(), cut, cut[1:], strict=False):
+                out[r] = data[start:end]
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """Each text's ids as int32 bytes, and the decoded bytes."""
-        for at in range(0, len(texts), 200):
-            yield from self._encode(texts[at:at + 200])
-
-    def _encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        if len(self.pieces) > self.limit or len(self.words) > self.limit:
-            self.pieces, self.words = {}, {}
-        cut = [(True, c) if (c := chunks(t)) is not None else (False, self.match(t)) for t in texts]
-        new = {c: self.match(c) for split, cs in cut if split for c in cs if c not in self.words}
-        wanted = {p for ps in new.values() for p in ps} | {p for split, ps in cut if not split for p in ps}
-        self.learn(sorted(p for p in wanted if p not in self.pieces))
+    def encode(self, texts: list[str]):
+        """Arrow arrays of each text's ids as int32 bytes, and of the decoded bytes."""
+        import pyarrow as pa
+
+        ids, decoded, at = [], [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK_CHARS):
+                size += len(texts[end])
+                end += 1
+            for out, found in zip((ids, decoded), self._encode(texts[at:end]), strict=True):
+                out.append(found)
+            at = end
+        return pa.concat_arrays(ids), pa.concat_arrays(decoded)
+
+    def _age(self) -> None:
+        """Half the limit is for what was met lately: entries not met again while it fills are forgotten."""
+        if len(self.words) > self.limit // 2 or len(self.pieces) > self.limit // 2:
+            self.old_words, self.old_pieces = self.words, self.pieces
+            self.words, self.pieces = {}, {}
+
+    @staticmethod
+    def _unknown(met: set[str], recent: dict, old: dict) -> list[str]:
+        """What of ``met`` is not remembered; older entries become recent ones."""
+        out = []
+        for x in met.difference(recent):
+            if (entry := old.get(x)) is None:
+                out.append(x)
+            else:
+                recent[x] = entry
+        return out
+
+    def _encode(self, texts: list[str]):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        self._age()
+        split = np.array([splits(t) for t in texts])
+        # Parts of the texts that are cut at their spaces (without the space that opens all but the first) and of the others.
+        cut = pc.split_pattern(pa.array([t for t, s in zip(texts, split, strict=True) if s], pa.string()), " ")
+        other = [self.match(t) for t, s in zip(texts, split, strict=True) if not s]
+        spaced, head = cut.flatten().dictionary_encode(), np.zeros(len(cut.flatten()), dtype=bool)
+        head[cut.offsets.to_numpy()[:-1]] = True
+        code = spaced.indices.to_numpy().astype(np.int64)
+        code[head] += len(spaced.dictionary)
+        used = np.unique(code)
+        names, n = spaced.dictionary.to_pylist(), len(spaced.dictionary)
+        parts = [" " + names[c] if c < n else names[c - n] for c in used.tolist()]
+        whole = pa.array([p for ps in other for p in ps], pa.string()).dictionary_encode()
+        pieces = whole.dictionary.to_pylist()
+        # ASCII letters after at most one space are one match.
+        new = {c: [c] if c.isascii() and (c.isalpha() or c[:1] == " " and c[1:].isalpha()) else self.match(c)
+               for c in self._unknown(set(parts), self.words, self.old_words)}
+        self.learn(sorted(self._unknown(set().union(pieces, *new.values()), self.pieces, self.old_pieces)))
         for c, ps in new.items():
             # A chunk of one word shares the word's entry.
             self.words[c] = self.pieces[ps[0]] if len(ps) == 1 else (
-                b"".join(self.pieces[p][0] for p in ps), b"".join(self.pieces[p][1] for p in ps))
-        for split, parts in cut:
-            found = [(self.words if split else self.pieces)[p] for p in parts]
-            yield b"".join(x for x, _ in found), b"".join(x for _, x in found)
+                b"".join([self.pieces[p][0] for p in ps]), b"".join([self.pieces[p][1] for p in ps]))
+        known = [*map(self.words.__getitem__, parts), *map(self.pieces.__getitem__, pieces)]
+        order = np.concatenate((np.searchsorted(used, code), whole.indices.to_numpy() + len(parts)))
+        counts = np.empty(len(texts), dtype=np.int64)
+        counts[split], counts[~split] = np.diff(cut.offsets.to_numpy()), [len(ps) for ps in other]
+        # Texts of both kinds back in their order.
+        kind = np.argsort(~split, kind="stable")
+        begin = np.empty(len(texts), dtype=np.int64)
+        begin[kind] = np.cumsum(counts[kind]) - counts[kind]
+        ends = np.cumsum(counts)
+        at = pa.array(order[np.repeat(begin - ends + counts, counts) + np.arange(ends[-1])])
+        ends = np.concatenate(([0], ends))
+        for side in range(2):
+            joined = pa.array([x[side] for x in known], pa.large_binary()).take(at)
+            offsets = np.frombuffer(joined.buffers()[1], np.int64)[:len(joined) + 1][ends] if len(joined) else np.zeros(len(ends), np.int64)
+            yield pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), joined.buffers()[2]])
 
 
 def _kept_codec(ranks_path: str, pattern: str, cache_words: int) -> _Codec:
@@ -192,13 +262,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             texts = [t or "" for t in batch.column(1).to_pylist()]
             # Rows of a part share one output batch of bounded size.
             for at in range(0, len(texts), 1000):
-                ids, decoded = zip(*codec.encode(texts[at:at + 1000]), strict=True)
-                offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-                np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
-                flat = np.frombuffer(b"".join(ids), dtype=np.int32)
+                ids, decoded = codec.encode(texts[at:at + 1000])
+                ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1]
+                flat = np.frombuffer(ids.buffers()[2] or b"", dtype=np.int32)[ends[0] // 4:ends[-1] // 4]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(ids)), pa.ListArray.from_arrays(offsets, flat),
-                     pa.array(decoded, pa.binary())], names=[id_col, "ids", "decoded"])
+                    [batch.column(0).slice(at, len(ids)), pa.ListArray.from_arrays(((ends - ends[0]) // 4).astype(np.int32), flat),
+                     decoded.cast(pa.binary())], names=[id_col, "ids", "decoded"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded binary")

@@ -12,9 +12,14 @@ import re
 _UNSAFE = re.compile(r"\s | \s")
 
 
+def splits(text: str) -> bool:
+    """Whether no space of ``text`` touches other white space or an end of the text."""
+    return not (text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text))
+
+
 def chunks(text: str) -> list[str] | None:
     """``text`` cut before every space, or None where a space touches other white space or an end of the text."""
-    if text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text):
+    if not splits(text):
         return None
     head, *rest = text.split(" ")
     return [head, *(" " + x for x in rest)]
