@@ -9,7 +9,9 @@ documents share rarely become join keys; the sample changes the cost only, never
 
 A candidate pair whose whole bit sketches (one bit per hash bucket, flipped by each element) differ in more bits than
 linked sets can differ in elements is dropped; the others are verified exactly.  A part value held by many sets does not emit all its pairs: members are compared
-with the smallest one, and only those that fail are compared with the other members.
+with the smallest one, and only those that fail are compared with the other members, in cells.  A cell returns no more
+pairs than it takes to connect the components it holds; where one of them turns out not to be linked, the cell is
+compared again without it.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ SALTS = 3               # sketches of a set with few filled parts, before its em
 SAMPLE_SETS = 30_000    # documents (about) from which frequent part values are learned
 FREQUENT = 6            # a part value is frequent if so many sampled sets hold it
 SMALL_BUCKET = 8        # members up to which a part value emits all its pairs
+MORE_FORESTS = 8        # growth of the spanning forests a cell returns from one round to the next
 
 _M1, _M2, _MULT = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
 
@@ -250,13 +253,21 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     held = buckets.where("bucket is not null").select("bucket", F.col("b").alias("x"), F.col("a").alias("low"))
     first, body = _settled(texts, maybe, words, percent)
     far = pairs.where("not ok").select("a", "b").unionAll(first.where("not ok").select("a", "b"))
-    failed = held.join(far.select(F.col("a").alias("low"), F.col("b").alias("x")), ["low", "x"]).select("bucket", "x")
-    more = _inside(failed, held.select("bucket", "x"), bits, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    links = first.where("ok").select("a", "b")
-    more = saved(_between(more, links))
-    if more.isEmpty():
-        return sets, links
-    return sets, links.unionAll(_settled(texts, more, words, percent)[0].where("ok").select("a", "b"))
+    failed = saved(held.join(far.select(F.col("a").alias("low"), F.col("b").alias("x")), ["low", "x"]).select("bucket", "x").distinct())
+    held, links, forests = held.select("bucket", "x"), first.where("ok").select("a", "b"), 1
+    while True:
+        more = saved(_inside(failed, held, bits, connected_components(links), far, percent, forests))
+        if more.isEmpty():
+            return sets, links
+        settled = _settled(texts, more.select("a", "b").distinct(), words, percent)[0]
+        links = links.unionAll(settled.where("ok").select("a", "b"))
+        wrong = settled.where("not ok").select("a", "b")
+        # A cell whose pairs were all linked, or connected through others, has nothing left to connect.
+        again = more.join(wrong, ["a", "b"], "left_semi").select("bucket").distinct()
+        failed = saved(failed.join(again, "bucket", "left_semi"))
+        if failed.isEmpty():
+            return sets, links
+        far, forests = far.unionAll(wrong), forests * MORE_FORESTS
 
 
 def _settled(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -272,43 +283,83 @@ def _settled(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> tu
     return first if rest.isEmpty() else first.unionAll(saved(_verified(rest, body, words, percent))), body
 
 
-def _inside(failed: DataFrame, held: DataFrame, bits: DataFrame, percent: int, block: int = 2048) -> DataFrame:
-    """(a, b): pairs of a failed member (bucket, x) and another member of its bucket that their sketches allow to be
-    linked.  A bucket is compared in cells of at most about ``block`` by ``block`` members; only pairs that pass come
-    out of a cell."""
-    mine = failed.distinct().withColumn("f", F.lit(True)).unionAll(
+def _inside(failed: DataFrame, held: DataFrame, bits: DataFrame, comp: DataFrame, far: DataFrame, percent: int, forests: int,
+            block: int = 2048) -> DataFrame:
+    """(a, b, bucket): pairs of a failed member (bucket, x) and another member of its bucket that their sketches allow to
+    be linked, that are of different components of ``comp`` and not among the pairs ``far``.
+
+    A bucket is compared in cells of at most about ``block`` by ``block`` members.  Of a cell's pairs come out
+    ``forests`` spanning forests over its components, so at most ``forests`` times its members; without any, the cell
+    has no such pair."""
+    mine = failed.withColumn("f", F.lit(True)).unionAll(
         held.join(failed.select("bucket").distinct(), "bucket", "left_semi").distinct().withColumn("f", F.lit(False)))
     side = F.when(F.col("f"), F.col("nf")).otherwise(F.col("nm"))
     other = F.when(F.col("f"), F.col("nm")).otherwise(F.col("nf"))
     count = mine.groupBy("bucket").agg(*[F.ceil(F.count_if(c) / block).cast("int").alias(n)
                                          for c, n in ((F.col("f"), "nf"), (~F.col("f"), "nm"))])
+    about = (bits.withColumnRenamed("set_key", "x")
+             .join(comp.select(F.col("node").alias("x"), "component"), "x", "left")
+             .join(far.groupBy(F.col("b").alias("x")).agg(F.collect_set("a").alias("far")), "x", "left")
+             .select("x", "n", "bits", F.coalesce("component", "x").alias("c"), "far"))
     cells = (mine.join(count, "bucket").withColumn("i", F.pmod(F.xxhash64("x"), side).cast("int"))
              .withColumn("j", F.explode(F.sequence(F.lit(0), other - 1)))
              .select("bucket", F.when(F.col("f"), F.col("i")).otherwise(F.col("j")).alias("i"),
                      F.when(F.col("f"), F.col("j")).otherwise(F.col("i")).alias("j"), "f", "x")
-             .join(bits.withColumnRenamed("set_key", "x"), "x"))
+             .join(about, "x"))
     n = int(failed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(rows):
+        """(a, b) of the forests of one cell's rows (f, x, n, bits, c, far)."""
         import numpy as np
 
         asked, members = [r for r in rows if r[0]], [r for r in rows if not r[0]]
-        if not asked or not members:
-            return set()
+        tree = {c: i for i, c in enumerate({r[4] for r in rows})}
+        if not asked or not members or len(tree) == 1:
+            return []
         width = min(len(r[3]) for r in rows) // 8
         fold = lambda rs: np.stack([np.bitwise_xor.reduce(np.frombuffer(r[3], np.uint64).reshape(-1, width), axis=0) for r in rs])
-        m, size, ids = fold(members), np.array([r[2] for r in members]), [r[1] for r in members]
-        out = set()
+        m, size, of = fold(members), np.array([r[2] for r in members]), np.array([tree[r[4]] for r in members])
+        place = {r[1]: k for k, r in enumerate(members)}
+        row = {r[1]: k for k, r in enumerate(asked)}
+        own = np.array([tree[r[4]] for r in asked])
+        # By how much a pair differs less than linked sets may, in sketch bits; below 0 it is no candidate.
+        spare = np.empty((len(asked), len(members)), dtype=np.int32)
         for at in range(0, len(asked), 64):
             part = asked[at:at + 64]
-            q, own = fold(part), np.array([r[2] for r in part])[:, None]
+            q, mine = fold(part), np.array([r[2] for r in part])[:, None]
             differ = sum(np.bitwise_count(q[:, k:k + 1] ^ m[None, :, k]).astype(np.int64) for k in range(width))
-            ok = (100 + percent) * differ <= (100 - percent) * (own + size)
-            ok &= 100 * np.minimum(own, size) >= percent * np.maximum(own, size)
-            for i, j in zip(*np.nonzero(ok), strict=True):
-                if part[i][1] != ids[j]:
-                    out.add((min(part[i][1], ids[j]), max(part[i][1], ids[j])))
-        return out
+            room = (100 - percent) * (mine + size) - (100 + percent) * differ
+            room[100 * np.minimum(mine, size) < percent * np.maximum(mine, size)] = -1
+            room[own[at:at + 64, None] == of] = -1
+            spare[at:at + 64] = room
+        for r in rows:
+            for a in r[5] or ():
+                if r[0] and a in place:
+                    spare[row[r[1]], place[a]] = -1
+                elif not r[0] and a in row:
+                    spare[row[a], place[r[1]]] = -1
+        out, some = set(), np.flatnonzero((spare >= 0).any(axis=1))
+        for _ in range(forests):
+            root, found = np.arange(len(tree)), []
+            for i in some.tolist():
+                ok = np.flatnonzero(spare[i] >= 0)
+                trees = root[of[ok]]
+                ok, trees = ok[trees != root[own[i]]], trees[trees != root[own[i]]]
+                if not len(ok):
+                    continue
+                best = np.lexsort((-spare[i, ok], trees))
+                best = best[np.concatenate(([True], np.diff(trees[best]) != 0))]
+                found.extend((i, k) for k in ok[best].tolist())
+                root[np.isin(root, trees)] = root[own[i]]
+            if not found:
+                break
+            for i, k in found:
+                a, b = asked[i][1], members[k][1]
+                out.add((min(a, b), max(a, b)))
+                spare[i, k] = -1
+                if a in place and b in row:
+                    spare[row[b], place[a]] = -1
+        return sorted(out)
 
     def run(batches):
         import pyarrow as pa
@@ -316,21 +367,25 @@ def _inside(failed: DataFrame, held: DataFrame, bits: DataFrame, percent: int, b
         cell, rows = None, []
 
         def out(pairs):
-            a, b = zip(*pairs, strict=True) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            cols = [[p[k] for p in pairs] for k in range(3)]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "bucket"])
+
+        def close():
+            return [(a, b, cell[0]) for a, b in compare(rows)] if rows else []
 
         for batch in batches:
-            found = set()
-            for *key, f, x, size, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = []
+            for *key, f, x, size, sketch, c, no in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != cell:
-                    found |= compare(rows) if rows else set()
+                    found += close()
                     cell, rows = key, []
-                rows.append((f, x, size, sketch))
+                rows.append((f, x, size, sketch, c, no))
             yield out(found)
-        yield out(compare(rows) if rows else set())
+        yield out(close())
 
-    return (cells.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").select("bucket", "i", "j", "f", "x", "n", "bits")
-            .mapInArrow(run, "a long, b long").distinct())
+    return (cells.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+            .select("bucket", "i", "j", "f", "x", "n", "bits", "c", "far")
+            .mapInArrow(run, "a long, b long, bucket long"))
 
 
 def _screened(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
