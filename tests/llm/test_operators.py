@@ -93,6 +93,35 @@ def test_ngram_large_bucket_finds_links_between_other_members(spark, monkeypatch
     assert got == [i - i % 2 for i in range(24)]
 
 
+def test_ngram_cells_return_forests(spark):
+    """Members of one bucket, all alike by sketch: no more pairs come out than connect the components."""
+    n = 40
+    bits = spark.createDataFrame([(i, 30, bytearray(8)) for i in range(n)], "set_key long, n long, bits binary")
+    held = spark.createDataFrame([(7, i) for i in range(n)], "bucket long, x long")
+    comp = spark.createDataFrame([(i, 0) for i in range(10)], "node long, component long")
+    none = spark.createDataFrame([], "a long, b long")
+    inside = lambda far, forests: {(r.a, r.b) for r in shingle_join._inside(held, held, bits, comp, far, 75, forests).collect()}
+    found = inside(none, 1)
+    assert len(found) == n - 10
+    root = union_find(n, [*((i, 0) for i in range(1, 10)), *found])
+    assert set(root) == {0}
+    # Refuted pairs do not come again, and several forests have no pair in common.
+    every = spark.createDataFrame([(i, j) for j in range(n) for i in range(j) if (i, j) not in {(3, 20), (20, 30)}], "a long, b long")
+    assert inside(every, 1) == {(3, 20), (20, 30)}
+    assert len(inside(none, 3)) > 2 * (n - 10) and not inside(every.unionAll(spark.createDataFrame([(3, 20), (20, 30)])), 8)
+
+
+def test_ngram_rounds_find_links_among_many_refuted_pairs(spark, monkeypatch):
+    """Sets of a bucket whose sketches say nothing: only repeated rounds reach the linked pairs."""
+    monkeypatch.setattr(shingle_join, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(shingle_join, "MORE_FORESTS", 64)
+    monkeypatch.setattr(shingle_join, "bit_sketches", lambda doc, h, count: [bytes(8)] * len(count))
+    shared = prose(99, 40)
+    texts = [shared + " " + prose(200 + i // 2, 40) + (" end" if i % 2 else "") for i in range(12)]
+    got = [r.component_id for r in shingle_join.near_groups(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert got == [i - i % 2 for i in range(12)]
+
+
 def brute_repeats(texts, length):
     seen, out = set(), []
     for t in texts:
@@ -232,6 +261,30 @@ def test_bpe_matches_tiktoken_and_decodes(spark):
     assert bpe.encode(docs(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_remembers_words_met_again_and_cuts_any_text():
+    import base64
+
+    import tiktoken
+
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng, signs = random.Random(4), [*"  \n\t'sdlvemrtzq1²½.,!#_\0\x1c\x85", "\u00a0", "é", "中", "ª", "ǅ", "😀", "\u0301"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(3000)] + [prose(i, 30) for i in range(50)] + ["qzx" * 200, " "]
+    codec = bpe._Codec(RANKS, public_tokenizers.PATTERN, 2000)
+    for at in range(0, len(texts), 500):
+        ids, decoded = codec.encode(texts[at:at + 500])
+        for t, i, d in zip(texts[at:at + 500], ids.to_pylist(), decoded.to_pylist(), strict=True):
+            assert np.frombuffer(i, np.int32).tolist() == enc.encode_ordinary(t) and d.decode() == t
+    # What is met in every block stays known while other words come and go.
+    learnt = []
+    codec.learn = lambda words, learn=codec.learn: (learnt.extend(words), learn(words))
+    for at in range(12):
+        codec.encode(["common words stay", *(prose(1000 + 100 * at + i, 12) + f" w{at}x{i}" for i in range(90))])
+    assert "common" in learnt or "common" in codec.pieces
+    assert learnt.count(" stay") <= 1
+
+
 def test_packing_places_every_token_once(spark):
     from tokenizers import Tokenizer
 
