@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 HIDDEN = 8
 WINDOW = 48             # bytes of a training window
 SEGMENT = 192           # bytes of a labelled segment
@@ -178,10 +180,15 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id
     model has no classes, and ``identify`` finds "und" everywhere."""
     from pyspark.sql import Window
 
-    ranked = (labelled.where(F.col(label_col).isNotNull() & (F.trim(text_col) != ""))
-              .select(F.col(label_col).cast("string").alias("label"), F.substring(text_col, 1, chars).alias("text"),
-                      F.xxhash64(F.lit(11), F.col(id_col).cast("string"), text_col).alias("h"))
-              .withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))).where(f"n <= {per_label}"))
+    hashed = (labelled.where(F.col(label_col).isNotNull() & (F.trim(text_col) != ""))
+              .select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"),
+                      F.xxhash64(F.lit(11), F.col(id_col).cast("string"), text_col).alias("h")))
+    place = lambda *order: F.row_number().over(Window.partitionBy("label").orderBy(*order))
+    # The hashes alone say where each label's sample ends; texts beyond that are neither sorted nor sent.
+    last = (hashed.select("label", "h").withColumn("n", place("h")).where(f"n <= {per_label}")
+            .groupBy("label").agg(F.max("h").alias("last")))
+    ranked = (hashed.join(F.broadcast(last), "label").where("h <= last").select("label", F.substring("text", 1, chars).alias("text"), "h")
+              .withColumn("n", place("h", "text")).where(f"n <= {per_label}"))
     rows = ranked.orderBy("label", "n").select("label", "text").toArrow()
     if not rows.num_rows:
         return {"classes": []}
@@ -216,7 +223,7 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", carry: tuple[
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spoken = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     return (docs.select(F.col(text_col).cast("string").alias("_text"), spoken.alias("_spoken"), *carry)
-            .mapInArrow(run, f"{kinds}, lang_pred string, score double"))
+            .mapInArrow(lean(run), f"{kinds}, lang_pred string, score double"))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -18,6 +18,8 @@ from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 CACHE_CHUNKS = 1_000_000      # distinct chunks a worker remembers
 
@@ -113,7 +115,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str,
                     names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {PIECE}, ids binary")
+    return docs.select(id_col, text_col).mapInArrow(lean(run, "_tessera_encoders"), f"`{id_col}` {kind}, {PIECE}, ids binary")
 
 
 def balance(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, key_filter, may_hold, saved
+from .common import connected_components, key_filter, lean, may_hold, saved
 
 BANDS = 2.0             # ratio of a band's largest to its smallest set
 PARTS = 0.6             # parts of a band's sketch for each element of its largest set
@@ -237,13 +237,13 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = f"id {kind}, n_shingles long, part_key long, set_key long, bits binary"
     share = max(1, texts.count() // SAMPLE_SETS)
     sample = (texts.where(F.pmod(F.xxhash64(F.lit(41), "id", "t"), F.lit(share)) == 0)
-              .mapInArrow(keys_of(None), schema).where("n_shingles < 0").groupBy("part_key").count()
+              .mapInArrow(lean(keys_of(None)), schema).where("n_shingles < 0").groupBy("part_key").count()
               .where(F.col("count") >= FREQUENT).select("part_key").toArrow())
     frequent = spark.sparkContext.broadcast(_sorted_keys(sample.column(0).to_numpy()))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = saved(texts.mapInArrow(keys_of(frequent), schema).repartition(n, "part_key")
+    found = saved(texts.mapInArrow(lean(keys_of(frequent)), schema).repartition(n, "part_key")
                   .sortWithinPartitions("part_key", "set_key").mapInArrow(
-                      _bucket_pairs, f"id {kind}, n_shingles long, set_key long, bits binary, a long, b long, bucket long"))
+                      lean(_bucket_pairs), f"id {kind}, n_shingles long, set_key long, bits binary, a long, b long, bucket long"))
     sets = found.where("n_shingles >= 0").select(F.col("id").alias(id_col), "n_shingles", "set_key")
     buckets = found.where("n_shingles < 0").select("a", "b", "bucket")
     bits = found.where("n_shingles > 0").groupBy("set_key").agg(F.max("n_shingles").alias("n"), F.max("bits").alias("bits"))
@@ -275,7 +275,7 @@ def _settled(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> tu
     then those whose ends are not connected yet.  Also the texts of the sets in ``pairs``."""
     pairs = pairs.select("a", "b")
     wanted = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "k")
-    body = saved(texts.mapInArrow(_bodies(words, wanted), "set_key long, t string")
+    body = saved(texts.mapInArrow(lean(_bodies(words, wanted)), "set_key long, t string")
                  .groupBy("set_key").agg(F.min("t").alias("t")))
     nearest = saved(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     first = saved(_verified(nearest, body, words, percent))
@@ -385,7 +385,7 @@ def _inside(failed: DataFrame, held: DataFrame, bits: DataFrame, comp: DataFrame
 
     return (cells.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             .select("bucket", "i", "j", "f", "x", "n", "bits", "c", "far")
-            .mapInArrow(run, "a long, b long, bucket long"))
+            .mapInArrow(lean(run), "a long, b long, bucket long"))
 
 
 def _screened(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
@@ -402,7 +402,7 @@ def _screened(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
     return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "sa", "nb", "sb")
-            .mapInArrow(run, "a long, b long, ok boolean"))
+            .mapInArrow(lean(run), "a long, b long, ok boolean"))
 
 
 def _sorted_keys(keys):
@@ -538,7 +538,7 @@ def _verified(pairs: DataFrame, body: DataFrame, words: int, percent: int, block
                                               pa.array(cols[2], pa.bool_())], names=["a", "b", "ok"])
 
     return (right.unionByName(left).repartition(n, "a", "s").sortWithinPartitions("a", "s", F.col("b").asc_nulls_first())
-            .select("a", "b", "t").mapInArrow(run, "a long, b long, ok boolean"))
+            .select("a", "b", "t").mapInArrow(lean(run), "a long, b long, ok boolean"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,

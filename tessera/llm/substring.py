@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.common import ordinal_within
-from .common import key_filter, may_hold, saved
+from .common import key_filter, lean, may_hold, saved
 
 GRAM = 32
 FLUSH = 300_000         # anchors a task holds before it sends the firsts of their classes
@@ -553,38 +553,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         base = saved(base.alias("l").join(names.alias("r"), same).select("l.id", F.col("r.doc").cast("long").alias("doc"), "l.t", *[f"l.{c}" for c in extra]))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     span = "start long, stop long"
-    found = saved(base.select("doc", "t").mapInArrow(_first_of_classes(length), f"gram long, context long, doc long, at long, {span}")
+    found = saved(base.select("doc", "t").mapInArrow(lean(_first_of_classes(length)), f"gram long, context long, doc long, at long, {span}")
                   .repartition(n, "gram").sortWithinPartitions("gram", "context", "doc", "at")
-                  .mapInArrow(_classes(length), f"gram long, doc long, at long, {span}"))
+                  .mapInArrow(lean(_classes(length)), f"gram long, doc long, at long, {span}"))
     whole = found.where("start is not null").select("doc", "start", "stop")
     wanted = found.where("gram is not null").select("doc", "gram", "at")
     hashed = base.select(F.xxhash64("doc").alias("k"), "id", "doc", "t", *extra)
-    some = hashed.mapInArrow(_where(key_filter(wanted.select(F.xxhash64("doc").alias("k")).distinct(), "k"), True), hashed.schema)
+    some = hashed.mapInArrow(lean(_where(key_filter(wanted.select(F.xxhash64("doc").alias("k")).distinct(), "k"), True)), hashed.schema)
     # Repeated rows of one document count once; ids that differ need no exchange for it.
     texts = some.select("doc", "t") if plain else some.select("doc", "t").dropDuplicates(["doc"])
     # Dealt by gram, equal strings mostly meet in one part; rebalancing splits a frequent gram, which only makes its
     # marks occur in several parts.
     contexts = saved(texts.join(wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("rows")), "doc")
-                     .mapInArrow(_contexts(length), "gram long, doc long, pos long, before long, after long, context binary")
+                     .mapInArrow(lean(_contexts(length)), "gram long, doc long, pos long, before long, after long, context binary")
                      .hint("rebalance", "gram").sortWithinPartitions("gram", "doc", "pos"))
     twice = lambda df, c: df.groupBy(c).count().where("count > 1").select(c)
     halves = key_filter(twice(contexts.select(F.explode(F.array("before", "after")).alias("k")).where("k is not null"), "k"), "k")
-    parts = saved(contexts.mapInArrow(_strings(length, halves), f"mark long, doc long, {span}"))
+    parts = saved(contexts.mapInArrow(lean(_strings(length, halves)), f"mark long, doc long, {span}"))
     marks = key_filter(twice(parts.where("mark is not null"), "mark"), "mark")
-    later = (contexts.mapInArrow(_strings(length, halves, marks), "block long, mark long, doc long, start long, bytes binary")
+    later = (contexts.mapInArrow(lean(_strings(length, halves, marks)), "block long, mark long, doc long, start long, bytes binary")
              .repartition(n, "block").sortWithinPartitions("block", "mark", "doc", "start")
-             .mapInArrow(_later(length), f"doc long, {span}"))
+             .mapInArrow(lean(_later(length)), f"doc long, {span}"))
     inside = parts.where("mark is null").select("doc", "start", "stop")
     cuts = saved(later.unionAll(inside).unionAll(whole)
                  .groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")))
     bitmap = key_filter(cuts.select(F.xxhash64("doc").alias("k")), "k")
     kinds = "".join(f", `{c}` {docs.select(c).schema[0].dataType.simpleString()}" for c in carry)
-    clean = (hashed.mapInArrow(_where(bitmap, False), hashed.schema)
+    clean = (hashed.mapInArrow(lean(_where(bitmap, False)), hashed.schema)
              .withColumn("cuts", F.lit(None).cast("array<struct<start: long, stop: long>>")))
-    cut = hashed.mapInArrow(_where(bitmap, True), hashed.schema).join(cuts, "doc", "left")
+    cut = hashed.mapInArrow(lean(_where(bitmap, True)), hashed.schema).join(cuts, "doc", "left")
     columns = ["id", "t", *extra, "cuts"]
     return clean.select(*columns).unionAll(cut.select(*columns)).mapInArrow(
-        _apply([id_col, "n_bytes", "spans", "kept", *carry]),
+        lean(_apply([id_col, "n_bytes", "spans", "kept", *carry])),
         f"`{id_col}` {kind}, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary{kinds}")
 
 

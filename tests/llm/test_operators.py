@@ -60,6 +60,31 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_lean_tasks_drop_the_words_of_other_operators(monkeypatch):
+    import sys
+
+    for name in common.WORD_CACHES:
+        monkeypatch.setitem(sys.modules, name, object())
+    def run(batches):
+        yield from batches
+
+    assert list(common.lean(run, "_tessera_encoders")(iter([1, 2]))) == [1, 2]
+    assert [name for name in common.WORD_CACHES if name in sys.modules] == ["_tessera_encoders"]
+    with pytest.raises(ZeroDivisionError):
+        list(common.lean(lambda batches: (1 // x for x in batches))(iter([0])))
+    assert "_tessera_encoders" not in sys.modules
+
+
+def test_language_sample_is_the_smallest_hashes(spark, monkeypatch):
+    rows = docs(spark, [prose(i, 8) for i in range(60)] + ["", None]).withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("l"), F.col("doc_id") % 2)))
+    rows = rows.unionAll(rows)
+    monkeypatch.setattr(language, "train", lambda texts, labels: list(zip(labels, texts, strict=True)))
+    want = sorted((r.lang, r.h, r.text[:20]) for r in rows.select("*", F.xxhash64(F.lit(11), F.col("doc_id").cast("string"), "text").alias("h")).collect()
+                  if r.lang and r.text)
+    want = [(x, t) for lang in ("l0", "l1") for x, _, t in [w for w in want if w[0] == lang][:7]]
+    assert language.fit(rows, per_label=7, chars=20) == want
+
+
 def test_ngram_groups_match_brute_force(spark):
     texts = near_copies()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.near_groups(docs(spark, texts)).collect()}
