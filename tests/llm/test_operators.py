@@ -1,6 +1,7 @@
 """Small tests of the training-data operators: brute force, exact round trips, and the defined edge cases."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -268,6 +269,38 @@ def test_line_dedup_of_overlapping_templates(spark, monkeypatch):
     assert removed_lines(spark, texts) == want
 
 
+def test_line_dedup_pairs_only_lines_that_may_be_near(spark, monkeypatch):
+    """Lines that share a rare shingle are paired if the shingles from there on leave enough to share, in either path."""
+    # (shingle, line, component, failed, shingles of the line, place of the shingle, lines that have it)
+    rows = [(1, 10, 10, 1, 100, 0, 4), (1, 11, 11, None, 100, 0, 4), (1, 12, 12, None, 50, 0, 4), (1, 13, 10, 1, 100, 0, 4),
+            (2, 11, 11, None, 100, 20, 3), (2, 14, 14, 1, 90, 0, 3), (2, 15, 15, None, 100, 1, 3),
+            (3, 16, 16, None, 8, 0, 2), (3, 17, 17, None, 8, 0, 2)]
+    rare = spark.createDataFrame(rows, "s long, key long, component long, failed int, n int, pos int, lines long").coalesce(1)
+    for crowd in (256, 1):
+        monkeypatch.setattr(lines, "CROWD", crowd, raising=False)
+        got = {(r.a, r.b) for r in lines._across(rare, 0.75).collect()}
+        assert got == {(10, 11), (11, 13), (14, 15)}, crowd
+    assert {(r.a, r.b) for r in lines._with_smallest(rare, 0.75).collect()} == {(10, 11)}
+
+
+def test_shuffle_files_of_finished_plans_go(spark):
+    import time
+
+    def blocks():
+        return sum(f.endswith(".data") for _, _, names in os.walk(spark.conf.get("spark.local.dir", "/tmp")) for f in names if f.startswith("shuffle_"))
+
+    common.release(spark)
+    time.sleep(2)
+    before = blocks()
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
+    assert blocks() > before
+    common.release(spark)
+    end = time.time() + 20
+    while blocks() > before and time.time() < end:
+        time.sleep(0.2)
+    assert blocks() <= before
+
+
 def test_bpe_matches_tiktoken_and_decodes(spark):
     import base64
 
