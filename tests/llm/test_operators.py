@@ -287,18 +287,18 @@ def test_shuffle_files_of_finished_plans_go(spark):
     import time
 
     def blocks():
-        return sum(f.endswith(".data") for _, _, names in os.walk(spark.conf.get("spark.local.dir", "/tmp")) for f in names if f.startswith("shuffle_"))
+        return {f"{d}/{f}" for d, _, names in os.walk(spark.conf.get("spark.local.dir", "/tmp")) for f in names
+                if f.startswith("shuffle_") and f.endswith(".data")}
 
-    common.release(spark)
-    time.sleep(2)
     before = blocks()
     spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
-    assert blocks() > before
+    own = blocks() - before
+    assert own
     common.release(spark)
-    end = time.time() + 20
-    while blocks() > before and time.time() < end:
+    end = time.time() + 60
+    while own & blocks() and time.time() < end:
         time.sleep(0.2)
-    assert blocks() <= before
+    assert not own & blocks()
 
 
 def test_bpe_matches_tiktoken_and_decodes(spark):
